@@ -147,7 +147,8 @@ def dedup_first_write(
     fresh = first_per_key(rows, key, order_by)
     if existing is None:
         return fresh
-    held = existing.select(key).join(fresh.select(key), key, "left_semi")
+    wanted = rows.select(key).distinct()
+    held = existing.select(key).join(wanted, key, "left_semi")
     return fresh.join(held, key, "left_anti")
 
 
