@@ -1 +1,524 @@
+"""The SQL each registered query is checked against."""
+
+from __future__ import annotations
+
+from registry.sql_parts import METRIC_OF, assemble, half_up, keyword_case, share, text
+from shopvitals.operators import diagnosis, quality
+from shopvitals.operators.complaints import LABEL_FIELDS, MODEL_LABEL_KEYS
+from shopvitals.operators.decisions import ICONS, OTHER_ICON
+
+_RAW = ("orders", "payments", "deliveries", "complaints", "refunds")
+_KEY_OF = {
+    "orders": "order_id", "payments": "payment_id", "deliveries": "delivery_id",
+    "complaints": "complaint_id", "refunds": "refund_id",
+}
 ORACLES: dict[str, str] = {}
+
+
+def check(name: str, sql: str) -> None:
+    ORACLES[name] = assemble(sql)
+
+
+# ------------------------------------------------------------------------ ingest
+
+_problem = (
+    "CASE shift WHEN 2 THEN 'malformed JSON' WHEN 3 THEN 'missing payment_status' END"
+)
+check(
+    "decode_messages",
+    f"""SELECT topic, "offset",
+               CASE WHEN shift = 2 THEN NULL WHEN shift = 3 THEN concat('BAD-', event_key)
+                    ELSE event_key END AS event_key,
+               {_problem} AS problem
+        FROM messages""",
+)
+check(
+    "ingest_route",
+    " UNION ALL ".join(
+        f"""SELECT 'raw_{t}' AS table_name, 'loadable' AS outcome, count(*) AS n
+            FROM messages WHERE topic = '{t}_topic' AND shift < 2
+            UNION ALL SELECT 'raw_{t}', 'quarantined', count(*)
+            FROM messages WHERE topic = '{t}_topic' AND shift >= 2"""
+        for t in _RAW
+    ),
+)
+check(
+    "parse_event_ts",
+    """SELECT topic, "offset", CASE WHEN shift = 2 THEN NULL ELSE event_ts END AS event_ts
+       FROM messages WHERE topic <> 'deliveries_topic'""",
+)
+check("ingest_orders", "SELECT * REPLACE (CAST(order_amount AS DOUBLE) AS order_amount) FROM b_raw_orders")
+check("ingest_payments", "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM b_raw_payments")
+check("ingest_deliveries", "SELECT * FROM b_raw_deliveries")
+check("ingest_refunds", "SELECT * REPLACE (CAST(refund_amount AS DOUBLE) AS refund_amount) FROM b_raw_refunds")
+check("ingest_complaints", "SELECT * FROM b_raw_complaints")
+check(
+    "dedup_first_write",
+    """SELECT order_id, customer_id, order_status, created_at FROM b_raw_orders
+       WHERE CAST(substr(customer_id, 6) AS BIGINT) % 3 <> 0""",
+)
+_broken_text = (
+    "concat('{\"payment_id\":\"BAD-', p.payment_id, '\",\"order_id\":\"', p.order_id, "
+    "'\",\"payment_ts\":\"', strftime(p.payment_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), "
+    "'\",\"payment_method\":\"', p.payment_method, '\"', {status}, "
+    "',\"amount\":', p.amount, ',\"failure_reason\":', "
+    "CASE WHEN p.failure_reason IS NULL THEN 'null' ELSE concat('\"', p.failure_reason, '\"') END, '}}')"
+)
+_full = _broken_text.replace("{status}", "',\"payment_status\":\"', p.payment_status, '\"'").replace("}}", "}")
+_without = _broken_text.replace("{status}", "''").replace("}}", "}")
+check(
+    "quarantine",
+    f"""SELECT 'ingest' AS component, 'error' AS status,
+               concat('payments_topic: ', {_problem}, ': ',
+                      CASE WHEN shift = 2 THEN left({_full}, 40) ELSE {_without} END) AS message,
+               m.received_at AS created_at
+        FROM messages m JOIN b_raw_payments p ON p.payment_id = m.event_key
+        WHERE m.shift >= 2""",
+)
+
+# ------------------------------------------------------------------------ staging and marts
+
+check("stg_orders", "SELECT * REPLACE (CAST(order_amount AS DOUBLE) AS order_amount) FROM a_stg_orders")
+check("stg_payments", "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM a_stg_payments")
+check("stg_deliveries", "SELECT * FROM a_stg_deliveries")
+check("stg_complaints", "SELECT * FROM a_stg_complaints")
+check("stg_refunds", "SELECT * REPLACE (CAST(refund_amount AS DOUBLE) AS refund_amount) FROM a_stg_refunds")
+check("stg_ai_diagnosis", "SELECT * FROM stg_ai_diagnosis")
+for _name in (
+    "mart_order_summary", "mart_payment_health", "mart_delivery_performance",
+    "mart_complaint_insights", "bh_orders", "bh_payments", "bh_deliveries", "bh_complaints",
+):
+    check(_name, f"SELECT * FROM a_{_name}")
+check("mart_ai_diagnosis_summary", "SELECT * FROM mart_ai_diagnosis_summary")
+check("bh_ai", "SELECT * FROM bh_ai")
+check("mart_business_health_daily", "SELECT * FROM b_business_health")
+check("mart_business_health_history", "SELECT * FROM a_business_health")
+check("stored_marts", "SELECT * FROM b_business_health")
+
+# ------------------------------------------------------------------------ features
+
+check("feat_orders", "SELECT run_timestamp, n AS orders FROM orders_now_own")
+check(
+    "feat_revenue",
+    "SELECT run_timestamp, CAST(coalesce(extra, 0) AS DOUBLE) AS revenue FROM orders_now_own",
+)
+check(
+    "feat_payments",
+    f"""SELECT run_timestamp, n AS payments, hits AS failed, oks AS success,
+               coalesce({share('hits', 'n')}, 0) AS failure_rate FROM payments_now_own""",
+)
+check(
+    "feat_deliveries",
+    f"""SELECT run_timestamp, n AS deliveries, hits AS delayed,
+               coalesce({share('hits', 'n')}, 0) AS delay_rate,
+               coalesce({half_up('extra', 'n', 1)}, 0) AS avg_delay_minutes
+        FROM deliveries_now_own""",
+)
+check(
+    "feat_complaints",
+    f"""SELECT run_timestamp, n AS complaints, hits AS severe,
+               coalesce({share('hits', 'n')}, 0) AS severe_rate FROM complaints_now_own""",
+)
+for _name, _domain, _column in (
+    ("feat_top_cities", "orders", "top_order_cities"),
+    ("feat_top_failure_reasons", "payments", "top_failure_reasons"),
+    ("feat_top_delayed_cities", "deliveries", "top_delayed_cities"),
+    ("feat_top_categories", "complaints", "top_categories"),
+):
+    check(
+        _name,
+        f"""SELECT run_timestamp, coalesce(top, '') AS {_column}
+            FROM ticks_{_domain} LEFT JOIN {_domain}_top USING (run_timestamp)""",
+    )
+check("features_history", "SELECT * FROM features")
+check("features_now", "SELECT * FROM features WHERE run_timestamp = TIMESTAMP '2024-01-15 12:00:00'")
+check(
+    "probe_recent_orders",
+    """SELECT t.run_timestamp, count(s.ts) AS orders_count, count(s.ts) < 1 AS low_volume
+       FROM ticks_orders t LEFT JOIN orders_seen s
+         ON s.ts >= t.run_timestamp - INTERVAL 15 MINUTE AND s.ts < t.run_timestamp
+       GROUP BY t.run_timestamp""",
+)
+_last_hour = "s.ts >= t.run_timestamp - INTERVAL 1 HOUR AND s.ts < t.run_timestamp"
+check(
+    "probe_payment_failure",
+    f"""SELECT *, failure_rate > 0.30 AS breach FROM (
+          SELECT t.run_timestamp, count(s.ts) AS total_payments,
+                 coalesce(CAST(count(*) FILTER (s.hit) AS DOUBLE) / nullif(count(s.ts), 0), 0)
+                     AS failure_rate
+          FROM ticks_payments t LEFT JOIN payments_seen s ON {_last_hour}
+          GROUP BY t.run_timestamp)""",
+)
+check(
+    "investigate_failures",
+    """SELECT t.run_timestamp, s.label AS failure_reason, count(*) AS failures
+       FROM ticks_payments_baseline t JOIN payments_seen s
+         ON s.ts >= t.run_timestamp - INTERVAL 1 HOUR AND s.ts < t.run_timestamp
+       WHERE s.hit GROUP BY t.run_timestamp, s.label""",
+)
+check(
+    "failed_payments_last_hour",
+    """SELECT t.run_timestamp, p.payment_id, p.payment_method, CAST(p.amount AS DOUBLE) AS amount,
+              p.failure_reason
+       FROM ticks_payments_baseline t JOIN b_raw_payments p
+         ON p.payment_ts >= t.run_timestamp - INTERVAL 1 HOUR AND p.payment_ts < t.run_timestamp
+       WHERE p.payment_status = 'failed'""",
+)
+
+# ------------------------------------------------------------------------ anomalies
+
+check("bucket_30min", "SELECT payment_id, time_bucket(INTERVAL 30 MINUTE, payment_ts) AS bucket FROM b_raw_payments")
+for _name, _domain in (
+    ("baseline_payment_failure", "payments"),
+    ("baseline_delivery_delay", "deliveries"),
+    ("baseline_order_volume", "orders"),
+    ("baseline_complaint_severe", "complaints"),
+):
+    check(_name, f"SELECT run_timestamp, bucket, round(value, 9) AS value FROM {_domain}_buckets_own")
+check(
+    "baseline_stats",
+    "SELECT run_timestamp, metric, round(mean, 6) AS mean, round(std, 6) AS std FROM stats",
+)
+check("anomaly_rows", "SELECT * EXCLUDE (place) FROM anomaly_list")
+check("anomaly_summary", "SELECT run_timestamp, anomaly_count, max_severity, metrics FROM reports")
+
+# ------------------------------------------------------------------------ complaints
+
+check(
+    "classify_complaint_rules",
+    f"SELECT complaint_id, {', '.join(LABEL_FIELDS)} FROM a_raw_complaints",
+)
+
+
+def _model_label(field: str) -> str:
+    key, default = MODEL_LABEL_KEYS[field]
+    return f"""CASE WHEN NOT coalesce(usable, FALSE) THEN {keyword_case(field)}
+                    WHEN json_type(answer, '$.{key}') IS NULL THEN {text(default)}
+                    ELSE json_extract_string(answer, '$.{key}') END AS {field}"""
+
+
+check(
+    "normalize_complaint_labels",
+    f"""SELECT complaint_id, {', '.join(_model_label(f) for f in LABEL_FIELDS)}
+        FROM (SELECT *, json_type(answer) = 'OBJECT' AS usable
+              FROM (SELECT *, CASE WHEN json_valid(response) THEN response END AS answer
+                    FROM label_answers))""",
+)
+
+# ------------------------------------------------------------------------ diagnosis
+
+_DIAGNOSIS = (
+    "run_timestamp, status, severity, confidence, issue_summary, root_cause, business_impact, "
+    "suggested_fix, investigation_sql, array_to_string(tags, ',') AS tags, llm_provider, llm_model, "
+    "llm_latency_ms"
+)
+check("rule_diagnosis", f"SELECT {_DIAGNOSIS} FROM rules")
+check("llm_gate", "SELECT run_timestamp, status, escalate FROM gated")
+check("diagnosis_select", f"SELECT {_DIAGNOSIS}, source FROM selected")
+_full_row = lambda value: f"CASE WHEN NOT lost THEN {value} END"
+check(
+    "dag_fallback_rows",
+    f"""SELECT run_timestamp, CASE WHEN lost THEN 'warning' ELSE 'degraded' END AS status,
+               {_full_row('0.5::DOUBLE')} AS severity, {_full_row('0.3::DOUBLE')} AS confidence,
+               concat(CASE WHEN lost THEN 'Total fallback. ' ELSE 'AI unavailable. ' END,
+                      'orders=', orders_count, ', failure_rate=', failure_rate) AS issue_summary,
+               {', '.join(f"{_full_row(text(v))} AS {k}" for k, v in diagnosis.FALLBACK_TEXTS.items())},
+               {_full_row("'dag_fallback'")} AS tags, {_full_row("'{}'")} AS features_json,
+               {_full_row("'{}'")} AS anomalies_json,
+               CASE WHEN lost THEN 'dag_emergency_fallback' ELSE 'dag_fallback' END AS source,
+               {_full_row("'fallback'")} AS llm_provider, {_full_row("'n/a'")} AS llm_model,
+               CAST(NULL AS INTEGER) AS llm_latency_ms,
+               {_full_row("'dag_fallback'")} AS alert_fingerprint,
+               CAST(NULL AS TIMESTAMP) AS alerted_at
+        FROM (
+          SELECT o.*, p.failure_rate, (CAST(epoch(run_timestamp) AS BIGINT) // 900) % 3 = 0 AS lost
+          FROM (SELECT t.run_timestamp, count(s.ts) AS orders_count
+                FROM ticks_orders t LEFT JOIN orders_seen s
+                  ON s.ts >= t.run_timestamp - INTERVAL 15 MINUTE AND s.ts < t.run_timestamp
+                GROUP BY t.run_timestamp) o
+          JOIN (SELECT t.run_timestamp, coalesce({share('count(*) FILTER (s.hit)', 'count(s.ts)')}, 0.0)
+                           AS failure_rate
+                FROM ticks_payments t LEFT JOIN payments_seen s ON {_last_hour}
+                GROUP BY t.run_timestamp) p USING (run_timestamp))""",
+)
+check(
+    "llm_prompt",
+    """SELECT run_timestamp, 'openai' AS provider, 'gpt-4o-mini' AS model,
+              '=== CURRENT METRICS (last 30 min) ===' AS heading, CAST(orders AS DOUBLE) AS orders,
+              revenue, failure_rate, delay_rate, severe_rate,
+              CAST(anomaly_count AS DOUBLE) AS anomaly_count, max_severity
+       FROM gated WHERE escalate""",
+)
+check(
+    "validate_llm_response",
+    """SELECT c.n, c.attempt, c.reason, v.a_status AS status, v.a_severity AS severity,
+              v.a_confidence AS confidence, v.a_issue_summary AS issue_summary,
+              array_to_string(v.a_tags, ',') AS tags
+       FROM event_checked c LEFT JOIN event_valid v USING (n, attempt)""",
+)
+check(
+    "llm_answer_meta",
+    """SELECT run_timestamp, attempt, provider AS llm_provider, model AS llm_model,
+              latency_ms AS llm_latency_ms FROM first_answers""",
+)
+
+# ------------------------------------------------------------------------ decisions
+
+check("alert_fingerprint", "SELECT run_timestamp, status, alert_fingerprint FROM flagged")
+check("alert_candidates", "SELECT run_timestamp, candidate FROM flagged")
+check(
+    "alert_suppress",
+    """SELECT run_timestamp, alert_fingerprint, candidate, should_alert, suppression_reason
+       FROM decided""",
+)
+check(
+    "recently_alerted",
+    """SELECT run_timestamp, alert_fingerprint FROM decided d WHERE candidate AND EXISTS (
+         SELECT 1 FROM decided h
+         WHERE h.should_alert AND h.alert_fingerprint = d.alert_fingerprint
+           AND h.run_timestamp < d.run_timestamp
+           AND h.run_timestamp >= d.run_timestamp - INTERVAL 30 MINUTE)""",
+)
+check("alert_routing", "SELECT run_timestamp, status, severity, routing FROM decided")
+_icon = "CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ICONS.items()) + f" ELSE '{OTHER_ICON}' END"
+check(
+    "alert_message",
+    f"""SELECT run_timestamp, concat(
+          {_icon}, ' *Pipeline ', upper(status), '*', chr(10),
+          '*Severity:* ', CAST(trunc(severity * 100) AS BIGINT), '% | *Confidence:* ',
+          CAST(trunc(confidence * 100) AS BIGINT), '%', chr(10), chr(10),
+          '*Issue:* ', issue_summary, chr(10), '*Root Cause:* ', root_cause, chr(10),
+          '*Business Impact:* ', business_impact, chr(10), '*Suggested Fix:* ', suggested_fix,
+          chr(10), chr(10), '*Investigation SQL:*', chr(10), '```', chr(10), investigation_sql,
+          chr(10), '```', chr(10), '_Source: ', llm_provider, ' | fingerprint: ',
+          alert_fingerprint, '_') AS message
+        FROM decided WHERE should_alert""",
+)
+check(
+    "diagnosis_record",
+    f"""SELECT diagnosis_id, {_DIAGNOSIS}, source, alert_fingerprint, alerted_at, created_at,
+               CAST(orders AS DOUBLE) AS json_orders, avg_delay_minutes AS json_avg_delay,
+               nullif(split_part(top_failure_reasons, ':', 1), '') AS json_top_reason,
+               CAST(anomaly_count AS DOUBLE) AS json_anomaly_count,
+               nullif(split_part(metrics, ',', 1), '') AS json_first_metric
+        FROM audit""",
+)
+
+# ------------------------------------------------------------------------ sinks
+
+check(
+    "export_csv",
+    """SELECT payment_id, order_id, payment_method, payment_status, CAST(amount AS DOUBLE) AS amount,
+              failure_reason FROM b_raw_payments""",
+)
+check(
+    "backup_parquet",
+    " UNION ALL ".join(
+        f"SELECT 2024 AS year, 2 AS month, 1 AS day, count(*) AS n, 'raw_{t}' AS table_name FROM b_raw_{t}"
+        for t in _RAW
+    ),
+)
+check(
+    "scan_backup_day",
+    "SELECT order_id, customer_id, order_ts, CAST(order_amount AS DOUBLE) AS order_amount FROM b_raw_orders",
+)
+_stamp = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
+check(
+    "warehouse_refresh",
+    f"""SELECT refund_id AS "REFUND_ID", order_id AS "ORDER_ID", {_stamp.format('refund_ts')} AS "REFUND_TS",
+               CAST(refund_amount AS DOUBLE) AS "REFUND_AMOUNT", refund_reason AS "REFUND_REASON",
+               {_stamp.format('created_at')} AS "CREATED_AT" FROM a_raw_refunds""",
+)
+check(
+    "clean_for_load",
+    f"""SELECT order_id AS "ORDER_ID", customer_id AS "CUSTOMER_ID", city AS "CITY",
+               {_stamp.format('order_ts')} AS "ORDER_TS", CAST(order_amount AS DOUBLE) AS "ORDER_AMOUNT",
+               order_status AS "ORDER_STATUS", {_stamp.format('created_at')} AS "CREATED_AT"
+        FROM b_raw_orders""",
+)
+check(
+    "verify_counts",
+    " UNION ALL ".join(
+        f"SELECT '{label}raw_{t}' AS table_name, count(*) AS rows, count(*) > 0 AS ok FROM {family}_raw_{t}"
+        for family, label in (("a", ""), ("b", "b_"))
+        for t in _RAW
+    ),
+)
+check(
+    "load_summary",
+    " UNION ALL ".join(
+        f"SELECT 'raw_{t}' AS table_name, count(*) AS rows, 'success' AS status, TRUE AS has_size FROM a_raw_{t}"
+        for t in _RAW
+    ),
+)
+check(
+    "evolve_schema",
+    """SELECT payment_id, order_id, payment_ts, payment_method, payment_status,
+              CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+              CAST(NULL AS VARCHAR) AS failure_reason, CAST(NULL AS TIMESTAMP) AS created_at
+       FROM a_raw_payments""",
+)
+
+# ------------------------------------------------------------------------ quality
+
+
+def _unique(source: str, column: str) -> str:
+    return (
+        f"(SELECT count(*) FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL "
+        f"GROUP BY {column} HAVING count(*) > 1))"
+    )
+
+
+def _outside(source: str, column: str, values: tuple[str, ...]) -> str:
+    listed = ", ".join(text(v) for v in values)
+    return f"(SELECT count(*) FROM {source} WHERE {column} NOT IN ({listed}))"
+
+
+check(
+    "dq_unique",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS column_name, 'unique' AS test, {_unique('a_raw_deliveries', k)} AS failures"
+        for k in ("delivery_id", "order_id")
+    ),
+)
+check(
+    "dq_not_null",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS column_name, 'not_null' AS test, count(*) FILTER ({k} IS NULL) AS failures FROM a_raw_deliveries"
+        for k in ("delivery_id", "order_id", "city", "delivery_partner", "promised_minutes",
+                  "actual_minutes", "delivery_status", "created_at")
+    ),
+)
+check(
+    "dq_accepted_values",
+    f"""SELECT 'payment_status' AS column_name, 'accepted_values' AS test,
+               {_outside('a_raw_payments', 'payment_status', ('success', 'failed'))} AS failures
+        UNION ALL SELECT 'payment_method', 'accepted_values',
+               {_outside('a_raw_payments', 'payment_method', ('UPI', 'Wallet', 'COD'))}""",
+)
+_SOURCE_OF = {
+    "ai_pipeline_diagnosis": "audit",
+    "stg_ai_diagnosis": "stg_ai_diagnosis",
+    "mart_ai_diagnosis_summary": "mart_ai_diagnosis_summary",
+    "mart_business_health_daily": "a_business_health",
+}
+
+
+def _report() -> str:
+    rows = []
+    for tests in quality.TESTS:
+        source = _SOURCE_OF.get(tests.table, f"a_{tests.table}")
+        failures = [(k, "not_null", f"(SELECT count(*) FROM {source} WHERE {k} IS NULL)") for k in tests.not_null]
+        failures += [(k, "accepted_values", _outside(source, k, v)) for k, v in tests.accepted.items()]
+        failures += [(k, "unique", _unique(source, k)) for k in tests.unique]
+        rows += [
+            f"SELECT '{tests.layer}' AS layer, '{tests.table}' AS table_name, '{k}' AS column_name, "
+            f"'{test}' AS test, {n} AS failures"
+            for k, test, n in failures
+        ]
+    return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(rows)})"
+
+
+check("dq_report", _report())
+
+# ------------------------------------------------------------------------ dashboards
+
+check(
+    "dash_executive",
+    """SELECT business_date, total_orders, total_revenue, cancellation_rate, overall_status
+       FROM a_business_health""",
+)
+check(
+    "dash_payment_by_method",
+    f"""SELECT payment_method, count(*) AS total_payments,
+               count(*) FILTER (is_failed) AS failed_payments,
+               {share('count(*) FILTER (is_failed)', 'count(*)')} AS failure_rate
+        FROM a_stg_payments GROUP BY payment_method""",
+)
+check(
+    "dash_delay_heatmap",
+    f"""SELECT city, delivery_date, count(*) AS total_deliveries,
+               count(*) FILTER (is_delayed) AS delayed_deliveries,
+               {share('count(*) FILTER (is_delayed)', 'count(*)')} AS delay_rate
+        FROM a_stg_deliveries GROUP BY city, delivery_date""",
+)
+check(
+    "dash_complaint_severity",
+    "SELECT ai_severity, count(*) AS total_complaints FROM a_stg_complaints GROUP BY ai_severity",
+)
+check("dash_health_trend", "SELECT run_date, pipeline_health_score FROM mart_ai_diagnosis_summary")
+check(
+    "dash_llm_usage",
+    f"""SELECT count(*) AS total_diagnoses, count(*) FILTER (is_llm_diagnosis) AS llm_diagnoses,
+               count(*) FILTER (NOT is_llm_diagnosis) AS fallback_diagnoses,
+               {share('count(*) FILTER (is_llm_diagnosis)', 'count(*)')} AS llm_usage_rate,
+               {share('count(*) FILTER (NOT is_llm_diagnosis)', 'count(*)')} AS fallback_rate
+        FROM stg_ai_diagnosis""",
+)
+check(
+    "dash_recent_diagnoses",
+    """SELECT diagnosis_id, run_timestamp, status, severity, confidence, issue_summary, diagnosis_source
+       FROM stg_ai_diagnosis ORDER BY run_timestamp DESC, diagnosis_id DESC LIMIT 20""",
+)
+
+# ------------------------------------------------------------------------ streams
+
+check(
+    "stream_ingest",
+    " UNION ALL ".join(
+        f"SELECT 'raw_{t}' AS table_name, {_KEY_OF[t]} AS event_key, order_id, created_at FROM b_raw_{t}"
+        for t in _RAW
+    )
+    + f""" UNION ALL
+    SELECT 'pipeline_logs', concat('payments_topic: ', {_problem}, ': ',
+                      CASE WHEN shift = 2 THEN left({_full}, 40) ELSE {_without} END),
+           'error', m.received_at
+    FROM messages m JOIN b_raw_payments p ON p.payment_id = m.event_key WHERE m.shift >= 2""",
+)
+check(
+    "stream_dedup",
+    """SELECT DISTINCT topic, CASE WHEN shift = 2 THEN NULL WHEN shift = 3 THEN concat('BAD-', event_key)
+              ELSE event_key END AS event_key FROM messages""",
+)
+_activity = " UNION ALL ".join(
+    f"SELECT '{d}' AS domain, ts, hit FROM {d}_seen" for d in METRIC_OF
+)
+_closed = f"(SELECT max(ts) - INTERVAL 10 MINUTE FROM ({_activity}))"
+check(
+    "stream_window_metrics",
+    f"""SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, domain,
+               count(*) AS total, count(*) FILTER (hit) AS hits,
+               {share('count(*) FILTER (hit)', 'count(*)')} AS hit_rate
+        FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, ts) AS window_start FROM ({_activity}))
+        WHERE window_start + INTERVAL 30 MINUTE <= {_closed}
+        GROUP BY window_start, domain""",
+)
+check(
+    "stream_sliding_features",
+    f"""SELECT run_timestamp, orders, revenue, payments, failed, failure_rate, deliveries, delayed,
+               delay_rate, avg_delay_minutes, complaints, severe, severe_rate
+        FROM features
+        WHERE run_timestamp <= {_closed} AND orders + payments + deliveries + complaints > 0""",
+)
+check(
+    "stream_doctor",
+    f"""SELECT run_timestamp, status, severity, issue_summary, array_to_string(tags, ',') AS tags,
+               source, alert_fingerprint, alerted_at
+        FROM rule_decided WHERE run_timestamp <= {_closed}""",
+)
+check(
+    "stream_alert_dedup",
+    """SELECT alert_fingerprint, run_timestamp, should_alert, suppression_reason
+       FROM decided WHERE candidate""",
+)
+check(
+    "late_policy",
+    """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, 0 AS late_rows, max(ts) AS max_event_ts
+       FROM events WHERE event_id % 50 <> 0
+       UNION ALL
+       SELECT 1, count(*),
+              count(*) FILTER (time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE <= mark), max(ts)
+       FROM events CROSS JOIN (SELECT max(ts) - INTERVAL 10 MINUTE AS mark
+                               FROM events WHERE event_id % 50 <> 0)
+       WHERE event_id % 50 = 0""",
+)

@@ -41,10 +41,6 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 # ------------------------------------------------------------------------ ingest
 
 
-def _table_of(inputs: Inputs, build) -> DataFrame:
-    return build(inputs.messages)
-
-
 @query
 def decode_messages(inputs):
     """Every message with what is wrong with it, if anything."""
@@ -549,14 +545,13 @@ def alert_suppress(inputs):
 
 @query
 def recently_alerted(inputs):
-    """Candidates whose fingerprint the table of earlier decisions alerted within the window."""
+    """Candidates whose fingerprint the audit table shows as alerted within the window."""
     decided = monitor.decide(inputs.selected())
-    middle = F.lit(AS_OF).cast("timestamp")
-    history = decided.where(c(RUN) < middle).select(
+    history = decided.select(
         "alert_fingerprint", F.when(c("should_alert"), c(RUN)).alias("alerted_at")
     )
-    later = decided.where((c(RUN) >= middle) & c("candidate")).select(RUN, "alert_fingerprint")
-    return decisions.recently_alerted(later, history)
+    asked = decided.where("candidate").select(RUN, "alert_fingerprint")
+    return decisions.recently_alerted(asked, history)
 
 
 @query

@@ -45,23 +45,45 @@ def alert_candidates(selected: DataFrame, cfg: MonitorConfig = DEFAULT, as_of=No
 def recently_alerted(
     candidates: DataFrame, history: DataFrame, cfg: MonitorConfig = DEFAULT
 ) -> DataFrame:
-    """Candidates whose fingerprint the stored history alerted at most the window ago.
+    """Candidates whose fingerprint the stored history alerted within the window before them.
 
-    For a single run against a stored audit table. The history is cut to one row per
-    fingerprint before the join.
+    Time is cut into slots as long as the window. An alert can only matter in its own slot,
+    where it must come first, and in the next, where the slot's latest one decides; so the
+    history shrinks to two rows per fingerprint and slot and the join is on equality.
     """
-    last = (
+    window_us = cfg.alert_dedup_minutes * 60_000_000
+    key = "alert_fingerprint"
+
+    def slot(us: Column) -> Column:
+        return F.floor(us / F.lit(window_us)).cast("bigint")
+
+    sent = F.unix_micros("alerted_at")
+    per_slot = (
         history.where(c("alerted_at").isNotNull())
-        .groupBy("alert_fingerprint")
-        .agg(F.max("alerted_at").alias("_last"))
+        .groupBy(key, slot(sent).alias("_slot"))
+        .agg(F.min(sent).alias("_first"), F.max(sent).alias("_last"))
     )
-    window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
-    return candidates.alias("now").join(
-        last.alias("sent"),
-        (c("now.alert_fingerprint") == c("sent.alert_fingerprint"))
-        & (c("sent._last") >= c(f"now.{RUN}") - window),
-        "left_semi",
+    reach = per_slot.select(
+        key,
+        F.inline(
+            F.array(
+                F.struct(c("_slot"), c("_first").alias("_from"), F.lit(True).alias("_same")),
+                F.struct(
+                    (c("_slot") + 1).alias("_slot"),
+                    c("_last").alias("_from"),
+                    F.lit(False).alias("_same"),
+                ),
+            )
+        ),
     )
+    run = F.unix_micros(RUN)
+    covered = (c("_same") & (c("_from") < run)) | (~c("_same") & (c("_from") >= run - window_us))
+    asked = candidates.withColumn("_slot", slot(run)).alias("asked")
+    return asked.join(
+        reach.alias("reach"),
+        (c(f"asked.{key}") == c(f"reach.{key}")) & (c("asked._slot") == c("reach._slot")) & covered,
+        "left_semi",
+    ).drop("_slot")
 
 
 # ---------------------------------------------------------------- suppression over a history
