@@ -39,7 +39,8 @@ FROM (
                 '}') AS answer
   FROM (
     SELECT n, run_timestamp, attempt, (n * 7 + attempt) % 17 AS kind
-    FROM {runs} CROSS JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 AS attempt) attempts
+    FROM (SELECT n, run_timestamp, 1 AS attempt FROM {runs}
+          UNION ALL SELECT n, run_timestamp, 2 AS attempt FROM {runs}) attempts
   ) kinds
 ) answers
 """
@@ -118,10 +119,9 @@ class Inputs:
 
     def answers(self, runs: DataFrame) -> DataFrame:
         """Model answers for (n, run_timestamp)."""
-        head, tail = MODEL_ANSWERS.split("{runs}")
         # The text holds JSON braces, so the table is named and not formatted in.
         runs.createOrReplaceTempView("_answer_runs")
-        return self.spark.sql(f"{head}_answer_runs{tail}")
+        return self.spark.sql(MODEL_ANSWERS.replace("{runs}", "_answer_runs"))
 
     def answers_per_event(self) -> DataFrame:
         return self.answers(

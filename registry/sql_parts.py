@@ -443,7 +443,6 @@ PARTS["gated"] = """
               AND (severity >= 0.7 OR anomaly_count >= 2 OR max_severity >= 0.8) AS escalate
     FROM rules"""
 
-_head, _tail = MODEL_ANSWERS.split("{runs}")
 PARTS["event_runs"] = "SELECT event_id AS n, ts AS run_timestamp FROM events"
 PARTS["tick_runs"] = f"""
     SELECT CAST(epoch(run_timestamp) AS BIGINT) // 900 AS n, run_timestamp
@@ -466,7 +465,7 @@ def _number_checks(name: str) -> str:
 
 def answer_parts(prefix: str, runs: str) -> dict[str, str]:
     return {
-        f"{prefix}_answers": f"{_head}{runs}{_tail}",
+        f"{prefix}_answers": MODEL_ANSWERS.replace("{runs}", runs),
         f"{prefix}_checked": f"""
             SELECT *, CASE
                      WHEN NOT json_valid(response) THEN 'invalid JSON'

@@ -14,7 +14,7 @@ def parse_whole_json(text: Column) -> Column:
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     return F.when(
-        F.try_variant_get(in_array, "$[1]", "variant").isNull(),
+        in_array.isNotNull() & F.try_variant_get(in_array, "$[1]", "variant").isNull(),
         F.try_variant_get(in_object, "$.v", "variant"),
     )
 
@@ -22,3 +22,12 @@ def parse_whole_json(text: Column) -> Column:
 def json_kind(value: Column) -> Column:
     """Type name of a VARIANT: OBJECT<…>, ARRAY<…>, BIGINT, DECIMAL(…), DOUBLE, STRING, …"""
     return F.schema_of_variant(value)
+
+
+def once(**columns: Column) -> Column:
+    """Columns computed a single time, whatever is later made of them.
+
+    A filter on a derived column is otherwise pushed below the projection together with its
+    expression, and costly parsing is done again for every mention.
+    """
+    return F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()])))

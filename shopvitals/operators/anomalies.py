@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.functions.time import half_hour_bucket, tick_time, within_last
-from shopvitals.operators.features import RUN, serve_ticks
+from shopvitals.operators.features import RUN
 
 c = F.col
 
@@ -19,19 +19,12 @@ METRICS = (
     ("order_volume", "orders", "volume.orders"),
     ("complaint_severe_rate", "complaints", "complaints.severe_rate"),
 )
-_METRIC_OF = {domain: metric for metric, domain, _ in METRICS}
 
 
-def _metric_name() -> Column:
-    return F.element_at(
-        F.create_map(*[F.lit(x) for pair in _METRIC_OF.items() for x in pair]), c("domain")
-    )
-
-
-def _bucket_value() -> Column:
-    """Order volume is the count itself, the other metrics are shares of hits."""
-    share = F.sum("hits").cast("double") / F.sum("n").cast("double")
-    return F.when(c("domain") == "orders", F.sum("n").cast("double")).otherwise(share)
+def _bucket_value(n: Column, hits: Column) -> Column:
+    """Order volume is the count itself, the other metrics are shares of hits; NULL if empty."""
+    count = F.nullif(n, F.lit(0)).cast("double")
+    return F.when(c("domain") == "orders", count).otherwise(hits.cast("double") / count)
 
 
 def bucket_rows(rows: DataFrame) -> DataFrame:
@@ -44,13 +37,46 @@ def bucket_rows(rows: DataFrame) -> DataFrame:
 def baseline_buckets(cell_rows: DataFrame, cfg: MonitorConfig = DEFAULT) -> DataFrame:
     """(run, domain, bucket, value) over the baseline window before every tick.
 
-    Buckets without rows do not exist. The buckets at the window's edges hold only the part
-    inside the window.
+    Buckets without rows do not exist. A bucket is two cells: nearly every tick that sees it
+    sees both, so its value is computed once; the tick right after its first cell and the one
+    the first cell has just left see one half.
     """
-    per_cell = cell_rows.groupBy("domain", "cell").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-    served = serve_ticks(per_cell, cfg.baseline_cells)
-    bucket = tick_time(F.floor(c("cell") / F.lit(2)) * F.lit(2))
-    return served.groupBy(RUN, "domain", bucket.alias("bucket")).agg(_bucket_value().alias("value"))
+    cell, span = c("cell"), cfg.baseline_cells
+    even = F.pmod(cell, F.lit(2)) == 0
+    halves = cell_rows.groupBy("domain", F.floor(cell / F.lit(2)).alias("half_hour")).agg(
+        *[
+            F.coalesce(F.sum(F.when(half, c(name))), F.lit(0)).alias(f"{name}_{place}")
+            for place, half in (("first", even), ("second", ~even))
+            for name in ("n", "hits")
+        ]
+    )
+    first = c("half_hour") * F.lit(2)
+
+    def seen(start: Column, end: Column, n: Column, hits: Column) -> Column:
+        return F.struct(
+            start.cast("bigint").alias("from_tick"),
+            end.cast("bigint").alias("to_tick"),
+            _bucket_value(n, hits).alias("value"),
+        )
+
+    values = halves.select(
+        "domain",
+        tick_time(first).alias("bucket"),
+        F.inline(
+            F.array(
+                seen(first + 1, first + 1, c("n_first"), c("hits_first")),
+                seen(
+                    first + 2,
+                    first + span,
+                    c("n_first") + c("n_second"),
+                    c("hits_first") + c("hits_second"),
+                ),
+                seen(first + 1 + span, first + 1 + span, c("n_second"), c("hits_second")),
+            )
+        ),
+    ).where(c("value").isNotNull())
+    run = F.explode(F.transform(F.sequence("from_tick", "to_tick"), tick_time)).alias(RUN)
+    return values.select(run, "domain", "bucket", "value")
 
 
 def baseline_buckets_as_of(
@@ -61,35 +87,53 @@ def baseline_buckets_as_of(
     counted = inside.groupBy("domain", half_hour_bucket(c("event_ts")).alias("bucket")).agg(
         F.count("*").alias("n"), F.count_if("hit").alias("hits")
     )
-    return (
-        counted.groupBy("domain", "bucket")
-        .agg(_bucket_value().alias("value"))
-        .withColumn(RUN, runs)
+    return counted.select(
+        runs.alias(RUN), "domain", "bucket", _bucket_value(c("n"), c("hits")).alias("value")
     )
 
 
+def baselines(buckets: DataFrame) -> DataFrame:
+    """One row per run with a struct (mean, std) per metric, NULL without buckets.
+
+    All metrics in one aggregation, combined before its shuffle. A single bucket has no
+    spread, which counts as zero.
+    """
+    def of(domain: str) -> Column:
+        value = F.when(c("domain") == domain, c("value"))
+        return F.when(
+            F.count(value) > 0,
+            F.struct(
+                F.avg(value).alias("mean"),
+                F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"),
+            ),
+        )
+
+    return buckets.groupBy(RUN).agg(*[of(domain).alias(metric) for metric, domain, _ in METRICS])
+
+
 def baseline_stats(buckets: DataFrame) -> DataFrame:
-    """(run, metric, mean, std). One bucket has no spread, which counts as zero."""
-    return buckets.groupBy(RUN, "domain").agg(
-        F.coalesce(F.avg("value"), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),
-    ).select(RUN, _metric_name().alias("metric"), "mean", "std")
+    """(run, metric, mean, std) of every metric that has a baseline."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(metric).alias("metric"),
+                c(f"{metric}.mean").alias("mean"),
+                c(f"{metric}.std").alias("std"),
+            )
+            for metric, _, _ in METRICS
+        ]
+    )
+    return baselines(buckets).select(RUN, F.inline(rows)).where(c("mean").isNotNull())
 
 
 def anomaly_report(
-    snapshots: DataFrame, stats: DataFrame, cfg: MonitorConfig = DEFAULT
+    snapshots: DataFrame, per_run: DataFrame, cfg: MonitorConfig = DEFAULT
 ) -> DataFrame:
     """Snapshots with ``report``: struct(anomalies, anomaly_count, max_severity).
 
-    The statistics of a run become one row, so the join is on the run alone and meets both
-    sides where they already are. A metric without spread, or without a baseline, is skipped.
+    ``per_run`` holds the ``baselines``. A metric without spread, or without a baseline, is
+    skipped.
     """
-    per_run = stats.groupBy(RUN).agg(
-        *[
-            F.max(F.when(c("metric") == metric, F.struct("mean", "std"))).alias(metric)
-            for metric, _, _ in METRICS
-        ]
-    )
 
     def scored(metric: str, path: str) -> Column:
         mean, std = c(f"{metric}.mean"), c(f"{metric}.std")

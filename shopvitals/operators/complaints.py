@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopvitals.functions.json import parse_whole_json
+from shopvitals.functions.json import once, parse_whole_json
 
 LABEL_FIELDS = (
     "ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action",
@@ -69,10 +69,9 @@ def keyword_labels(text: Column) -> Column:
 
 def classify_complaint_rules(events: DataFrame, cfg=None, as_of=None) -> DataFrame:
     """Complaint events with the five rule labels added."""
-    return (
-        events.withColumn("_labels", keyword_labels(F.col("complaint_text")))
-        .select("*", *[F.col(f"_labels.{name}").alias(name) for name in LABEL_FIELDS])
-        .drop("_labels")
+    labelled = events.select("*", once(_labels=keyword_labels(F.col("complaint_text"))))
+    return labelled.select(
+        *events.columns, *[F.col(f"_labels.{name}").alias(name) for name in LABEL_FIELDS]
     )
 
 
@@ -82,22 +81,24 @@ def normalize_complaint_labels(answers: DataFrame, cfg=None, as_of=None) -> Data
     An answer that is no JSON object, or is missing, falls back to the keyword rules. A key
     absent from the answer takes its default; an explicit null stays NULL.
     """
-    answer = parse_whole_json(F.col("response"))
-    keys = F.json_object_keys(F.when(answer.isNotNull(), F.col("response")))
-
     def label(name: str) -> Column:
         key, default = MODEL_LABEL_KEYS[name]
         given = F.try_variant_get(F.col("_answer"), f"$.{key}", "string")
         return (
-            F.when(F.col("_keys").isNull(), F.col(f"_rules.{name}"))
+            F.when(
+                F.col("_answer").isNull() | F.col("_keys").isNull(), F.col(f"_rules.{name}")
+            )
             .when(F.array_contains("_keys", key), given)
             .otherwise(F.lit(default))
             .alias(name)
         )
 
-    return (
-        answers.withColumn("_answer", answer)
-        .withColumn("_keys", keys)
-        .withColumn("_rules", keyword_labels(F.col("complaint_text")))
-        .select(*answers.columns, *[label(name) for name in LABEL_FIELDS])
+    parsed = answers.select(
+        "*",
+        once(
+            _answer=parse_whole_json(F.col("response")),
+            _keys=F.json_object_keys("response"),
+            _rules=keyword_labels(F.col("complaint_text")),
+        ),
     )
+    return parsed.select(*answers.columns, *[label(name) for name in LABEL_FIELDS])

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopvitals import schemas
+from shopvitals.functions.json import once
 from shopvitals.functions.time import parse_event_ts
 from shopvitals.operators.complaints import classify_complaint_rules
 
@@ -74,20 +75,16 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     ``problem`` names the first thing wrong: text that is no JSON object, an absent required
     field, a missing key, or a value of the wrong type. Good rows carry NULL.
     """
-    text = c("value").cast("string")
     as_text = ", ".join(f"{name} string" for name in kind.fields)
+    event = F.from_json(
+        c("_text"),
+        f"{as_text}, _broken string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
+    )
     parsed = (
         messages.where(c("topic") == kind.topic)
-        .withColumn("_text", text)
-        .withColumn(
-            "_event",
-            F.from_json(
-                c("_text"),
-                f"{as_text}, _broken string",
-                {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
-            ),
-        )
-        .withColumn("_keys", F.json_object_keys("_text"))
+        .withColumn("_text", c("value").cast("string"))
+        .select("*", once(_event=event, _keys=F.json_object_keys("_text")))
     )
     typed: dict[str, Column] = {name: c(f"_event.{name}") for name in kind.fields}
     bad_type = F.lit(False)

@@ -23,7 +23,7 @@ def history_cells(raw: dict[str, DataFrame]) -> DataFrame:
 
 def reports_replay(cell_rows: DataFrame, cfg: MonitorConfig = DEFAULT) -> DataFrame:
     """(run_timestamp, features, report) at every tick of the history in ``cell_rows``."""
-    stats = anomalies.baseline_stats(anomalies.baseline_buckets(cell_rows, cfg))
+    stats = anomalies.baselines(anomalies.baseline_buckets(cell_rows, cfg))
     return anomalies.anomaly_report(features_replay(cell_rows, cfg), stats, cfg)
 
 
@@ -34,7 +34,7 @@ def reports_as_of(
     run = F.current_timestamp() if as_of is None else instant(as_of)
     buckets = anomalies.baseline_buckets_as_of(rows, run, cfg, as_of)
     return anomalies.anomaly_report(
-        features_as_of(rows, cfg, as_of), anomalies.baseline_stats(buckets), cfg
+        features_as_of(rows, cfg, as_of), anomalies.baselines(buckets), cfg
     )
 
 

@@ -96,7 +96,7 @@ def stream_doctor(
             (c(RUN) >= tick_time(F.lit(first_tick))) & (c(RUN) <= tick_time(F.lit(last_tick)))
         )
         snapshots = snapshot(windowed(recent, cfg.window_cells).where(due), runs, cfg)
-        stats = anomalies.baseline_stats(anomalies.baseline_buckets(recent, cfg).where(due))
+        stats = anomalies.baselines(anomalies.baseline_buckets(recent, cfg).where(due))
         reports = anomalies.anomaly_report(snapshots, stats, cfg)
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
         alerted = (
