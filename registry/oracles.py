@@ -504,7 +504,10 @@ check(
     "stream_doctor",
     f"""SELECT run_timestamp, status, severity, issue_summary, array_to_string(tags, ',') AS tags,
                source, alert_fingerprint, alerted_at
-        FROM rule_decided WHERE run_timestamp <= {_closed}""",
+        FROM rule_decided
+        WHERE run_timestamp <= (SELECT max(cell_end) FROM (
+          SELECT time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS cell_end FROM ({_activity})
+        ) WHERE cell_end <= {_closed})""",
 )
 check(
     "stream_alert_dedup",
