@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shopvitals.operators.complaints import classify_complaint_rules
 from shopvitals.operators.features import activity
 from shopvitals.plans import monitor, warehouse
 from shopvitals.session import pin_session
-from shopvitals.sources.tables import fixture_view, scan_parquet
+from shopvitals.sources.tables import fixture_tables, fixture_view, scan_parquet
 from shopvitals.sources.topics import fixture_messages
 
 # Model answers, one or two attempts for each n. Runs unchanged in Spark and in the check.
@@ -65,9 +63,18 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = pin_session(spark)
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """Scan of one table of the test data; its footer is read once."""
+        if name not in self._tables:
+            self._tables[name] = scan_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
-    def view(self, name: str) -> DataFrame:
-        return fixture_view(self.spark, self.sf_dir, name)
+    def view(self, name: str, **instead: DataFrame) -> DataFrame:
+        """A fixture view; ``instead`` replaces source tables, for example by a stream."""
+        tables = {table: self.table(table) for table in fixture_tables(name) if table not in instead}
+        return fixture_view(name, {**tables, **instead})
 
     def raw(self, family: str, *names: str) -> dict[str, DataFrame]:
         """Raw tables of one family, all five unless named."""
@@ -80,9 +87,9 @@ class Inputs:
                 tables[name] = self.view(f"{family}_{name}")
         return tables
 
-    @cached_property
+    @property
     def events(self) -> DataFrame:
-        return scan_parquet(self.spark, f"{self.sf_dir}/events.parquet")
+        return self.table("events")
 
     def event_stream(self, path: str | None = None, glob: str = "events.parquet") -> DataFrame:
         return (
@@ -91,24 +98,18 @@ class Inputs:
             .parquet(path or self.sf_dir)
         )
 
-    @cached_property
+    @property
     def messages(self) -> DataFrame:
         return fixture_messages(self.events)
 
     def activity(self, events: DataFrame | None = None) -> DataFrame:
         """Activity rows of the event-grain family, optionally over a stream of events."""
-        if events is None:
-            raw = self.raw("b", *monitor.MONITORED)
-        else:
-            from shopvitals.sources.fixture_sql import VIEWS
-
-            raw = {
-                name: self.spark.sql(VIEWS[f"b_{name}"], events=events)
-                for name in ("raw_orders", "raw_payments", "raw_deliveries")
-            }
-            raw["raw_complaints"] = classify_complaint_rules(
-                self.spark.sql(VIEWS["b_complaint_events"], events=events)
-            )
+        instead = {} if events is None else {"events": events}
+        raw = {
+            name: self.view(f"b_{name}", **instead)
+            for name in ("raw_orders", "raw_payments", "raw_deliveries")
+        }
+        raw["raw_complaints"] = classify_complaint_rules(self.view("b_complaint_events", **instead))
         return activity(**raw)
 
     def cells(self, *names: str) -> DataFrame:
@@ -138,8 +139,7 @@ class Inputs:
         )
 
     def label_answers(self) -> DataFrame:
-        documents = scan_parquet(self.spark, f"{self.sf_dir}/documents.parquet")
-        documents.createOrReplaceTempView("_label_documents")
+        self.table("documents").createOrReplaceTempView("_label_documents")
         return self.spark.sql(LABEL_ANSWERS.replace("FROM documents", "FROM _label_documents"))
 
     def selected(self) -> DataFrame:

@@ -198,19 +198,21 @@ def alert_suppress(
 ) -> DataFrame:
     """Adds ``should_alert`` and ``suppression_reason`` to runs with ``candidate`` set.
 
-    ``history`` holds (alert_fingerprint, alerted_at) from before the first run; its last
-    alert per fingerprint opens the chain.
+    ``history`` holds (alert_fingerprint, alerted_at) of earlier alerts, none after the first
+    run; its last alert per fingerprint opens the chain.
     """
     key = ["alert_fingerprint", RUN]
     wanted = flagged.where("candidate").select(*key)
-    if history is not None:
+    if history is None:
+        sent = sent_alerts(wanted, cfg)
+    else:
         last = (
             history.where(c("alerted_at").isNotNull())
             .groupBy("alert_fingerprint")
             .agg(F.max("alerted_at").alias(RUN))
         )
-        wanted = wanted.unionByName(last)
-    sent = sent_alerts(wanted, cfg).withColumn("_sent", F.lit(True))
+        sent = sent_alerts(wanted.unionByName(last), cfg).join(last, key, "left_anti")
+    sent = sent.withColumn("_sent", F.lit(True))
     out = F.coalesce(c("_sent"), F.lit(False))
     return flagged.join(sent, key, "left").select(
         *flagged.columns,

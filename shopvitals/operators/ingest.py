@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -112,13 +113,32 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     )
 
 
-def _rows_of(decoded: DataFrame, kind: EventKind) -> DataFrame:
+def loadable(decoded: DataFrame, kind: EventKind) -> DataFrame:
+    """Decoded messages that are rows of the table, with ``offset`` to order them by."""
     rows = decoded.where(c("problem").isNull()).drop("problem", "topic", "value")
     if kind.table == "raw_complaints":
         rows = classify_complaint_rules(rows)
     return rows
 
 
+def broken(decoded: DataFrame) -> DataFrame:
+    """Decoded messages that cannot load."""
+    return decoded.where(c("problem").isNotNull()).select(
+        "topic", "offset", "value", "problem", "created_at"
+    )
+
+
+def log_rows(bad: DataFrame) -> DataFrame:
+    """Messages that cannot load as rows of ``pipeline_logs``."""
+    return bad.select(
+        F.xxhash64("topic", "offset").alias("log_id"),
+        F.lit("ingest").alias("component"),
+        F.lit("error").alias("status"),
+        F.concat_ws(": ", "topic", "problem", "value").alias("message"),
+        "created_at",
+    )
+
+
 def first_per_key(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order_by``.
 
@@ -154,16 +174,14 @@ def ingest_route(messages: DataFrame) -> dict[str, tuple[DataFrame, DataFrame]]:
     routed = {}
     for kind in EVENT_KINDS.values():
         decoded = decode(messages, kind)
-        bad = decoded.where(c("problem").isNotNull()).select(
-            "topic", "offset", "value", "problem", "created_at"
-        )
-        routed[kind.table] = (_rows_of(decoded, kind), bad)
+        routed[kind.table] = (loadable(decoded, kind), broken(decoded))
     return routed
 
 
 def _ingest(messages: DataFrame, name: str, existing: DataFrame | None) -> DataFrame:
     kind = EVENT_KINDS[name]
-    rows = dedup_first_write(_rows_of(decode(messages, kind), kind), kind.key, existing=existing)
+    rows = loadable(decode(messages, kind), kind)
+    rows = dedup_first_write(rows, kind.key, existing=existing)
     return rows.select(*[f.name for f in schemas.RAW_TABLES[kind.table]])
 
 
@@ -189,18 +207,10 @@ def ingest_complaints(messages: DataFrame, existing: DataFrame | None = None) ->
 
 def quarantine(messages: DataFrame) -> DataFrame:
     """Messages that cannot load, as rows for ``pipeline_logs``. Good rows are unaffected."""
-    logs = None
-    for kind in EVENT_KINDS.values():
-        bad = decode(messages, kind).where(c("problem").isNotNull())
-        rows = bad.select(
-            F.xxhash64("topic", "offset").alias("log_id"),
-            F.lit("ingest").alias("component"),
-            F.lit("error").alias("status"),
-            F.concat_ws(": ", "topic", "problem", "value").alias("message"),
-            "created_at",
-        )
-        logs = rows if logs is None else logs.unionByName(rows)
-    return logs
+    return reduce(
+        DataFrame.unionByName,
+        [log_rows(broken(decode(messages, kind))) for kind in EVENT_KINDS.values()],
+    )
 
 
 def parse_event_times(messages: DataFrame) -> DataFrame:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
+from shopvitals import schemas
 from shopvitals.config import DEFAULT, MonitorConfig
-from shopvitals.functions.time import instant
+from shopvitals.functions.time import instant, within_last
 from shopvitals.operators import anomalies, decisions, diagnosis, model_contract
-from shopvitals.operators.features import activity, cells, features_as_of, features_replay
+from shopvitals.operators.features import (
+    RUN, activity, cells, features_as_of, features_replay, single_run,
+)
+from shopvitals.operators.sinks import append_diagnoses
 from shopvitals.session import materialize
 
 MONITORED = ("raw_orders", "raw_payments", "raw_deliveries", "raw_complaints")
@@ -74,3 +79,53 @@ def replay(
 ) -> DataFrame:
     """Audit rows of the whole history of the raw tables, one job."""
     return audit_rows(reports_replay(history_cells(raw), cfg), responses, cfg)
+
+
+def run_once(
+    raw: dict[str, DataFrame],
+    audit_path: str,
+    responses: DataFrame | None = None,
+    cfg: MonitorConfig = DEFAULT,
+    as_of: datetime | str | None = None,
+) -> None:
+    """One scheduled run: diagnose, decide against the stored audit table, append the row.
+
+    The run never passes silently: when it breaks, a fallback row with the probes' figures is
+    appended instead, and if those cannot be had either, the emergency row.
+    """
+    rows = activity(**{name: raw[name] for name in MONITORED})
+    spark = rows.sparkSession
+    # The run's instant is fixed here, so that every part of the job sees the same one.
+    run = as_of or single_run(spark, None).select(F.col(RUN).cast("string")).first()[0]
+    try:
+        stored = spark.read.schema(schemas.DIAGNOSES).parquet(audit_path)
+        window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
+        recent = stored.where(F.col("alerted_at") >= instant(run) - window)
+        record = audit_rows(reports_as_of(rows, cfg, run), responses, cfg, recent)
+        append_diagnoses(record, audit_path)
+    except PySparkException:
+        try:
+            figures = probes_as_of(rows, cfg, run).first()
+            failed = spark.createDataFrame([(*figures, False)], FAILED_RUN)
+        except PySparkException:
+            failed = spark.createDataFrame([(None, None, True)], FAILED_RUN)
+        broken = diagnosis.dag_fallback_rows(failed.select(instant(run).alias(RUN), "*"), cfg)
+        append_diagnoses(decisions.with_ids(broken), audit_path)
+
+
+FAILED_RUN = "orders_count bigint, failure_rate double, lost_audit boolean"
+
+
+def probes_as_of(rows: DataFrame, cfg: MonitorConfig, as_of: datetime | str | None) -> DataFrame:
+    """(orders_count, failure_rate) as the health probes of a single run see them."""
+    recent = within_last(F.col("event_ts"), cfg.recent_orders_minutes, as_of)
+    hour = within_last(F.col("event_ts"), cfg.payment_probe_hours * 60, as_of)
+    paid = F.col("domain") == "payments"
+    return rows.where(hour).agg(
+        F.count_if((F.col("domain") == "orders") & recent).alias("orders_count"),
+        F.coalesce(
+            F.count_if(paid & F.col("hit")).cast("double")
+            / F.nullif(F.count_if(paid), F.lit(0)).cast("double"),
+            F.lit(0.0),
+        ).alias("failure_rate"),
+    )

@@ -72,12 +72,12 @@ def scan_backup(
 SOURCE_TABLES = ("orders", "customer", "nation", "lineitem", "supplier", "events", "documents")
 
 
-def fixture_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the raw tables of ``fixture_sql`` over the Parquet files in ``sf_dir``."""
-    text = VIEWS[name]
-    tables = {
-        table: scan_parquet(spark, f"{sf_dir}/{table}.parquet")
-        for table in SOURCE_TABLES
-        if "{" + table + "}" in text
-    }
-    return spark.sql(text, **tables)
+def fixture_tables(name: str) -> list[str]:
+    """Source tables a fixture view reads."""
+    return [table for table in SOURCE_TABLES if "{" + table + "}" in VIEWS[name]]
+
+
+def fixture_view(name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """One of the raw tables of ``fixture_sql`` over scans of its source tables."""
+    read = {table: tables[table] for table in fixture_tables(name)}
+    return next(iter(read.values())).sparkSession.sql(VIEWS[name], **read)

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals import schemas
-from shopvitals.operators.ingest import EVENT_KINDS, dedup_first_write, ingest_route
+from shopvitals.operators.ingest import (
+    EVENT_KINDS, broken, decode, dedup_first_write, loadable, log_rows,
+)
 from shopvitals.streaming.sinks import create_table, read_table, write_batch
 
 c = F.col
 
 
-def _logs(bad: DataFrame) -> DataFrame:
-    return bad.select(
-        F.xxhash64("topic", "offset").alias("log_id"),
-        F.lit("ingest").alias("component"),
-        F.lit("error").alias("status"),
-        F.concat_ws(": ", "topic", "problem", "value").alias("message"),
-        "created_at",
-    )
-
-
 def stream_ingest(
     messages: DataFrame,
     root: str,
@@ -35,24 +29,27 @@ def stream_ingest(
     as a single column and cut to the batch's keys before they meet it.
     """
     spark = messages.sparkSession
-    kinds = {kind.table: kind for kind in EVENT_KINDS.values()}
-    for table in kinds:
-        create_table(spark, f"{root}/{table}", schemas.RAW_TABLES[table])
+    for kind in EVENT_KINDS.values():
+        create_table(spark, f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table])
     create_table(spark, f"{root}/pipeline_logs", schemas.PIPELINE_LOGS)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # every topic reads it, for rows, keys and logs
+        kept = [batch.persist()]  # read once per topic
         try:
-            logs = None
-            for table, (rows, bad) in ingest_route(batch).items():
-                kind, schema = kinds[table], schemas.RAW_TABLES[table]
-                held = read_table(batch.sparkSession, f"{root}/{table}", schema, batch_id)
-                new = dedup_first_write(rows, kind.key, existing=held)
-                write_batch(new.select(*schema.names), f"{root}/{table}", batch_id)
-                logs = _logs(bad) if logs is None else logs.unionByName(_logs(bad))
-            write_batch(logs, f"{root}/pipeline_logs", batch_id)
+            logs = []
+            for kind in EVENT_KINDS.values():
+                # Read for its rows, its keys and its broken messages.
+                decoded = decode(batch, kind).persist()
+                kept.append(decoded)
+                path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
+                held = read_table(batch.sparkSession, path, schema, batch_id)
+                new = dedup_first_write(loadable(decoded, kind), kind.key, existing=held)
+                write_batch(new.select(*schema.names), path, batch_id)
+                logs.append(log_rows(broken(decoded)))
+            write_batch(reduce(DataFrame.unionByName, logs), f"{root}/pipeline_logs", batch_id)
         finally:
-            batch.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     return (
         messages.writeStream.foreachBatch(load)

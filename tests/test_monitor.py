@@ -278,3 +278,26 @@ def test_success_and_failure_stay_within_total(spark):
     wrong = snapshots.where("features.payments.failed + features.payments.success > features.payments.total")
     assert wrong.isEmpty()
     assert math.isclose(snapshots.agg(F.max("features.payments.failure_rate")).first()[0], 1.0)
+
+
+def test_scheduled_runs_append_and_never_pass_silently(raw, spark, tmp_path):
+    from shopvitals import schemas
+
+    audit = str(tmp_path / "audit")
+    spark.createDataFrame([], schemas.DIAGNOSES).write.parquet(f"{audit}/run_date=2024-01-01")
+    rows = features.activity(*[raw[n] for n in monitor.MONITORED])
+    # A run that alerts, and the same finding ten minutes later.
+    decided = monitor.replay(raw).where("alerted_at is not null").orderBy("run_timestamp").first()
+    at = spark.createDataFrame([(decided["run_timestamp"],)], "t timestamp").select(F.col("t").cast("string")).first()[0]
+    for _ in range(2):
+        monitor.run_once(raw, audit, as_of=at)
+    stored = spark.read.parquet(audit).where("diagnosis_id is not null")
+    assert [r["alerted_at"] is not None for r in stored.orderBy(F.col("alerted_at").isNull()).collect()] == [True, False]
+
+    broken = {**raw, "raw_complaints": raw["raw_complaints"].withColumn(
+        "ai_severity", F.raise_error(F.lit("gone")).cast("string"))}
+    monitor.run_once(broken, audit, as_of="2024-03-01 02:00:00")
+    last = spark.read.parquet(audit).where("source like 'dag%'").collect()
+    assert len(last) == 1 and last[0]["status"] in ("degraded", "warning")
+    probes = monitor.probes_as_of(rows, MonitorConfig(), "2024-03-01 02:00:00").first()
+    assert probes["orders_count"] > 0 and 0 <= probes["failure_rate"] <= 1
