@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from shopvitals.operators.complaints import classify_complaint_rules
 from shopvitals.operators.features import activity
 from shopvitals.plans import monitor, warehouse
-from shopvitals.session import pin_session
+from shopvitals.session import pin_session, pin_streaming
 from shopvitals.sources.tables import fixture_tables, fixture_view, scan_parquet
 from shopvitals.sources.topics import fixture_messages
 
@@ -93,7 +93,7 @@ class Inputs:
 
     def event_stream(self, path: str | None = None, glob: str = "events.parquet") -> DataFrame:
         return (
-            self.spark.readStream.schema(self.events.schema)
+            pin_streaming(self.spark).readStream.schema(self.events.schema)
             .option("pathGlobFilter", glob)
             .parquet(path or self.sf_dir)
         )

@@ -131,7 +131,8 @@ def ticks(cell_rows: DataFrame) -> DataFrame:
 def serve_ticks(cell_rows: DataFrame, window_cells: int) -> DataFrame:
     """Each cell once per tick whose window holds it, placed by tick.
 
-    Everything after this groups by the tick (and more), so it needs no further shuffle.
+    Everything after this groups by the tick (and more), so it needs no further shuffle. A
+    tick holds at most ``window_cells`` rows per distinct label, however busy it was.
     """
     return cell_rows.select(
         served_ticks(c("cell"), window_cells).alias(RUN), *cell_rows.columns

@@ -6,8 +6,10 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+
+from shopvitals.session import side_by_side
 
 c = F.col
 
@@ -27,6 +29,20 @@ def _written(name: str, frame: DataFrame, path: str, write) -> tuple:
     return (name, rows.get["rows"], stored_kb(frame.sparkSession, path), path, "success")
 
 
+def _replace(name: str, frame: DataFrame, path: str) -> tuple:
+    """Overwrite ``path`` unless the table is empty; a failure becomes a summary row."""
+    try:
+        if frame.isEmpty():
+            return (name, 0, 0.0, path, "skipped")
+        return _written(name, frame, path, lambda rows: rows.write.mode("overwrite").parquet(path))
+    except PySparkException as error:
+        return (name, None, None, path, f"failed: {type(error).__name__}")
+
+
+def _session(tables: Mapping[str, DataFrame]) -> SparkSession:
+    return next(iter(tables.values())).sparkSession
+
+
 def _as_text(frame: DataFrame) -> list:
     """Columns with nested values as JSON text; flat columns as they are."""
     return [
@@ -39,15 +55,16 @@ def _as_text(frame: DataFrame) -> list:
 
 def export_csv(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Each table as CSV files with a header under ``root/<table>``."""
-    results = []
-    for name, table in tables.items():
-        path = f"{root}/{name}"
+
+    def export(name: str) -> tuple:
+        path, table = f"{root}/{name}", tables[name]
 
         def write(rows: DataFrame) -> None:
             rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
-        results.append(_written(name, table.select(*_as_text(table)), path, write))
-    return load_summary(next(iter(tables.values())).sparkSession, results)
+        return _written(name, table.select(*_as_text(table)), path, write)
+
+    return load_summary(_session(tables), side_by_side(export, tables))
 
 
 def backup_parquet(tables: Mapping[str, DataFrame], root: str, run_at: datetime) -> DataFrame:
@@ -57,21 +74,13 @@ def backup_parquet(tables: Mapping[str, DataFrame], root: str, run_at: datetime)
     folder is overwritten on a retry, so a repeated run does not duplicate its rows. Rows are
     counted while they are written.
     """
-    results = []
     stamp = run_at.strftime("%Y%m%d_%H%M%S")
     day = f"year={run_at:%Y}/month={run_at:%m}/day={run_at:%d}/run={stamp}"
-    for name, table in tables.items():
-        path = f"{root}/{name}/{day}"
-        try:
-            if table.isEmpty():
-                results.append((name, 0, 0.0, None, "skipped"))
-                continue
-            results.append(
-                _written(name, table, path, lambda rows: rows.write.mode("overwrite").parquet(path))
-            )
-        except PySparkException as error:
-            results.append((name, None, None, path, f"failed: {type(error).__name__}"))
-    return load_summary(next(iter(tables.values())).sparkSession, results)
+
+    def back_up(name: str) -> tuple:
+        return _replace(name, tables[name], f"{root}/{name}/{day}")
+
+    return load_summary(_session(tables), side_by_side(back_up, tables))
 
 
 def clean_for_load(table: DataFrame) -> DataFrame:
@@ -99,20 +108,11 @@ def warehouse_refresh(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
     An empty input leaves the stored table as it is: emptiness is checked before anything is
     overwritten. One table's failure does not stop the others.
     """
-    results = []
-    for name, table in tables.items():
-        path = f"{root}/{name.upper()}"
-        try:
-            cleaned = clean_for_load(table)
-            if cleaned.isEmpty():
-                results.append((name, 0, 0.0, path, "skipped"))
-                continue
-            results.append(
-                _written(name, cleaned, path, lambda rows: rows.write.mode("overwrite").parquet(path))
-            )
-        except PySparkException as error:
-            results.append((name, None, None, path, f"failed: {type(error).__name__}"))
-    return load_summary(next(iter(tables.values())).sparkSession, results)
+
+    def refresh(name: str) -> tuple:
+        return _replace(name, clean_for_load(tables[name]), f"{root}/{name.upper()}")
+
+    return load_summary(_session(tables), side_by_side(refresh, tables))
 
 
 def warehouse_refresh_jdbc(table: DataFrame, url: str, name: str, options: dict[str, str]) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from shopvitals.operators import marts
 from shopvitals.operators.staging import STAGING
+from shopvitals.session import side_by_side
 
 # Marts in dependency order with their inputs.
 MARTS = {
@@ -55,12 +56,21 @@ def mart_frames(staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def write_marts(staging: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Write each mart under ``root`` and return the stored tables.
 
-    The daily health mart reads the stored marts, so staging is scanned once per mart.
+    Marts whose inputs are there are written at the same time. The daily health mart reads the
+    stored marts, so staging is scanned once per mart.
     """
     built: dict[str, DataFrame] = dict(staging)
-    for name, (build, inputs) in MARTS.items():
+
+    def store(name: str) -> DataFrame:
+        build, inputs = MARTS[name]
         mart = build(*[built[i] for i in inputs])
         path = f"{root}/{name}"
         mart.sortWithinPartitions(MART_DAYS[name]).write.mode("overwrite").parquet(path)
-        built[name] = mart.sparkSession.read.schema(mart.schema).parquet(path)
+        return mart.sparkSession.read.schema(mart.schema).parquet(path)
+
+    waiting = list(MARTS)
+    while waiting:
+        ready = [name for name in waiting if all(i in built for i in MARTS[name][1])]
+        built.update(zip(ready, side_by_side(store, ready)))
+        waiting = [name for name in waiting if name not in ready]
     return {name: built[name] for name in MARTS}

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +19,19 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pin_streaming(spark: SparkSession) -> SparkSession:
+    """Keep streaming state on local disk with changelogs in the checkpoint, not on the heap.
+
+    To be set before a query's first start; a checkpoint keeps the store it began with.
+    """
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -39,3 +55,13 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     path = shared_dir(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def side_by_side(job: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
+    """Start one Spark job per item at the same time; results in the order of the items.
+
+    For writes that share nothing: while one has few tasks left, the others use the cluster.
+    """
+    items = list(items)
+    with ThreadPoolExecutor(max(1, min(8, len(items)))) as pool:
+        return list(pool.map(job, items))

@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals import schemas
 from shopvitals.operators.ingest import (
-    EVENT_KINDS, broken, decode, dedup_first_write, loadable, log_rows,
+    EVENT_KINDS, EventKind, broken, decode, dedup_first_write, loadable, log_rows,
 )
+from shopvitals.session import side_by_side
 from shopvitals.streaming.sinks import create_table, read_table, write_batch
 
 c = F.col
@@ -35,17 +36,19 @@ def stream_ingest(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         kept = [batch.persist()]  # read once per topic
+
+        def load_topic(kind: EventKind) -> DataFrame:
+            # Read for its rows, its keys and its broken messages.
+            decoded = decode(batch, kind).persist()
+            kept.append(decoded)
+            path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
+            held = read_table(batch.sparkSession, path, schema, batch_id)
+            new = dedup_first_write(loadable(decoded, kind), kind.key, existing=held)
+            write_batch(new.select(*schema.names), path, batch_id)
+            return log_rows(broken(decoded))
+
         try:
-            logs = []
-            for kind in EVENT_KINDS.values():
-                # Read for its rows, its keys and its broken messages.
-                decoded = decode(batch, kind).persist()
-                kept.append(decoded)
-                path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
-                held = read_table(batch.sparkSession, path, schema, batch_id)
-                new = dedup_first_write(loadable(decoded, kind), kind.key, existing=held)
-                write_batch(new.select(*schema.names), path, batch_id)
-                logs.append(log_rows(broken(decoded)))
+            logs = side_by_side(load_topic, EVENT_KINDS.values())
             write_batch(reduce(DataFrame.unionByName, logs), f"{root}/pipeline_logs", batch_id)
         finally:
             for frame in kept:
