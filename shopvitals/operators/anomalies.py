@@ -88,7 +88,10 @@ def baseline_buckets_as_of(
         F.count("*").alias("n"), F.count_if("hit").alias("hits")
     )
     return counted.select(
-        runs.alias(RUN), "domain", "bucket", _bucket_value(c("n"), c("hits")).alias("value")
+        F.when(c("n") > 0, runs).alias(RUN),
+        "domain",
+        "bucket",
+        _bucket_value(c("n"), c("hits")).alias("value"),
     )
 
 

@@ -152,19 +152,23 @@ def windowed(cell_rows: DataFrame, window_cells: int) -> DataFrame:
 def windowed_as_of(
     rows: DataFrame, minutes: int, as_of: datetime | str | None
 ) -> DataFrame:
-    """``windowed`` for a single run; the time filter reaches the scans."""
+    """``windowed`` for a single run; the time filter reaches the scans.
+
+    The run's instant hangs on a column: as a mere constant it would be folded out of the joins
+    on it, and they would no longer be joins on equality.
+    """
     run = F.current_timestamp() if as_of is None else instant(as_of)
     return (
         rows.where(within_last(c("event_ts"), minutes, as_of))
         .groupBy("domain", "label")
         .agg(*_row_measures())
-        .withColumn(RUN, run)
+        .withColumn(RUN, F.when(c("n") > 0, run))
     )
 
 
 def single_run(spark: SparkSession, as_of: datetime | str | None) -> DataFrame:
     run = F.current_timestamp() if as_of is None else instant(as_of)
-    return spark.range(1).select(run.alias(RUN))
+    return spark.range(1).select(F.when(c("id") >= 0, run).alias(RUN))
 
 
 # ------------------------------------------------------------------------ snapshot

@@ -301,3 +301,10 @@ def test_scheduled_runs_append_and_never_pass_silently(raw, spark, tmp_path):
     assert len(last) == 1 and last[0]["status"] in ("degraded", "warning")
     probes = monitor.probes_as_of(rows, MonitorConfig(), "2024-03-01 02:00:00").first()
     assert probes["orders_count"] > 0 and 0 <= probes["failure_rate"] <= 1
+
+
+def test_a_single_run_joins_on_equality(raw):
+    rows = features.activity(*[raw[n] for n in monitor.MONITORED])
+    for as_of in ("2024-03-01 02:00:00", None):
+        plan = monitor.reports_as_of(rows, as_of=as_of)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
