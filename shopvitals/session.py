@@ -46,15 +46,27 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/shopvitals/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(frame: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate result to the shared folder and go on from the files.
+def materialize_at(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write an intermediate result to the shared folder; the frame to go on with, and its folder.
 
     For results that several branches of a plan read: the input is scanned once, a lost
     executor costs no recomputation, and the planner knows the size of what it joins.
+    The folder is for ``discard`` once nothing reads it any more.
     """
     path = shared_dir(frame.sparkSession, label)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
+
+
+def materialize(frame: DataFrame, label: str) -> DataFrame:
+    """As ``materialize_at``, where the caller's result still reads the folder when it returns."""
+    return materialize_at(frame, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``materialize_at`` wrote, through Spark's own file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def side_by_side(job: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
