@@ -7,6 +7,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from registry.inputs import Inputs
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 from shopvitals.operators import features, ingest
 from shopvitals.plans import monitor
 from tests.conftest import TESTDATA
@@ -15,7 +17,6 @@ duckdb = pytest.importorskip("duckdb")
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, ORACLES = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,7 @@ def ordered(rows):
 
 def test_every_query_has_its_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
