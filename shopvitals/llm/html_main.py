@@ -26,13 +26,14 @@ SAMPLE_PAGES = 512
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|template|noscript|iframe|svg|math|head)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?P<close>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-zA-Z][^<>]*(?:>|\Z|(?=<))"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 CLASS = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: HTML's own names: fixed values.
+DIGITS, WORDS = re.compile(r"\d+"), re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINER = frozenset("body nav header footer aside form article main section div dialog menu table figure select button".split())
 BLOCK = frozenset(
@@ -48,43 +49,52 @@ AGAINST = frozenset(
 NAMED_ARTICLE = frozenset(("article", "main", "articlebody"))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
-    """(kind "tag" or "text", place, text, block, whether inside a marked article) in page order."""
-    stack: list[tuple[str, str]] = []
-    block = 0
+def named(attrs: str) -> str:
+    """The classes, id and role of a tag, digits made equal, as part of a place's name."""
+    if "=" not in attrs:
+        return ""
+    names = " ".join(a or b or c for a, b, c in CLASS.findall(attrs)).lower()
+    return "".join(f".{n}" for n in sorted(set(DIGITS.sub("0", names).split())))
 
-    def place() -> str:
-        container = next((k for t, k in reversed(stack) if t in CONTAINER), "body")
-        inner = next((t for t, _ in reversed(stack) if t in BLOCK and t not in CONTAINER), "")
-        return f"{container}>{inner}"
 
-    def marked() -> bool:
-        return any(NAMED_ARTICLE & set(re.split(r"[.\W]+", k)) for _, k in stack)
+def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
+    """(kind "tag" or "text", place, text, block, whether inside a marked article) in page order.
 
+    A place is the innermost container, with its names, and the innermost block inside it.
+    """
+    stack = [("", "body", "body>", False)]  # tag, container, place, marked
+    block = 0
     for m in TOKEN.finditer(page):
-        if (text := m["text"]) is not None:
-            yield "text", place(), text, block, marked()
+        last = m.lastgroup
+        if last == "text":
+            _, _, place, marked = stack[-1]
+            yield "text", place, m["text"], block, marked
             continue
-        if not (tag := m["tag"]):
+        if last != "attrs":
             continue
-        tag = tag.lower()
-        if tag in BLOCK:
+        tag = m["tag"].lower()
+        is_block = tag in BLOCK
+        if is_block:
             block += 1
         if m["close"]:
-            yield "tag", "/" + tag, None, block, marked()
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is not None and (tag in CONTAINER or not any(t in CONTAINER for t, _ in stack[at:])):
-                del stack[at:]
+            yield "tag", "/" + tag, None, block, stack[-1][3]
+            if is_block:
+                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+                if at and (tag in CONTAINER or not any(x[0] in CONTAINER for x in stack[at:])):
+                    del stack[at:]
             continue
-        if tag in BLOCK:
-            while stack and stack[-1][0] in CLOSED_BY_BLOCK or stack and tag == "li" and stack[-1][0] == "li":
+        if is_block:
+            while stack[-1][0] in CLOSED_BY_BLOCK or tag == "li" == stack[-1][0]:
                 stack.pop()
-        names = " ".join(a or b or c for a, b, c in CLASS.findall(m["attrs"]))
-        names = ".".join(sorted(set(re.sub(r"\d+", "0", names.lower()).split())))
-        key = f"{tag}.{names}" if names else tag
-        yield "tag", key, None, block, marked()
-        if tag in BLOCK and tag not in VOID:
-            stack.append((tag, key))
+        names = named(m["attrs"])
+        _, container, _, marked = stack[-1]
+        yield "tag", tag + names, None, block, marked
+        if is_block and tag not in VOID:
+            if tag in CONTAINER:
+                marked = marked or not NAMED_ARTICLE.isdisjoint(WORDS.findall(tag + names))
+                stack.append((tag, tag + names, f"{tag}{names}>", marked))
+            else:
+                stack.append((tag, container, f"{container}>{tag}", marked))
 
 
 def count_places(page: str) -> Counter:
@@ -108,7 +118,7 @@ def score(kind: str, place: str, known: dict[tuple[str, str], float]) -> float:
     """The learned weight, or for a place never seen one by its names."""
     if (kind, place) in known:
         return known[kind, place]
-    against = bool(AGAINST & set(re.split(r"[^a-z]+", place.lower())))
+    against = not AGAINST.isdisjoint(WORDS.findall(place))
     if kind == "text":
         return -2.0 if against else 0.5 if place.endswith(">") else 1.0
     return -4.0 if against else -0.5
@@ -116,7 +126,12 @@ def score(kind: str, place: str, known: dict[tuple[str, str], float]) -> float:
 
 def main_text(page: str | None, known: dict[tuple[str, str], float]) -> str:
     """Text of the run with the largest sum, the shortest and first of equal ones."""
-    items = [(block, text, score(kind, place, known)) for kind, place, text, block, _ in tokens(page or "")]
+    seen: dict[tuple[str, str], float] = {}
+    items = []
+    for kind, place, text, block, _ in tokens(page or ""):
+        if (weight := seen.get((kind, place))) is None:
+            weight = seen[kind, place] = score(kind, place, known)
+        items.append((block, text, weight))
     best, start, end, total, since = 0.0, 0, 0, 0.0, 0
     for i, (_, text, weight) in enumerate(items):
         if total <= 0:

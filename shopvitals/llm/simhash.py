@@ -118,6 +118,8 @@ def grouped_bits(sample: np.ndarray, n_blocks: int) -> list[tuple[int, ...]]:
     Correlated bits together leave the blocks more independent of one another, so that fewer
     candidates pass several of them.
     """
+    if not len(sample):
+        sample = np.zeros(1, dtype=np.uint64)
     bits = ((sample[:, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)).astype(float)
     centred = bits - bits.mean(axis=0)
     scale = np.sqrt((centred**2).sum(axis=0)) + 1e-9

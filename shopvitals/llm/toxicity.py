@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A document's probability is the noisy-or of its sentences', 1 - prod(1 - p). Sentence weights are
-fitted so that these match the document labels, and then point at the sentences that offend.
-Features of a sentence are its distinct words and their beginnings. Sentences of over 40 words
-count as several.
+A document's probability is the noisy-or of its sentences' and of a leak that stands for labels
+no sentence explains, 1 - (1 - leak) prod(1 - p). Sentence weights are fitted so that these match
+the document labels, and then point at the sentences that offend. Features of a sentence are its
+distinct words and their beginnings, as far as they are tied to toxic labels. Sentences of over 40
+words count as several.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from shopvitals.llm.common import small_batches, whole_text
 #: Bounds of the sample the model is fitted on: labelled documents of each class (those with the
 #: least hashed ids), and the length up to which a document is taken into it.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 20_000
+#: Documents that must have a feature, and the chi-square by which it must be tied to the label.
+MIN_DOCS, MIN_TIE = 3, 12.0
 MAX_WORDS = 40
 CACHED_WORDS = 400_000
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -49,6 +52,7 @@ def features(word: str) -> list[int]:
 @dataclass
 class Model:
     bias: float
+    leak: float
     weights: dict[int, float]
 
     def word(self, word: str, cache: dict[str, float]) -> float:
@@ -73,60 +77,74 @@ class Model:
                 worst, start, end = z, a, b
         if not logits:
             return 0.0, 0.0, 0, 0
-        clean = np.logaddexp(0.0, logits).sum()
+        clean = np.logaddexp(0.0, [self.leak, *logits]).sum()
         return float(-np.expm1(-clean)), float(1 / (1 + np.exp(-max(worst, -700.0)))), start, end
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 80, penalty: float = 1e-4) -> Model:
+def fit(texts: list[str], labels: list[int], rounds: int = 200, penalty: float = 1e-4) -> Model:
     """Maximum likelihood of the document labels under the noisy-or, by scaled gradient steps.
 
-    Features of fewer than three documents are left out. Without both classes, nothing is learnt
-    and every score is near 0 (or near 1, if all are toxic).
+    Features of fewer than MIN_DOCS documents, and ones that toxic documents do not have clearly
+    more often, are left out. Without both classes, nothing is learnt and every score is near 0 (or
+    near 1, if all are toxic).
     """
     y = np.asarray(labels, dtype=float)
     if len(y) == 0 or y.min() == y.max():
-        return Model(8.0 if len(y) and y.max() == 1 else -8.0, {})
-    ids, inst, doc, n_docs = [], [], [], {}
+        return Model(8.0 if len(y) and y.max() == 1 else -12.0, -12.0, {})
     cache: dict[str, list[int]] = {}
-    for d, text in enumerate(texts):
-        seen: set[int] = set()
+    found, n_all, n_toxic = [], {}, {}
+    for text, label in zip(texts, labels):
+        inst, seen = [], set()
         for _, _, words in sentences(text or ""):
             own: set[int] = set()
             for w in set(words):
                 if w not in cache:
                     cache[w] = features(w)
                 own.update(cache[w])
-            ids.append(np.fromiter(own, np.int64, len(own)))
-            inst.append(len(own))
-            doc.append(d)
+            inst.append(own)
             seen |= own
+        found.append(inst)
         for f in seen:
-            n_docs[f] = n_docs.get(f, 0) + 1
-    kept = np.array(sorted(f for f, n in n_docs.items() if n >= 3), dtype=np.int64)
-    if not len(kept):
-        return Model(-8.0, {})
-    flat, row = np.concatenate(ids), np.repeat(np.arange(len(inst)), inst)
-    at = np.searchsorted(kept, flat)
-    known = kept[np.minimum(at, len(kept) - 1)] == flat
-    at, row, doc_of = at[known].astype(np.int32), row[known].astype(np.int32), np.asarray(doc)
-    w, b = np.zeros(len(kept)), -4.0
-    square_w, square_b = np.full(len(kept), 1e-3), 1e-3
-    n_inst = len(inst)
+            n_all[f] = n_all.get(f, 0) + 1
+            if label:
+                n_toxic[f] = n_toxic.get(f, 0) + 1
+    rate, kept = y.mean(), {}
+    for f, n in n_all.items():
+        toxic = n_toxic.get(f, 0)
+        if n >= MIN_DOCS and toxic > rate * n:
+            tie = (toxic - rate * n) ** 2 / (rate * (1 - rate) * n * (1 - n / (len(y) + 1)))
+            if tie >= MIN_TIE:
+                kept[f] = 0
+    for i, f in enumerate(sorted(kept)):
+        kept[f] = i
+    # sentences without a kept feature differ in nothing, so a document only counts them
+    row, at, doc_of, plain = [], [], [], np.zeros(len(y))
+    for d, inst in enumerate(found):
+        for own in inst:
+            known = [kept[f] for f in own if f in kept]
+            if known:
+                row += [len(doc_of)] * len(known)
+                at += known
+                doc_of.append(d)
+            else:
+                plain[d] += 1
+    row, at, doc_of = (np.asarray(x, dtype=np.int64) for x in (row, at, doc_of))
+    theta = np.concatenate([np.full(len(kept), 1.0), [-8.0, -4.0]])  # weights, bias, leak
+    square = np.full(len(theta), 1e-3)
+    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -35, 35)))
     for _ in range(rounds):
-        z = b + np.bincount(row, w[at], n_inst)
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.bincount(doc_of, np.logaddexp(0.0, z), len(y))
-        whole = np.clip(-np.expm1(-clean), 1e-9, 1.0)
-        pull = np.where(y > 0, np.exp(-clean) / whole, -1.0)
-        g = p * pull[doc_of]
-        gw = np.bincount(at, g[row], len(kept)) - penalty * len(y) * w
-        gb = g.sum()
-        square_w += gw * gw
-        square_b += gb * gb
-        w += 0.5 * gw / np.sqrt(square_w)
-        b += 0.5 * gb / np.sqrt(square_b)
-    used = np.abs(w) > 1e-3
-    return Model(float(b), dict(zip(kept[used].tolist(), w[used].tolist())))
+        w, bias, leak = theta[:-2], theta[-2], theta[-1]
+        z = bias + np.bincount(row, w[at], len(doc_of))
+        clean = np.bincount(doc_of, np.logaddexp(0.0, z), len(y)) + plain * np.logaddexp(0.0, bias) + np.logaddexp(0.0, leak)
+        pull = np.where(y > 0, np.exp(-clean) / np.clip(-np.expm1(-clean), 1e-9, 1.0), -1.0)
+        g = sigmoid(z) * pull[doc_of]
+        step = np.concatenate([
+            np.bincount(at, g[row], len(kept)) - penalty * len(y) * w,
+            [g.sum() + sigmoid(bias) * (plain * pull).sum(), sigmoid(leak) * pull.sum()],
+        ])
+        square += step * step
+        theta += 0.5 * step / np.sqrt(square)
+    return Model(float(theta[-2]), float(theta[-1]), {f: float(theta[i]) for f, i in kept.items()})
 
 
 def held_out(doc_id):
@@ -164,7 +182,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     """
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast((model.bias, model.weights))
+    shared = spark.sparkContext.broadcast((model.bias, model.leak, model.weights))
 
     @F.pandas_udf("score double, predicted int, worst_score double, worst_start long, worst_end long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -187,7 +205,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic, with their own columns."""
     small_batches(documents.sparkSession)
-    shared = documents.sparkSession.sparkContext.broadcast((model.bias, model.weights))
+    shared = documents.sparkSession.sparkContext.broadcast((model.bias, model.leak, model.weights))
 
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
