@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -91,37 +92,32 @@ def fit(texts: list[str], labels: list[int], rounds: int = 200, penalty: float =
     y = np.asarray(labels, dtype=float)
     if len(y) == 0 or y.min() == y.max():
         return Model(8.0 if len(y) and y.max() == 1 else -12.0, -12.0, {})
-    cache: dict[str, list[int]] = {}
-    found, n_all, n_toxic = [], {}, {}
+    n_all, n_toxic = Counter(), Counter()
     for text, label in zip(texts, labels):
-        inst, seen = [], set()
-        for _, _, words in sentences(text or ""):
-            own: set[int] = set()
-            for w in set(words):
-                if w not in cache:
-                    cache[w] = features(w)
-                own.update(cache[w])
-            inst.append(own)
-            seen |= own
-        found.append(inst)
-        for f in seen:
-            n_all[f] = n_all.get(f, 0) + 1
-            if label:
-                n_toxic[f] = n_toxic.get(f, 0) + 1
+        words = {w for _, _, words in sentences(text or "") for w in words}
+        seen = {f for w in words for f in features(w)}
+        n_all.update(seen)
+        if label:
+            n_toxic.update(seen)
     rate, kept = y.mean(), {}
-    for f, n in n_all.items():
-        toxic = n_toxic.get(f, 0)
+    for f, toxic in n_toxic.items():
+        n = n_all[f]
         if n >= MIN_DOCS and toxic > rate * n:
             tie = (toxic - rate * n) ** 2 / (rate * (1 - rate) * n * (1 - n / (len(y) + 1)))
             if tie >= MIN_TIE:
                 kept[f] = 0
+    n_all.clear()
     for i, f in enumerate(sorted(kept)):
         kept[f] = i
     # sentences without a kept feature differ in nothing, so a document only counts them
-    row, at, doc_of, plain = [], [], [], np.zeros(len(y))
-    for d, inst in enumerate(found):
-        for own in inst:
-            known = [kept[f] for f in own if f in kept]
+    row, at, doc_of, plain, cache = [], [], [], np.zeros(len(y)), {}
+    for d, text in enumerate(texts):
+        for _, _, words in sentences(text or ""):
+            known: set[int] = set()
+            for w in set(words):
+                if w not in cache:
+                    cache[w] = [kept[f] for f in features(w) if f in kept]
+                known.update(cache[w])
             if known:
                 row += [len(doc_of)] * len(known)
                 at += known
