@@ -20,19 +20,20 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shopvitals.llm.common import components, forest, shuffle_partitions, small_batches, whole_text
+from shopvitals.llm.common import attach, components, forest, shuffle_partitions, small_batches, whole_text
 from shopvitals.session import discard, materialize, materialize_at
 
 SEED = 42
 BITS = 64
 #: Bound of the sample that the blocks and thresholds are planned on.
 SAMPLE = 2048
-#: Cost of one probe (dealt, sorted, read) in verified pairs, as measured.
-PROBE_COST = 200.0
-#: Members of a cell that one task compares; larger cells are refined or cut.
+#: Cost of one probe (dealt, sorted, read) in verified pairs, as measured: 2 us against 2 ns.
+PROBE_COST = 1000.0
+#: Members at home in a cell that is compared as it is; larger cells are refined or cut.
 CELL = 4096
-#: Up to so many bits an oversized cell is refined by its other bits; beyond, it is cut in parts.
-REFINED_BITS = 4
+#: Up to so many bits an oversized cell is refined by its other bits; beyond, it is cut in parts, and
+#: only from so many times as many members.
+REFINED_BITS, CUT_CELLS = 4, 8
 #: Odd multipliers that make three more hash values of one, for the 192 bits of the sketch.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 LINK = "a long, b long"
@@ -238,65 +239,74 @@ def refined(rows: DataFrame, max_bits: int) -> DataFrame:
 
 
 def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.DataFrame]:
-    """Links of the cells of a partition sorted by key, as forests (a, least member b).
+    """Links of the cells of a partition sorted by key, homes first, as forests (a, least member b).
 
-    The rows of the last cell of a batch wait for the next batch. Cells are compared row against
-    the d-th next row, for growing d, all cells of the batch at once; links are reduced to forests
-    whenever many have gathered, so memory follows the batch and not the pairs.
+    Each cell's homes are compared with all its members, some thousands at a time. The rows of the
+    last cell of a batch wait for the next batch; of a long cell only the homes wait, as its visitors
+    have met them. Links are reduced to forests whenever many have gathered, so memory follows the
+    homes of a cell and not its pairs.
     """
-    waiting: pd.DataFrame | None = None
-
-    def linked(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        n = len(rows)
-        if n < 2:
-            return
+    names = ["fp", "s1", "s2", "s3"] if max_sketch is not None else ["fp"]
+    us: list[np.ndarray] = []
+    vs: list[np.ndarray] = []
+
+    def compare(node, bits, n_homes: int, met: int) -> None:
+        """Homes against the members from ``met`` on, and those homes against all."""
+        for i in range(0, n_homes, 256):
+            for j in range(met if i < met else i, len(node), 8192):
+                end = min(i + 256, n_homes)
+                apart = np.bitwise_count(bits[0][i:end, None] ^ bits[0][None, j : j + 8192])
+                x, y = np.nonzero(apart <= max_bits)
+                x, y = x + i, y + j
+                new = x < y
+                x, y = x[new], y[new]
+                if max_sketch is not None and len(x):
+                    total = sum(np.bitwise_count(b[x] ^ b[y]).astype(np.int64) for b in bits)
+                    x, y = x[total <= max_sketch], y[total <= max_sketch]
+                if len(x):
+                    us.append(node[x])
+                    vs.append(node[y])
+
+    def reduced() -> pd.DataFrame:
+        u, v = np.concatenate(us), np.concatenate(vs)
+        us.clear()
+        vs.clear()
+        nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        root = forest(len(nodes), at[: len(u)], at[len(u) :])
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        return pd.DataFrame({"a": nodes[moved], "b": nodes[root[moved]]})
+
+    def cells(rows: pd.DataFrame, met: int) -> None:
         key, home = rows["key"].to_numpy(), rows["home"].to_numpy(bool)
-        fp = rows["fp"].to_numpy(np.int64).view(np.uint64)
-        more = [rows[c].to_numpy(np.int64).view(np.uint64) for c in ("s1", "s2", "s3")] if max_sketch is not None else []
         node = rows["node"].to_numpy(np.int64)
-        names, at_name = np.unique(node, return_inverse=True)
-        us, vs, gathered = [], [], 0
-        root = np.arange(len(names))
-        alive, d = np.arange(n - 1), 1
-        while True:
-            alive = alive[alive + d < n]
-            alive = alive[key[alive] == key[alive + d]]
-            if not len(alive):
-                break
-            i = alive[home[alive] | home[alive + d]]
-            apart = np.bitwise_count(fp[i] ^ fp[i + d])
-            ok = apart <= max_bits
-            i = i[ok]
-            if more and len(i):
-                total = apart[ok].astype(np.int64)
-                for s in more:
-                    total += np.bitwise_count(s[i] ^ s[i + d])
-                i = i[total <= max_sketch]
-            if len(i):
-                us.append(at_name[i])
-                vs.append(at_name[i + d])
-                gathered += len(i)
-            if gathered > 500_000:
-                root = forest(len(names), np.concatenate([*us, np.arange(len(names))]), np.concatenate([*vs, root]))
-                us, vs, gathered = [], [], 0
-            d += 1
-        if us:
-            root = forest(len(names), np.concatenate([*us, np.arange(len(names))]), np.concatenate([*vs, root]))
-        moved = np.flatnonzero(root != np.arange(len(names)))
-        if len(moved):
-            yield pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
-
+        bits = [rows[c].to_numpy(np.int64).view(np.uint64) for c in names]
+        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        for k in np.flatnonzero(np.diff(cuts) > 1):
+            a, b = cuts[k], cuts[k + 1]
+            if n_homes := int(home[a:b].sum()):
+                compare(node[a:b], [x[a:b] for x in bits], n_homes, met if k == 0 else 0)
+
+    waiting, met = None, 0  # rows of an unfinished cell, how many of them have met each other
     for batch in batches:
         rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
         if not len(rows):
             continue
-        last = rows["key"].to_numpy()
-        whole = int(np.flatnonzero(last != last[-1])[-1]) + 1 if (last != last[-1]).any() else 0
-        waiting = rows.iloc[whole:].reset_index(drop=True)
+        same = rows["key"].to_numpy() == rows["key"].iloc[-1]
+        whole = 0 if same.all() else int(np.flatnonzero(~same)[-1]) + 1
         if whole:
-            yield from linked(rows.iloc[:whole].reset_index(drop=True))
+            cells(rows.iloc[:whole], met)
+            met = 0
+        waiting = rows.iloc[whole:].reset_index(drop=True)
+        if len(waiting) > 32_768 and not waiting["home"].iloc[-1]:
+            cells(waiting, met)
+            waiting = waiting[waiting["home"]].reset_index(drop=True)
+            met = len(waiting)
+        if sum(map(len, us)) > 300_000:
+            yield reduced()
     if waiting is not None:
-        yield from linked(waiting)
+        cells(waiting, met)
+    if us:
+        yield reduced()
 
 
 def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
@@ -306,10 +316,12 @@ def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: in
     also differ in at most ``max_sketch`` of all 256 bits. The links returned connect the same nodes
     as all links do; no pair within the bounds is left unconnected.
 
-    A cell of more than ``cell`` members is never compared by one task: up to four bits it is dealt
-    anew by the bits it leaves open; else, or when few of them are left, it is cut into parts, and
-    each pair of parts meets in a cell of its own.
+    A cell with more than ``cell`` members at home is not compared by one task: up to four bits it is
+    dealt anew by the bits it leaves open. For more bits, or when few are left open, a cell of over
+    CUT_CELLS times as many is cut into parts, and each pair of parts meets in a cell of its own.
     """
+    if max_bits > REFINED_BITS:
+        cell *= CUT_CELLS
     spark = fps.sparkSession
     names = ["node", "fp", *(("s1", "s2", "s3") if max_sketch is not None else ())]
     n_rows = fps.count()
@@ -318,25 +330,25 @@ def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: in
     rows, path = materialize_at(probes(fps.select(*names), plan(numbers, n_rows, max_bits)), "probes")
     parts, folders = [], [path]
     while True:
-        large = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("used").alias("mask")).where(F.col("n") > cell)
+        large = rows.groupBy("key").agg(F.count_if("home").alias("n")).where(F.col("n") > cell)
         large, large_path = materialize_at(large, "cells")
         folders.append(large_path)
         n_large = large.count()
         if not n_large:
             parts.append(rows)
             break
-        marked = _marked(rows, large, n_large)
-        parts.append(marked.where(F.col("n").isNull()).drop("n", "mask"))
+        marked = attach(rows, large, ["key"], F.col("fp"), n_large)
+        parts.append(marked.where(F.col("n").isNull()).drop("n"))
         over = marked.where(F.col("n").isNotNull())
         open_bits = BITS - F.bit_count("used")
         can = (open_bits > 10) if max_bits <= REFINED_BITS else F.lit(False)
         parts.append(_cut(over.where(~can), cell))
-        rows, path = materialize_at(refined(over.where(can).drop("n", "mask"), max_bits), "probes")
+        rows, path = materialize_at(refined(over.where(can).drop("n"), max_bits), "probes")
         folders.append(path)
     every = parts[0].select("key", "home", *names)
     for part in parts[1:]:
         every = every.unionByName(part.select("key", "home", *names))
-    sorted_cells = every.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key")
+    sorted_cells = every.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", F.desc("home"))
     found = sorted_cells.mapInPandas(lambda batches: link_cells(batches, max_bits, max_sketch), LINK)
     out = materialize(found, "links")
     for folder in folders:
@@ -344,19 +356,13 @@ def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: in
     return out
 
 
-def _marked(rows: DataFrame, large: DataFrame, n_large: int) -> DataFrame:
-    from shopvitals.llm.common import attach
-
-    return attach(rows, large, ["key"], F.col("fp"), n_large)
-
-
 def _cut(over: DataFrame, cell: int) -> DataFrame:
     """Rows of oversized cells, copied to the pairs of parts (a, b) their part belongs to."""
     n_parts = F.ceil(F.col("n") / F.lit(cell / 2)).cast("int")
     cut = over.withColumn("_n", n_parts).withColumn("_part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("_n")).cast("int"))
     cut = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     pair = F.xxhash64("key", F.least("_part", "_other"), F.greatest("_part", "_other"))
-    return cut.withColumn("key", pair).drop("n", "mask", "_n", "_part", "_other")
+    return cut.withColumn("key", pair).drop("n", "_n", "_part", "_other")
 
 
 # ------------------------------------------------------------------- documents
