@@ -244,7 +244,7 @@ check(
 check(
     "llm_prompt",
     """SELECT run_timestamp, 'openai' AS provider, 'gpt-4o-mini' AS model,
-              '=== CURRENT METRICS (last 30 min) ===' AS heading, CAST(orders AS DOUBLE) AS orders,
+              CAST(30 AS DOUBLE) AS window_minutes, CAST(orders AS DOUBLE) AS orders,
               revenue, failure_rate, delay_rate, severe_rate,
               CAST(anomaly_count AS DOUBLE) AS anomaly_count, max_severity
        FROM gated WHERE escalate""",
@@ -478,7 +478,8 @@ check(
 check(
     "stream_dedup",
     """SELECT DISTINCT topic, CASE WHEN shift = 2 THEN NULL WHEN shift = 3 THEN concat('BAD-', event_key)
-              ELSE event_key END AS event_key FROM messages""",
+              ELSE event_key END AS event_key, CASE WHEN shift = 2 THEN "offset" END AS unkeyed_offset
+       FROM messages""",
 )
 _activity = " UNION ALL ".join(
     f"SELECT '{d}' AS domain, ts, hit FROM {d}_seen" for d in METRIC_OF

@@ -477,21 +477,18 @@ def llm_prompt(inputs):
     """Prompts, with the figures read back out of their JSON parts."""
     gated = diagnosis.llm_gate(diagnosis.rule_diagnosis(inputs.reports()))
     prompts = model_contract.llm_prompt(gated)
-    blocks = prompts.withColumn("_f", F.split("user_prompt", "\n\n|===\n").getItem(2)).withColumn(
-        "_a", F.split("user_prompt", "\n\n|===\n").getItem(4)
-    )
-    return blocks.select(
-        RUN,
-        "provider",
-        "model",
-        F.split("user_prompt", "\n").getItem(2).alias("heading"),
-        _json_number("_f", "$.volume.orders").alias("orders"),
-        _json_number("_f", "$.volume.revenue").alias("revenue"),
-        _json_number("_f", "$.payments.failure_rate").alias("failure_rate"),
-        _json_number("_f", "$.deliveries.delay_rate").alias("delay_rate"),
-        _json_number("_f", "$.complaints.severe_rate").alias("severe_rate"),
-        _json_number("_a", "$.anomaly_count").alias("anomaly_count"),
-        _json_number("_a", "$.max_severity").alias("max_severity"),
+    read = {
+        "window_minutes": "$.window_minutes",
+        "orders": "$.metrics.volume.orders",
+        "revenue": "$.metrics.volume.revenue",
+        "failure_rate": "$.metrics.payments.failure_rate",
+        "delay_rate": "$.metrics.deliveries.delay_rate",
+        "severe_rate": "$.metrics.complaints.severe_rate",
+        "anomaly_count": "$.anomalies.anomaly_count",
+        "max_severity": "$.anomalies.max_severity",
+    }
+    return prompts.select(
+        RUN, "provider", "model", *[_json_number("user_prompt", path).alias(name) for name, path in read.items()]
     )
 
 
@@ -780,11 +777,12 @@ def stream_ingest(inputs):
 
 @query
 def stream_dedup(inputs):
-    """Distinct event keys per topic after bounded-state deduplication."""
+    """Distinct event keys per topic after bounded-state deduplication, and every message without one."""
     root = _root(inputs, "dedup")
     distinct = stream_ingest_jobs.stream_dedup(fixture_messages(inputs.event_stream()))
     stream_windows.append_parquet(
-        distinct.select("topic", "event_key"), f"{root}/keys", f"{root}/checkpoint"
+        distinct.select("topic", "event_key", F.when(c("event_key").isNull(), c("offset")).alias("unkeyed_offset")),
+        f"{root}/keys", f"{root}/checkpoint"
     ).awaitTermination()
     return inputs.spark.read.parquet(f"{root}/keys")
 

@@ -33,5 +33,5 @@ def money(value: Column) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """Whole number, half-up; what cannot be read as such counts as zero."""
-    return F.coalesce(value.try_cast("decimal(38,0)").try_cast("int"), F.lit(0))
+    """Whole number of up to 18 digits, half-up; what cannot be read as such counts as zero."""
+    return F.coalesce(value.try_cast("decimal(38,0)").try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -199,7 +199,8 @@ def alert_suppress(
     """Adds ``should_alert`` and ``suppression_reason`` to runs with ``candidate`` set.
 
     ``history`` holds (alert_fingerprint, alerted_at) of earlier alerts, none after the first
-    run; its last alert per fingerprint opens the chain.
+    run. A candidate is suppressed by any alert of its fingerprint from the window before it on,
+    later ones included; the rest follow the chain among themselves.
     """
     key = ["alert_fingerprint", RUN]
     wanted = flagged.where("candidate").select(*key)
@@ -209,9 +210,13 @@ def alert_suppress(
         last = (
             history.where(c("alerted_at").isNotNull())
             .groupBy("alert_fingerprint")
-            .agg(F.max("alerted_at").alias(RUN))
+            .agg(F.max("alerted_at").alias("_last"))
         )
-        sent = sent_alerts(wanted.unionByName(last), cfg).join(last, key, "left_anti")
+        window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
+        free = wanted.join(last, "alert_fingerprint", "left").where(
+            c("_last").isNull() | (c(RUN) > c("_last") + window)
+        )
+        sent = sent_alerts(free.select(*key), cfg)
     sent = sent.withColumn("_sent", F.lit(True))
     out = F.coalesce(c("_sent"), F.lit(False))
     return flagged.join(sent, key, "left").select(

@@ -120,12 +120,19 @@ def cells(rows: DataFrame) -> DataFrame:
 def ticks(cell_rows: DataFrame) -> DataFrame:
     """Every evaluation instant from the first cell's end to the last cell's end.
 
-    One row per quarter hour of calendar time, whether or not anything happened in it.
+    One row per quarter hour of calendar time, whether or not anything happened in it. The days
+    are laid out first and dealt to the tasks, which lay out the quarter hours of theirs; so one
+    event far away makes the calendar long but no row large.
     """
     bounds = cell_rows.agg(F.min("cell").alias("first"), F.max("cell").alias("last"))
-    return bounds.where(c("first").isNotNull()).select(
-        F.explode(F.transform(F.sequence(c("first") + 1, c("last") + 1), tick_time)).alias(RUN)
+    days = bounds.where(c("first").isNotNull()).select(
+        "first", "last",
+        F.explode(F.sequence(F.floor((c("first") + 1) / 96), F.floor((c("last") + 1) / 96))).alias("day"),
     )
+    cells_of_day = F.sequence(
+        F.greatest(c("first") + 1, c("day") * 96), F.least(c("last") + 1, c("day") * 96 + 95)
+    )
+    return days.repartition("day").select(F.explode(F.transform(cells_of_day, tick_time)).alias(RUN))
 
 
 def serve_ticks(cell_rows: DataFrame, window_cells: int) -> DataFrame:

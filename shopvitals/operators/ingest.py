@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopvitals import schemas
-from shopvitals.functions.json import once
+from shopvitals.functions.json import once, parse_whole_json
 from shopvitals.functions.time import parse_event_ts
 from shopvitals.operators.complaints import classify_complaint_rules
 
@@ -73,8 +73,8 @@ EVENT_KINDS = {
 def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     """Messages of one topic as table columns, plus ``problem`` for rows that cannot load.
 
-    ``problem`` names the first thing wrong: text that is no JSON object, an absent required
-    field, a missing key, or a value of the wrong type. Good rows carry NULL.
+    ``problem`` names the first thing wrong: text that is not exactly one JSON object (nothing may
+    follow it), an absent required field, a missing key, or a value of the wrong type. Good rows carry NULL.
     """
     as_text = ", ".join(f"{name} string" for name in kind.fields)
     event = F.from_json(
@@ -85,12 +85,17 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     parsed = (
         messages.where(c("topic") == kind.topic)
         .withColumn("_text", c("value").cast("string"))
-        .select("*", once(_event=event, _keys=F.json_object_keys("_text")))
+        .select("*", once(
+            _event=event, _keys=F.json_object_keys("_text"), _whole=parse_whole_json(c("_text")).isNotNull()
+        ))
     )
     typed: dict[str, Column] = {name: c(f"_event.{name}") for name in kind.fields}
     bad_type = F.lit(False)
     for name, sql_type in kind.numbers:
-        typed[name] = c(f"_event.{name}").try_cast(sql_type)
+        given = c(f"_event.{name}")
+        if sql_type == "int":  # a fraction is rounded half up, as a column of whole numbers does
+            given = F.round(given.try_cast("decimal(38,10)"), 0)
+        typed[name] = given.try_cast(sql_type)
         bad_type = bad_type | (c(f"_event.{name}").isNotNull() & typed[name].isNull())
     if kind.timestamp:
         given = F.nullif(c(f"_event.{kind.timestamp}"), F.lit(""))
@@ -98,7 +103,7 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
         bad_type = bad_type | (given.isNotNull() & typed[kind.timestamp].isNull())
     absent = F.array_except(F.array(*[F.lit(n) for n in kind.required]), c("_keys"))
     problem = (
-        F.when(c("_keys").isNull() | c("_event._broken").isNotNull(), "malformed JSON")
+        F.when(c("_keys").isNull() | ~c("_whole") | c("_event._broken").isNotNull(), "malformed JSON")
         .when(F.size(absent) > 0, F.concat(F.lit("missing "), F.array_join(absent, ", ")))
         .when(c(f"_event.{kind.key}").isNull(), F.lit(f"{kind.key} is null"))
         .when(bad_type, "value of the wrong type")

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -35,7 +36,7 @@ def _replace(name: str, frame: DataFrame, path: str) -> tuple:
         if frame.isEmpty():
             return (name, 0, 0.0, path, "skipped")
         return _written(name, frame, path, lambda rows: rows.write.mode("overwrite").parquet(path))
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         return (name, None, None, path, f"failed: {type(error).__name__}")
 
 
@@ -171,8 +172,13 @@ def append_logs(logs: DataFrame, path: str) -> None:
     logs.write.mode("append").parquet(path)
 
 
-def append_diagnoses(rows: DataFrame, path: str) -> None:
-    """Append audit rows, partitioned by day so that recent runs are found without a scan."""
-    rows.withColumn("run_date", F.to_date("run_timestamp")).write.mode("append").partitionBy(
-        "run_date"
-    ).parquet(path)
+def append_diagnoses(rows: DataFrame, path: str, replace_run: bool = False) -> None:
+    """Append audit rows, partitioned by day so that recent runs are found without a scan.
+
+    With ``replace_run`` each run has a folder of its own inside its day, and writing a run again
+    replaces its rows; for single runs, as a whole history would make a folder of every tick.
+    """
+    run = F.unix_seconds("run_timestamp").cast("string") if replace_run else F.lit("appended")
+    dated = rows.withColumn("run_date", F.to_date("run_timestamp")).withColumn("run", run)
+    mode = "overwrite" if replace_run else "append"
+    dated.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "run").parquet(path)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shopvitals import schemas
 from shopvitals.config import DEFAULT, MonitorConfig
@@ -91,26 +92,46 @@ def run_once(
     """One scheduled run: diagnose, decide against the stored audit table, append the row.
 
     The run never passes silently: when it breaks, a fallback row with the probes' figures is
-    appended instead, and if those cannot be had either, the emergency row.
+    appended instead, and if those cannot be had either, the emergency row. Running it again for
+    the same instant replaces its row.
     """
     rows = activity(**{name: raw[name] for name in MONITORED})
     spark = rows.sparkSession
     # The run's instant is fixed here, so that every part of the job sees the same one.
     run = as_of or single_run(spark, None).select(F.col(RUN).cast("string")).first()[0]
     try:
-        stored = spark.read.schema(schemas.DIAGNOSES).parquet(audit_path)
-        window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
-        recent = stored.where(F.col("alerted_at") >= instant(run) - window)
+        recent = recent_alerts(spark, audit_path, run, cfg)
         record = audit_rows(reports_as_of(rows, cfg, run), responses, cfg, recent)
-        append_diagnoses(record, audit_path)
-    except PySparkException:
+        append_diagnoses(record, audit_path, replace_run=True)
+    except (PySparkException, Py4JJavaError):
         try:
             figures = probes_as_of(rows, cfg, run).first()
             failed = spark.createDataFrame([(*figures, False)], FAILED_RUN)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             failed = spark.createDataFrame([(None, None, True)], FAILED_RUN)
         broken = diagnosis.dag_fallback_rows(failed.select(instant(run).alias(RUN), "*"), cfg)
-        append_diagnoses(decisions.with_ids(broken), audit_path)
+        append_diagnoses(decisions.with_ids(broken), audit_path, replace_run=True)
+
+
+def recent_alerts(
+    spark: SparkSession, audit_path: str, run: datetime | str, cfg: MonitorConfig = DEFAULT
+) -> DataFrame | None:
+    """What the audit table says was sent in the window before ``run``; None before its first row.
+
+    A row of the run itself, left by an earlier try, does not count.
+
+    The day filter reads only the folders of the days the window touches, and of later ones.
+    """
+    schema = T.StructType([*schemas.DIAGNOSES.fields, T.StructField("run_date", T.DateType())])
+    try:
+        stored = spark.read.schema(schema).parquet(audit_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    since = instant(run) - F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
+    sent = (F.col("run_date") >= F.to_date(since)) & (F.col("alerted_at") >= since)
+    return stored.where(sent & (F.col(RUN) < instant(run)))
 
 
 FAILED_RUN = "orders_count bigint, failure_rate double, lost_audit boolean"

@@ -12,7 +12,7 @@ from shopvitals.operators.ingest import (
     EVENT_KINDS, EventKind, broken, decode, dedup_first_write, loadable, log_rows,
 )
 from shopvitals.session import side_by_side
-from shopvitals.streaming.sinks import create_table, read_table, write_batch
+from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
 
 c = F.col
 
@@ -33,8 +33,11 @@ def stream_ingest(
     for kind in EVENT_KINDS.values():
         create_table(spark, f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table])
     create_table(spark, f"{root}/pipeline_logs", schemas.PIPELINE_LOGS)
+    tables = [*(kind.table for kind in EVENT_KINDS.values()), "pipeline_logs"]
+    first = first_number(spark, checkpoint, *(f"{root}/{name}" for name in tables))
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        number = first + batch_id
         kept = [batch.persist()]  # read once per topic
 
         def load_topic(kind: EventKind) -> DataFrame:
@@ -42,14 +45,14 @@ def stream_ingest(
             decoded = decode(batch, kind).persist()
             kept.append(decoded)
             path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
-            held = read_table(batch.sparkSession, path, schema, batch_id)
+            held = read_table(batch.sparkSession, path, schema, number)
             new = dedup_first_write(loadable(decoded, kind), kind.key, existing=held)
-            write_batch(new.select(*schema.names), path, batch_id)
+            write_batch(new.select(*schema.names), path, number)
             return log_rows(broken(decoded))
 
         try:
             logs = side_by_side(load_topic, EVENT_KINDS.values())
-            write_batch(reduce(DataFrame.unionByName, logs), f"{root}/pipeline_logs", batch_id)
+            write_batch(reduce(DataFrame.unionByName, logs), f"{root}/pipeline_logs", number)
         finally:
             for frame in kept:
                 frame.unpersist()
@@ -65,11 +68,16 @@ def stream_ingest(
 def stream_dedup(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Messages without those repeated within ``delay``, with state bounded by the delay.
 
-    A repeat that comes later passes; the sink's own check still drops it.
+    A repeat that comes later passes; the sink's own check still drops it. A message whose key
+    cannot be read is told by its offset: it has no repeats, and quarantine gets all of them.
     """
-    keyed = messages.withColumn("event_key", message_key())
-    return keyed.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(
-        ["topic", "event_key"]
+    keyed = messages.withColumn("event_key", message_key()).withColumn(
+        "_unkeyed_offset", F.when(c("event_key").isNull(), c("offset"))
+    )
+    return (
+        keyed.withWatermark("received_at", delay)
+        .dropDuplicatesWithinWatermark(["topic", "event_key", "_unkeyed_offset"])
+        .drop("_unkeyed_offset")
     )
 
 

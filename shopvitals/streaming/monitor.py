@@ -11,7 +11,7 @@ from shopvitals.functions.time import cell_of, tick_time
 from shopvitals.operators import anomalies, decisions
 from shopvitals.operators.features import RUN, snapshot, windowed
 from shopvitals.plans.monitor import audit_rows
-from shopvitals.streaming.sinks import create_table, read_table, write_batch
+from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
 
 c = F.col
 
@@ -76,15 +76,17 @@ def stream_doctor(
     cells_path, audit_path = f"{root}/cells", f"{root}/ai_pipeline_diagnosis"
     create_table(spark, cells_path, CELLS)
     create_table(spark, audit_path, schemas.DIAGNOSES)
+    first = first_number(spark, checkpoint, cells_path, audit_path)
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
+        number = first + batch_id
         session = batch.sparkSession
-        write_batch(batch, cells_path, batch_id)
-        now = read_table(session, cells_path, CELLS, batch_id + 1)
+        write_batch(batch, cells_path, number)
+        now = read_table(session, cells_path, CELLS, number + 1)
         span = now.agg(F.min("cell").alias("first"), F.max("cell").alias("last")).first()
         if span["first"] is None:
             return
-        before = read_table(session, cells_path, CELLS, batch_id)
+        before = read_table(session, cells_path, CELLS, number)
         done = before.agg(F.max("cell").alias("last")).first()["last"]
         first_tick = span["first"] + 1 if done is None else done + 2
         last_tick = span["last"] + 1
@@ -100,12 +102,12 @@ def stream_doctor(
         reports = anomalies.anomaly_report(snapshots, stats, cfg)
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
         alerted = (
-            read_table(session, audit_path, schemas.DIAGNOSES, batch_id)
+            read_table(session, audit_path, schemas.DIAGNOSES, number)
             .where(c("alerted_at") >= tick_time(F.lit(first_tick)) - window)
             .select("alert_fingerprint", "alerted_at")
         )
         records = audit_rows(reports, None, cfg, alerted)
-        write_batch(records.select(*schemas.DIAGNOSES.names), audit_path, batch_id)
+        write_batch(records.select(*schemas.DIAGNOSES.names), audit_path, number)
 
     return (
         closed_cells(rows, delay)
@@ -130,20 +132,22 @@ def stream_alert_dedup(
     memory between batches lives in the table and not in operator state.
     """
     create_table(candidates.sparkSession, path, ALERTS)
+    first = first_number(candidates.sparkSession, checkpoint, path)
 
     def suppress(batch: DataFrame, batch_id: int) -> None:
+        number = first + batch_id
         start = batch.agg(F.unix_micros(F.min(RUN)).alias("us")).first()["us"]
         if start is None:
             return
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
         sent = (
-            read_table(batch.sparkSession, path, ALERTS, batch_id)
+            read_table(batch.sparkSession, path, ALERTS, number)
             .where(c("should_alert") & (c(RUN) >= F.timestamp_micros(F.lit(start)) - window))
             .select("alert_fingerprint", c(RUN).alias("alerted_at"))
         )
         flagged = batch.select("alert_fingerprint", RUN, F.lit(True).alias("candidate"))
         decided = decisions.alert_suppress(flagged, cfg, sent)
-        write_batch(decided.select(*ALERTS.names), path, batch_id)
+        write_batch(decided.select(*ALERTS.names), path, number)
 
     return (
         candidates.writeStream.foreachBatch(suppress)

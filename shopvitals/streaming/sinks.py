@@ -1,7 +1,12 @@
-"""Micro-batch sinks that a retried batch does not write twice."""
+"""Micro-batch sinks that a retried batch does not write twice.
+
+A batch is stored under a number of its table, not under the stream's own batch id: ids start at 0
+again with a new checkpoint, numbers go on after the last one stored.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BATCH = "batch_id"
@@ -12,6 +17,27 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
 
 
+def first_number(spark: SparkSession, checkpoint: str, *paths: str) -> int:
+    """The number of a stream's batch 0: after all that ``paths`` hold when its checkpoint is new.
+
+    Kept inside the checkpoint, so a restart counts on from the same number and a retried batch
+    replaces itself. One stream at a time writes to a table.
+    """
+    kept, schema = f"{checkpoint.rstrip('/')}/first_batch", f"{BATCH} long"
+    try:
+        row = spark.read.schema(schema).parquet(kept).first()
+        if row is not None:
+            return row[0]
+    except AnalysisException:
+        pass  # a new checkpoint
+    stored = [
+        spark.read.schema(schema).parquet(path).agg(F.max(BATCH)).first()[0] for path in paths
+    ]
+    number = max([-1, *(n for n in stored if n is not None)]) + 1
+    spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("overwrite").parquet(kept)
+    return number
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """One folder per batch; a retry replaces it."""
     rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.functions.numeric import int_mean, rate
-from shopvitals.streaming.sinks import create_table, read_table, write_batch
+from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
 
 c = F.col
 
@@ -112,9 +112,11 @@ def late_policy(
     """
     spark = rows.sparkSession
     create_table(spark, log_path, LATE_LOG)
+    first = first_number(spark, checkpoint, log_path)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_table(batch.sparkSession, log_path, LATE_LOG, batch_id)
+        number = first + batch_id
+        earlier = read_table(batch.sparkSession, log_path, LATE_LOG, number)
         high = earlier.agg(F.unix_micros(F.max("max_event_ts")).alias("us")).first()["us"]
         window_end = F.window("event_ts", "30 minutes").end
         if high is None:
@@ -129,7 +131,7 @@ def late_policy(
             F.count_if(late).alias("late_rows"),
             F.max("event_ts").alias("max_event_ts"),
         )
-        write_batch(counted, log_path, batch_id)
+        write_batch(counted, log_path, number)
 
     return (
         rows.writeStream.foreachBatch(judge)

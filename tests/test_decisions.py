@@ -206,3 +206,18 @@ def test_model_labels(rows, response, category, severity):
     frame = rows([("refund", response)], "complaint_text string, response string")
     (row,) = complaints.normalize_complaint_labels(frame).collect()
     assert (row["ai_category"], row["ai_severity"]) == (category, severity)
+
+
+def test_suppression_against_history_by_brute_force(rows):
+    """History before, between and after the candidates."""
+    rng = random.Random(11)
+    asked = sorted({(rng.choice("abc"), START + timedelta(minutes=rng.randint(0, 600))) for _ in range(150)})
+    alerts = [(fp, START + timedelta(minutes=m)) for fp, m in (("a", 100), ("a", 40), ("b", -20), ("c", 900))]
+    history = rows([(fp, str(t)) for fp, t in alerts], "alert_fingerprint string, alerted_at timestamp")
+    decided = decisions.alert_suppress(candidates(rows, asked), history=history)
+    gone, expected = list(alerts), set()
+    for fp, t in asked:
+        if not any(f == fp and s >= t - timedelta(minutes=30) for f, s in gone):
+            gone.append((fp, t))
+            expected.add((fp, t))
+    assert sent(decided) == expected

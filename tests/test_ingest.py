@@ -108,3 +108,22 @@ def test_kafka_rows_keep_a_total_order(rows):
 def test_every_kind_has_its_key_among_the_required(name):
     kind = ingest.EVENT_KINDS[name]
     assert kind.key in kind.required
+
+
+@pytest.mark.parametrize("tail", [" trailing", '{"order_id": "o2"}', ', {"order_id": "o2"}', "]", "}"])
+def test_a_message_is_one_json_value(rows, tail):
+    text = json.dumps({"order_id": "o1", "customer_id": "c", "city": "x", "order_ts": "2024-01-01", "order_amount": 1, "order_status": "s"})
+    frame = rows([("orders_topic", text, 1, "2024-01-01"), ("orders_topic", text + tail, 2, "2024-01-01")],
+                 "topic string, value string, offset bigint, received_at timestamp")
+    got = {r["offset"]: r["problem"] for r in ingest.decode(frame, ingest.EVENT_KINDS["orders"]).collect()}
+    assert got == {1: None, 2: "malformed JSON"}
+
+
+def test_fractions_of_minutes_are_rounded(rows):
+    def delivery(promised):
+        return json.dumps({"delivery_id": str(promised), "order_id": "o", "city": "x", "delivery_partner": "p",
+                           "promised_minutes": promised, "actual_minutes": 30, "delivery_status": "s"})
+    frame = rows([("deliveries_topic", delivery(m), i, "2024-01-01") for i, m in enumerate([45.5, 45.4, 30, "x", None])],
+                 "topic string, value string, offset bigint, received_at timestamp")
+    got = [(r["promised_minutes"], r["problem"]) for r in ingest.decode(frame, ingest.EVENT_KINDS["deliveries"]).orderBy("offset").collect()]
+    assert got == [(46, None), (45, None), (30, None), (None, "value of the wrong type"), (None, None)]

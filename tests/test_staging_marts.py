@@ -193,3 +193,11 @@ def rows_of_diagnoses(spark):
     from shopvitals import schemas
 
     return spark.createDataFrame([], schemas.DIAGNOSES)
+
+
+def test_whole_numbers_past_32_bits_are_kept(rows):
+    from pyspark.sql import functions as F
+    from shopvitals.functions.numeric import whole_number
+
+    frame = rows([("3000000000",), ("2.5",), ("x",), (None,)], "v string")
+    assert [r[0] for r in frame.select(whole_number(F.col("v"))).collect()] == [3_000_000_000, 3, 0, 0]

@@ -139,3 +139,21 @@ def test_dedup_state_drops_repeats(rows, spark, tmp_path):
         ingest.stream_dedup(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint"
     ).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(rows, spark, tmp_path):
+    root = f"{tmp_path}/tables"
+    for i, values in enumerate([(order(), order(order_id="o2")), (order(order_id="o3"), order(city="again"))]):
+        source = f"{tmp_path}/in{i}"
+        rows([("orders_topic", v, j, AT) for j, v in enumerate(values)], MESSAGES).write.parquet(source)
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        ingest.stream_ingest(stream, root, f"{tmp_path}/checkpoint{i}").awaitTermination()
+    keys = [r["order_id"] for r in read_table(spark, f"{root}/raw_orders", schemas.RAW_ORDERS).collect()]
+    assert sorted(keys) == ["o1", "o2", "o3"]
+
+
+def test_dedup_keeps_every_message_without_a_key(rows, spark, tmp_path):
+    rows([("orders_topic", "{", i, AT) for i in range(50)] + [("orders_topic", order(), 60, AT)] * 2, MESSAGES).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(MESSAGES).parquet(f"{tmp_path}/in")
+    windows.append_parquet(ingest.stream_dedup(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 51
