@@ -72,7 +72,8 @@ def mixed(hashes: np.ndarray, factor: int) -> np.ndarray:
 def with_fingerprint(documents: DataFrame, words: int = 3, sketch: bool = False) -> DataFrame:
     """doc_id and fp of every whole text; with ``sketch`` also 192 more votes s1, s2, s3.
 
-    Null texts count as empty; a text without words has fingerprint 0 and links like any other.
+    A shingle votes as often as it occurs; with ``sketch`` once, so that bits follow the likeness of
+    the shingle sets and a word repeated a thousand times does not outvote the rest of a text. Null texts count as empty; a text without words has fingerprint 0 and links like any other.
     """
     small_batches(documents.sparkSession)
     names = ["fp", "s1", "s2", "s3"] if sketch else ["fp"]
@@ -83,6 +84,8 @@ def with_fingerprint(documents: DataFrame, words: int = 3, sketch: bool = False)
             rows = []
             for text in batch:
                 hashes = shingle_hashes(text, words)
+                if sketch:
+                    hashes = np.unique(hashes)
                 rows.append([majority(hashes)] + ([majority(mixed(hashes, m)) for m in MIX] if sketch else []))
             yield pd.DataFrame(rows, columns=names, dtype=np.int64)
 
