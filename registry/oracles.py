@@ -167,7 +167,16 @@ check(
 
 # ------------------------------------------------------------------------ anomalies
 
-check("bucket_30min", "SELECT payment_id, time_bucket(INTERVAL 30 MINUTE, payment_ts) AS bucket FROM b_raw_payments")
+check(
+    "bucket_30min",
+    " UNION ALL ".join(
+        f"SELECT {key} AS key, time_bucket(INTERVAL 30 MINUTE, {time}) AS bucket FROM {table}"
+        for table, key, time in (
+            ("b_raw_orders", "order_id", "order_ts"), ("b_raw_payments", "payment_id", "payment_ts"),
+            ("b_raw_deliveries", "delivery_id", "created_at"), ("b_complaint_events", "complaint_id", "complaint_ts"),
+        )
+    ),
+)
 for _name, _domain in (
     ("baseline_payment_failure", "payments"),
     ("baseline_delivery_delay", "deliveries"),
@@ -377,16 +386,28 @@ def _outside(source: str, column: str, values: tuple[str, ...]) -> str:
 check(
     "dq_unique",
     " UNION ALL ".join(
-        f"SELECT '{k}' AS column_name, 'unique' AS test, {_unique('a_raw_deliveries', k)} AS failures"
-        for k in ("delivery_id", "order_id")
+        f"SELECT 'raw_{t}' AS table_name, '{k}' AS column_name, 'unique' AS test, {_unique(v, k)} AS failures"
+        for t, v, k in (
+            ("orders", "a_raw_orders", "order_id"), ("payments", "a_raw_payments", "payment_id"),
+            ("payments", "a_raw_payments", "order_id"), ("deliveries", "a_raw_deliveries", "delivery_id"),
+            ("deliveries", "a_raw_deliveries", "order_id"), ("complaints", "a_complaint_events", "complaint_id"),
+            ("complaints", "a_complaint_events", "order_id"), ("refunds", "a_raw_refunds", "refund_id"),
+            ("refunds", "a_raw_refunds", "order_id"),
+        )
     ),
 )
 check(
     "dq_not_null",
     " UNION ALL ".join(
-        f"SELECT '{k}' AS column_name, 'not_null' AS test, count(*) FILTER ({k} IS NULL) AS failures FROM a_raw_deliveries"
-        for k in ("delivery_id", "order_id", "city", "delivery_partner", "promised_minutes",
-                  "actual_minutes", "delivery_status", "created_at")
+        f"SELECT 'raw_{t}' AS table_name, '{k}' AS column_name, 'not_null' AS test, count(*) FILTER ({k} IS NULL) AS failures FROM {v}"
+        for t, v, columns in (
+            ("orders", "a_raw_orders", "order_id customer_id city order_ts order_amount order_status created_at"),
+            ("payments", "a_raw_payments", "payment_id order_id payment_ts payment_method payment_status amount failure_reason created_at"),
+            ("deliveries", "a_raw_deliveries", "delivery_id order_id city delivery_partner promised_minutes actual_minutes delivery_status created_at"),
+            ("complaints", "a_complaint_events", "complaint_id order_id complaint_ts complaint_text created_at"),
+            ("refunds", "a_raw_refunds", "refund_id order_id refund_ts refund_amount refund_reason created_at"),
+        )
+        for k in columns.split()
     ),
 )
 check(
@@ -505,7 +526,7 @@ check(
     "stream_doctor",
     f"""SELECT run_timestamp, status, severity, issue_summary, array_to_string(tags, ',') AS tags,
                source, alert_fingerprint, alerted_at
-        FROM rule_decided
+        FROM decided
         WHERE run_timestamp <= (SELECT max(cell_end) FROM (
           SELECT time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS cell_end FROM ({_activity})
         ) WHERE cell_end <= {_closed})""",

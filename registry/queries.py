@@ -27,6 +27,7 @@ from shopvitals.streaming.sinks import read_table
 c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+LABELS = ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
 RUN_AT = datetime(2024, 2, 1, 6, 30, 0)  # when the backups of these queries are taken
 AS_OF = "2024-01-15 12:00:00"
 
@@ -353,10 +354,13 @@ def failed_payments_last_hour(inputs):
 
 @query
 def bucket_30min(inputs):
-    """Payments with their half hour."""
-    return inputs.view("b_raw_payments").select(
-        "payment_id", half_hour_bucket(c("payment_ts")).alias("bucket")
-    )
+    """Events of every monitored table with their half hour."""
+    times = {"raw_orders": "order_ts", "raw_payments": "payment_ts", "raw_deliveries": "created_at", "raw_complaints": "complaint_ts"}
+    parts = None
+    for name, table in inputs.raw("b", *times).items():
+        rows = table.select(c(schemas.TABLE_KEYS[name]).alias("key"), half_hour_bucket(c(times[name])).alias("bucket"))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
 
 
 def _baseline(inputs: Inputs, table: str) -> DataFrame:
@@ -681,15 +685,24 @@ def stored_marts(inputs):
 
 @query
 def dq_unique(inputs):
-    return quality.dq_unique(inputs.view("a_raw_deliveries"), "delivery_id").unionByName(
-        quality.dq_unique(inputs.view("a_raw_deliveries"), "order_id")
-    )
+    """The key of every raw table, and the order each of its rows names."""
+    parts = None
+    for name, table in inputs.raw("a").items():
+        for column in dict.fromkeys((schemas.TABLE_KEYS[name], "order_id")):
+            rows = quality.dq_unique(table, column).withColumn("table_name", F.lit(name))
+            parts = rows if parts is None else parts.unionByName(rows)
+    return parts
 
 
 @query
 def dq_not_null(inputs):
-    table = inputs.view("a_raw_deliveries")
-    return quality.dq_not_null(table, table.columns)
+    """Every column of every raw table."""
+    parts = None
+    for name, table in inputs.raw("a").items():
+        columns = [column for column in table.columns if column not in LABELS]
+        rows = quality.dq_not_null(table, columns).withColumn("table_name", F.lit(name))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
 
 
 @query
@@ -805,10 +818,10 @@ def stream_sliding_features(inputs):
 
 @query
 def stream_doctor(inputs):
-    """Audit rows of the ticks whose cells the stream has closed."""
+    """Audit rows of the ticks whose cells the stream has closed, with the model's answers."""
     root = _root(inputs, "doctor")
     stream_monitor.stream_doctor(
-        inputs.activity(inputs.event_stream()), root, f"{root}/checkpoint"
+        inputs.activity(inputs.event_stream()), root, f"{root}/checkpoint", responses=inputs.answers_per_tick()
     ).awaitTermination()
     rows = read_table(inputs.spark, f"{root}/ai_pipeline_diagnosis", schemas.DIAGNOSES)
     return rows.select(

@@ -65,12 +65,14 @@ def stream_doctor(
     delay: str = "10 minutes",
     cfg: MonitorConfig = DEFAULT,
     trigger: dict | None = None,
+    responses: DataFrame | None = None,
 ) -> StreamingQuery:
     """Diagnose every tick once its cells are closed, and append the audit rows.
 
     A batch stores the cells it closes, then evaluates the ticks they complete against the
-    last day of stored cells with the same operators a replay uses. Only that day is read
-    back. Alerts sent by earlier batches open the suppression.
+    last day of stored cells with the same operators a replay uses. Alerts sent by earlier batches
+    open the suppression. ``responses`` holds model answers for escalated runs, as a replay takes
+    them; a run without a valid one at the time of its batch falls back to the rules.
     """
     spark = rows.sparkSession
     cells_path, audit_path = f"{root}/cells", f"{root}/ai_pipeline_diagnosis"
@@ -106,7 +108,8 @@ def stream_doctor(
             .where(c("alerted_at") >= tick_time(F.lit(first_tick)) - window)
             .select("alert_fingerprint", "alerted_at")
         )
-        records = audit_rows(reports, None, cfg, alerted)
+        answers = None if responses is None else responses.where(due)
+        records = audit_rows(reports, answers, cfg, alerted)
         write_batch(records.select(*schemas.DIAGNOSES.names), audit_path, number)
 
     return (
