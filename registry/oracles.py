@@ -363,7 +363,7 @@ check(
 check(
     "evolve_schema",
     """SELECT payment_id, order_id, payment_ts, payment_method, payment_status,
-              CAST(TRY_CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+              CAST(TRY_CAST(amount AS DECIMAL(32,10)) AS DOUBLE) AS amount,
               CAST(NULL AS VARCHAR) AS failure_reason, CAST(NULL AS TIMESTAMP) AS created_at
        FROM a_raw_payments""",
 )

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from shopvitals import schemas
 from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.functions.numeric import int_mean, rate
 from shopvitals.functions.time import cell_of, instant, served_ticks, tick_time, within_last
@@ -19,6 +20,7 @@ from shopvitals.functions.time import cell_of, instant, served_ticks, tick_time,
 c = F.col
 
 RUN = "run_timestamp"
+_MONEY = schemas.MONEY.simpleString()
 
 
 # ------------------------------------------------------------------------ activity rows
@@ -45,7 +47,7 @@ def activity(
                 c("order_ts").alias("event_ts"),
                 F.lit(False).alias("hit"),
                 F.lit(False).alias("ok"),
-                F.when(counted, c("order_amount").try_cast("decimal(18,2)")).alias("revenue"),
+                F.when(counted, c("order_amount").try_cast(_MONEY)).alias("revenue"),
                 F.lit(None).cast("int").alias("delay"),
                 c("city").alias("label"),
             )
@@ -58,7 +60,7 @@ def activity(
                 c("payment_ts").alias("event_ts"),
                 failed.alias("hit"),
                 F.coalesce(c("payment_status") == "success", F.lit(False)).alias("ok"),
-                F.lit(None).cast("decimal(18,2)").alias("revenue"),
+                F.lit(None).cast(_MONEY).alias("revenue"),
                 F.lit(None).cast("int").alias("delay"),
                 F.when(failed, c("failure_reason")).alias("label"),
             )
@@ -73,7 +75,7 @@ def activity(
                 c("created_at").alias("event_ts"),
                 late.alias("hit"),
                 F.lit(False).alias("ok"),
-                F.lit(None).cast("decimal(18,2)").alias("revenue"),
+                F.lit(None).cast(_MONEY).alias("revenue"),
                 (c("actual_minutes") - c("promised_minutes")).alias("delay"),
                 F.when(late, c("city")).alias("label"),
             )
@@ -85,7 +87,7 @@ def activity(
                 c("complaint_ts").alias("event_ts"),
                 F.coalesce(c("ai_severity").isin("high", "critical"), F.lit(False)).alias("hit"),
                 F.lit(False).alias("ok"),
-                F.lit(None).cast("decimal(18,2)").alias("revenue"),
+                F.lit(None).cast(_MONEY).alias("revenue"),
                 F.lit(None).cast("int").alias("delay"),
                 c("ai_category").alias("label"),
             )

@@ -36,7 +36,7 @@ class EventKind:
         return self.required + self.optional
 
 
-_MONEY = "decimal(18,2)"
+_MONEY = schemas.MONEY.simpleString()
 
 # Topics, and the fields an event must or may carry.
 EVENT_KINDS = {

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+#: Raw amounts as given: up to 22 whole digits, ten decimals. Rounding belongs to staging.
+MONEY = T.DecimalType(32, 10)
 
 
 def _struct(**fields: T.DataType) -> T.StructType:

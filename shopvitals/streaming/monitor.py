@@ -23,7 +23,7 @@ CELLS = T.StructType(
         T.StructField("n", T.LongType()),
         T.StructField("hits", T.LongType()),
         T.StructField("oks", T.LongType()),
-        T.StructField("revenue", T.DecimalType(28, 2)),
+        T.StructField("revenue", T.DecimalType(38, 10)),
         T.StructField("delay", T.LongType()),
     ]
 )

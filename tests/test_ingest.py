@@ -1,10 +1,11 @@
 import json
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from shopvitals.operators import ingest
+from shopvitals.operators import features, ingest, staging
 from shopvitals.sources.topics import from_kafka, kafka_options
 
 MESSAGES = "topic string, value string, offset bigint, received_at timestamp"
@@ -52,6 +53,22 @@ def test_what_is_quarantined(rows):
     assert len({r["log_id"] for r in logs}) == 7
 
 
+def test_amounts_and_minutes_keep_what_the_event_says(rows):
+    long = "12345678901234567890.5"
+    got = messages(rows, order(order_amount=12.345), order(order_id="o2", order_amount=long))
+    assert problems(got) == [None, None]
+    stored = ingest.ingest_orders(got)
+    assert {r["order_id"]: r["order_amount"] for r in stored.collect()} == {"o1": Decimal("12.345"), "o2": Decimal(long)}
+    (staged,) = staging.stg_orders(stored.where("order_id = 'o1'")).collect()
+    assert staged["order_amount"] == Decimal("12.35")
+    (total,) = features.feat_revenue(stored, as_of="2024-01-01 00:10:00").collect()
+    assert total["revenue"] == float(Decimal(long) + Decimal("12.345"))
+    delivery = {"delivery_id": "d", "order_id": "o", "city": "x", "delivery_partner": "y", "promised_minutes": "45.5",
+                "actual_minutes": 44.4, "delivery_status": "z"}
+    (row,) = ingest.ingest_deliveries(messages(rows, json.dumps(delivery), topic="deliveries_topic")).collect()
+    assert (row["promised_minutes"], row["actual_minutes"]) == (46, 44)
+
+
 def test_failure_reason_is_optional(rows):
     event = {"payment_id": "p", "order_id": "o", "payment_ts": "", "payment_method": "UPI",
              "payment_status": "success", "amount": "3"}
