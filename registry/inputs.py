@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shopvitals.operators.complaints import classify_complaint_rules
 from shopvitals.operators.features import activity
+from shopvitals.operators.ingest import quarantine
 from shopvitals.plans import monitor, warehouse
-from shopvitals.session import pin_session, pin_streaming
+from shopvitals.session import materialize, pin_session, pin_streaming
 from shopvitals.sources.tables import fixture_tables, fixture_view, scan_parquet
 from shopvitals.sources.topics import fixture_messages
 
@@ -142,6 +143,12 @@ class Inputs:
         self.table("documents").createOrReplaceTempView("_label_documents")
         return self.spark.sql(LABEL_ANSWERS.replace("FROM documents", "FROM _label_documents"))
 
+    def movement(self, family: str = "b", logs: bool = False) -> dict[str, DataFrame]:
+        """The tables that are backed up and loaded, with the log if that is wanted too."""
+        audit = materialize(self.audit(), "audit")  # read by several jobs, replayed once
+        tables = {**self.raw(family), "ai_pipeline_diagnosis": audit}
+        return {**tables, "pipeline_logs": quarantine(self.messages)} if logs else tables
+
     def selected(self) -> DataFrame:
         return monitor.select_diagnoses(self.reports(), self.answers_per_tick())
 

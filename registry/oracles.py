@@ -315,50 +315,82 @@ check(
 
 # ------------------------------------------------------------------------ sinks
 
+_LABELS = ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
+_COLUMNS = {
+    "raw_orders": "order_id customer_id city order_ts order_amount order_status created_at",
+    "raw_payments": "payment_id order_id payment_ts payment_method payment_status amount failure_reason created_at",
+    "raw_deliveries": "delivery_id order_id city delivery_partner promised_minutes actual_minutes delivery_status created_at",
+    "raw_refunds": "refund_id order_id refund_ts refund_amount refund_reason created_at",
+    "raw_complaints": "complaint_id order_id complaint_ts complaint_text " + " ".join(_LABELS) + " created_at",
+    "ai_pipeline_diagnosis": "diagnosis_id run_timestamp status severity confidence issue_summary root_cause "
+    "business_impact suggested_fix investigation_sql tags features_json anomalies_json source llm_provider llm_model "
+    "llm_latency_ms alert_fingerprint alerted_at created_at",
+}
+
+
+def _movement(family: str) -> dict[str, str]:
+    return {name: "audit" if name == "ai_pipeline_diagnosis" else f"{family}_{name}" for name in _COLUMNS}
+
+
+def _profile(family: str, upper: bool) -> str:
+    rows = []
+    for name, source in _movement(family).items():
+        for k in _COLUMNS[name].split():
+            counts = "count(*), NULL" if k.endswith("_json") else f"count({k}), count(DISTINCT {k})"
+            rows.append(f"SELECT '{name}', '{k.upper() if upper else k}', {counts} FROM {source}")
+    return "SELECT * FROM (" + " UNION ALL ".join(rows) + ") AS p(table_name, column_name, n_values, n_distinct)"
+
+
 check(
     "export_csv",
-    """SELECT payment_id, order_id, payment_method, payment_status, CAST(amount AS DOUBLE) AS amount,
-              failure_reason FROM b_raw_payments""",
+    _profile("b", False) + """ UNION ALL
+        SELECT 'pipeline_logs', k, CASE WHEN k = 'message' THEN texts ELSE n END,
+               CASE k WHEN 'log_id' THEN n WHEN 'message' THEN texts WHEN 'created_at' THEN times ELSE 1 END
+        FROM (SELECT count(*) AS n, count(*) AS texts, count(DISTINCT received_at) AS times FROM messages WHERE shift >= 2),
+             (SELECT unnest(['log_id', 'component', 'status', 'message', 'created_at']) AS k)""",
 )
 check(
     "backup_parquet",
     " UNION ALL ".join(
-        f"SELECT 2024 AS year, 2 AS month, 1 AS day, count(*) AS n, 'raw_{t}' AS table_name FROM b_raw_{t}"
-        for t in _RAW
+        f"SELECT 2024 AS year, 2 AS month, 1 AS day, count(*) AS n, '{name}' AS table_name FROM {source}"
+        for name, source in _movement("b").items()
     ),
 )
 check(
     "scan_backup_day",
     "SELECT order_id, customer_id, order_ts, CAST(order_amount AS DOUBLE) AS order_amount FROM b_raw_orders",
 )
-_stamp = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
-check(
-    "warehouse_refresh",
-    f"""SELECT refund_id AS "REFUND_ID", order_id AS "ORDER_ID", {_stamp.format('refund_ts')} AS "REFUND_TS",
-               CAST(refund_amount AS DOUBLE) AS "REFUND_AMOUNT", refund_reason AS "REFUND_REASON",
-               {_stamp.format('created_at')} AS "CREATED_AT" FROM a_raw_refunds""",
-)
+check("warehouse_refresh", _profile("a", True))
 check(
     "clean_for_load",
-    f"""SELECT order_id AS "ORDER_ID", customer_id AS "CUSTOMER_ID", city AS "CITY",
-               {_stamp.format('order_ts')} AS "ORDER_TS", CAST(order_amount AS DOUBLE) AS "ORDER_AMOUNT",
-               order_status AS "ORDER_STATUS", {_stamp.format('created_at')} AS "CREATED_AT"
-        FROM b_raw_orders""",
+    _profile("b", True) + """ UNION ALL
+        SELECT 'raw_orders', order_id, CAST(floor(epoch(order_ts)) AS BIGINT), 26 FROM b_raw_orders""",
 )
 check(
     "verify_counts",
     " UNION ALL ".join(
-        f"SELECT '{label}raw_{t}' AS table_name, count(*) AS rows, count(*) > 0 AS ok FROM {family}_raw_{t}"
-        for family, label in (("a", ""), ("b", "b_"))
-        for t in _RAW
+        f"SELECT '{label}{name}' AS table_name, count(*) AS rows, count(*) > 0 AS ok FROM {source}"
+        for family, label in (("a", ""), ("b", "b_"), ("a", "loaded_"))
+        for name, source in _movement(family).items()
+        if label != "b_" or source != "audit"
     ),
 )
+_summary_rows = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS rows, 'success' AS status, TRUE AS has_size FROM {source}"
+    for name, source in _movement("a").items()
+)
 check(
     "load_summary",
-    " UNION ALL ".join(
-        f"SELECT 'raw_{t}' AS table_name, count(*) AS rows, 'success' AS status, TRUE AS has_size FROM a_raw_{t}"
-        for t in _RAW
-    ),
+    f"""{_summary_rows} UNION ALL
+        SELECT 'all', CAST(sum(rows) AS BIGINT), '6 0 0', TRUE FROM ({_summary_rows})""",
+)
+check(
+    "evolve_unreadable",
+    """SELECT * FROM (
+         SELECT 'raw_orders' AS table_name, 'order_amount' AS column_name, count(*) FILTER (order_amount = 'n/a') AS rows
+         FROM a_raw_orders
+         UNION ALL SELECT 'raw_payments', 'amount', count(*) FILTER (amount = 'n/a') FROM a_raw_payments)
+       WHERE rows > 0""",
 )
 check(
     "evolve_schema",
@@ -412,10 +444,19 @@ check(
 )
 check(
     "dq_accepted_values",
-    f"""SELECT 'payment_status' AS column_name, 'accepted_values' AS test,
-               {_outside('a_raw_payments', 'payment_status', ('success', 'failed'))} AS failures
-        UNION ALL SELECT 'payment_method', 'accepted_values',
-               {_outside('a_raw_payments', 'payment_method', ('UPI', 'Wallet', 'COD'))}""",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS column_name, 'accepted_values' AS test, {_outside(f'a_{t}', k, v)} AS failures"
+        for t, k, v in (
+            ("raw_orders", "order_status", ("confirmed", "Delivered", "CANCELLED")),
+            ("raw_payments", "payment_status", ("success", "failed")),
+            ("raw_payments", "payment_method", ("UPI", "Wallet", "COD")),
+            ("raw_deliveries", "delivery_status", ("on_time", "delayed")),
+            ("raw_deliveries", "delivery_partner", ("Delhivery", "BlueDart")),
+            ("raw_complaints", "ai_severity", ("low", "medium", "high", "critical")),
+            ("raw_complaints", "ai_category", ("app_issue",)),
+            ("raw_refunds", "refund_reason", ("payment_failed", "wrong_product")),
+        )
+    ),
 )
 _SOURCE_OF = {
     "ai_pipeline_diagnosis": "audit",

@@ -595,23 +595,37 @@ def _root(inputs: Inputs, label: str) -> str:
     return shared_dir(inputs.spark, label)
 
 
+def _profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, n_values, n_distinct) of every column; JSON columns are only counted."""
+    parts = None
+    for name, table in tables.items():
+        counted = []
+        for column in table.columns:
+            distinct = F.lit(None).cast("bigint") if column.lower().endswith("_json") else F.count_distinct(column)
+            counted.append(F.struct(
+                F.lit(name).alias("table_name"), F.lit(column).alias("column_name"),
+                F.count(column).alias("n_values"), distinct.alias("n_distinct"),
+            ))
+        rows = table.agg(F.array(*counted).alias("columns")).select(F.inline("columns"))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
+
+
 @query
 def export_csv(inputs):
-    """Payments as read back from their CSV export."""
+    """All seven tables as read back from their CSV export."""
     root = _root(inputs, "csv")
-    sinks.export_csv({"raw_payments": inputs.view("b_raw_payments")}, root)
-    back = inputs.spark.read.option("header", True).option("escape", '"').csv(f"{root}/raw_payments")
-    return back.select(
-        "payment_id", "order_id", "payment_method", "payment_status",
-        c("amount").cast("double").alias("amount"), "failure_reason",
-    )
+    tables = inputs.movement(logs=True)
+    sinks.export_csv(tables, root)
+    reader = inputs.spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    return _profile({name: reader.csv(f"{root}/{name}") for name in tables})
 
 
 @query
 def backup_parquet(inputs):
     """Rows per table and date partition of a backup of all tables."""
     root = _root(inputs, "backup")
-    tables = inputs.raw("b")
+    tables = inputs.movement()
     sinks.backup_parquet(tables, root, RUN_AT)
     parts = None
     for name in tables:
@@ -636,33 +650,51 @@ def scan_backup_day(inputs):
     return day.select("order_id", "customer_id", "order_ts", "order_amount")
 
 
+def _loaded(inputs: Inputs, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {name: sinks.read_refreshed(inputs.spark, f"{root}/{name.upper()}") for name in tables}
+
+
 @query
 def warehouse_refresh(inputs):
-    """Refunds in the warehouse after two refreshes."""
+    """All six tables in the warehouse after two refreshes."""
     root = _root(inputs, "warehouse")
-    refunds = {"raw_refunds": inputs.view("a_raw_refunds")}
+    tables = inputs.movement("a")
     for _ in range(2):
-        sinks.warehouse_refresh(refunds, root)
-    return inputs.spark.read.parquet(f"{root}/RAW_REFUNDS")
+        sinks.warehouse_refresh(tables, root)
+    return _profile(_loaded(inputs, root, tables))
 
 
 @query
 def clean_for_load(inputs):
-    return sinks.clean_for_load(inputs.view("b_raw_orders"))
+    """The rows of the orders, and every column of all six tables."""
+    cleaned = {name: sinks.clean_for_load(table) for name, table in inputs.movement().items()}
+    orders = cleaned["raw_orders"].select(
+        F.lit("raw_orders").alias("table_name"), c("ORDER_ID").alias("column_name"),
+        F.unix_seconds(c("ORDER_TS").cast("timestamp")).alias("n_values"), F.length("CREATED_AT").cast("bigint").alias("n_distinct"),
+    )
+    return _profile(cleaned).unionByName(orders)
 
 
 @query
 def verify_counts(inputs):
-    return sinks.verify_counts({**inputs.raw("a"), **{
-        f"b_{name}": table for name, table in inputs.raw("b").items()
-    }})
+    """The source tables, and the tables loaded from them."""
+    root = _root(inputs, "warehouse")
+    tables = inputs.movement("a")
+    sinks.warehouse_refresh(tables, root)
+    loaded = {f"loaded_{name}": table for name, table in _loaded(inputs, root, tables).items()}
+    others = {f"b_{name}": table for name, table in inputs.raw("b").items()}
+    return sinks.verify_counts({**tables, **others, **loaded})
 
 
 @query
 def load_summary(inputs):
-    """Rows per table as counted while a backup wrote them."""
-    summary = sinks.backup_parquet(inputs.raw("a"), _root(inputs, "backup"), RUN_AT)
-    return summary.select("table_name", "rows", "status", (c("size_kb") > 0).alias("has_size"))
+    """Rows per table as counted while a backup wrote them, and all in all."""
+    summary = sinks.backup_parquet(inputs.movement("a"), _root(inputs, "backup"), RUN_AT)
+    total = sinks.summary_totals(summary).select(
+        F.lit("all").alias("table_name"), "rows",
+        F.concat_ws(" ", "succeeded", "skipped", "failed").alias("status"), (c("size_kb") > 0).alias("has_size"),
+    )
+    return summary.select("table_name", "rows", "status", (c("size_kb") > 0).alias("has_size")).unionByName(total)
 
 
 @query
@@ -673,6 +705,16 @@ def evolve_schema(inputs):
     return sinks.evolve_schema(once, schemas.RAW_PAYMENTS)
 
 
+@query
+def evolve_unreadable(inputs):
+    """Values of the raw tables that do not read as their schema's type."""
+    parts = None
+    for name, table in inputs.raw("a").items():
+        rows = sinks.unreadable(table, schemas.RAW_TABLES[name]).withColumn("table_name", F.lit(name))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts.where(c("rows") > 0)
+
+
 @query
 def stored_marts(inputs):
     """The daily health mart as stored by a whole warehouse build."""
@@ -707,11 +749,19 @@ def dq_not_null(inputs):
 
 @query
 def dq_accepted_values(inputs):
-    table = inputs.view("a_raw_payments")
-    return quality.dq_accepted_values(
-        table,
-        {"payment_status": ("success", "failed"), "payment_method": ("UPI", "Wallet", "COD")},
-    )
+    """Statuses, methods, partners, reasons and labels of the raw tables."""
+    accepted = {
+        "raw_orders": {"order_status": ("confirmed", "Delivered", "CANCELLED")},
+        "raw_payments": {"payment_status": ("success", "failed"), "payment_method": ("UPI", "Wallet", "COD")},
+        "raw_deliveries": {"delivery_status": ("on_time", "delayed"), "delivery_partner": ("Delhivery", "BlueDart")},
+        "raw_complaints": {"ai_severity": ("low", "medium", "high", "critical"), "ai_category": ("app_issue",)},
+        "raw_refunds": {"refund_reason": ("payment_failed", "wrong_product")},
+    }
+    parts = None
+    for name, table in inputs.raw("a").items():
+        rows = quality.dq_accepted_values(table, accepted[name]).withColumn("table_name", F.lit(name))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return parts
 
 
 @query

@@ -7,10 +7,10 @@ from datetime import datetime
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from shopvitals.session import side_by_side
+from shopvitals.session import discard, side_by_side
 
 c = F.col
 
@@ -40,6 +40,50 @@ def _replace(name: str, frame: DataFrame, path: str) -> tuple:
         return (name, None, None, path, f"failed: {type(error).__name__}")
 
 
+SWITCHES = "version bigint, rows bigint"
+
+
+def _current(spark: SparkSession, path: str) -> int:
+    """The version of a refreshed table that readers get, 0 before the first one."""
+    try:
+        switches = spark.read.schema(SWITCHES).parquet(f"{path}/switches")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return switches.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
+def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a refreshed table as of its last complete refresh."""
+    return spark.read.parquet(f"{path}/versions/{_current(spark, path)}")
+
+
+def _switch(name: str, frame: DataFrame, path: str) -> tuple:
+    """Write a new version beside the current one, check its count, then let readers see it.
+
+    A refresh that fails or is empty leaves the current version as it is. The version before the
+    current one stays for readers that are still on it; older ones are removed.
+    """
+    spark = frame.sparkSession
+    try:
+        old = _current(spark, path)
+        folder = f"{path}/versions/{old + 1}"
+        row = _written(name, frame, folder, lambda rows: rows.write.mode("overwrite").parquet(folder))
+        if row[1] == 0:
+            discard(spark, folder)
+            return (name, 0, 0.0, path, "skipped")
+        stored = spark.read.parquet(folder).count()
+        if stored != row[1]:
+            return (name, stored, row[2], path, f"failed: {row[1]} rows written, {stored} stored")
+        spark.createDataFrame([(old + 1, stored)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
+        if old > 1:
+            discard(spark, f"{path}/versions/{old - 1}")
+        return (name, stored, row[2], path, "success")
+    except (PySparkException, Py4JJavaError) as error:
+        return (name, None, None, path, f"failed: {type(error).__name__}")
+
+
 def _session(tables: Mapping[str, DataFrame]) -> SparkSession:
     return next(iter(tables.values())).sparkSession
 
@@ -106,12 +150,13 @@ def clean_for_load(table: DataFrame) -> DataFrame:
 def warehouse_refresh(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Replace each stored table by its cleaned rows.
 
-    An empty input leaves the stored table as it is: emptiness is checked before anything is
-    overwritten. One table's failure does not stop the others.
+    An empty input, or a write that fails, leaves the stored table as it is: a new version is written
+    and counted before readers (``read_refreshed``) are switched to it. One table's failure does not
+    stop the others. One refresh of a table runs at a time.
     """
 
     def refresh(name: str) -> tuple:
-        return _replace(name, clean_for_load(tables[name]), f"{root}/{name.upper()}")
+        return _switch(name, clean_for_load(tables[name]), f"{root}/{name.upper()}")
 
     return load_summary(_session(tables), side_by_side(refresh, tables))
 
@@ -145,8 +190,8 @@ def verify_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def evolve_schema(stored: DataFrame, target: T.StructType) -> DataFrame:
     """Stored rows under the target schema: missing columns added as NULL, types adjusted.
 
-    Text that does not read as the target type becomes NULL. Columns only the stored table
-    has are kept at the end. Applying it again changes nothing.
+    Text that does not read as the target type becomes NULL; ``unreadable`` counts it beforehand.
+    Columns only the stored table has are kept at the end. Applying it again changes nothing.
     """
     have = {f.name: f.dataType for f in stored.schema}
 
@@ -163,6 +208,29 @@ def evolve_schema(stored: DataFrame, target: T.StructType) -> DataFrame:
     )
 
 
+def unreadable(stored: DataFrame, target: T.StructType) -> DataFrame:
+    """(column_name, rows): per column of another type, the values ``evolve_schema`` makes NULL."""
+    have = {f.name: f.dataType for f in stored.schema}
+    changed = [f for f in target if f.name in have and have[f.name] != f.dataType]
+    if not changed:
+        return stored.sparkSession.createDataFrame([], "column_name string, rows bigint")
+    lost = stored.agg(*[
+        F.count_if(c(f.name).isNotNull() & c(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in changed
+    ])
+    return lost.unpivot([], [f.name for f in changed], "column_name", "rows")
+
+
+def summary_totals(summary: DataFrame) -> DataFrame:
+    """One row over a load summary: tables by outcome, rows and size in all."""
+    return summary.agg(
+        F.count_if(c("status") == "success").alias("succeeded"),
+        F.count_if(c("status") == "skipped").alias("skipped"),
+        F.count_if(c("status").startswith("failed")).alias("failed"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.round(F.sum("size_kb"), 1), F.lit(0.0)).alias("size_kb"),
+    )
+
+
 def load_summary(spark: SparkSession, results: list[tuple]) -> DataFrame:
     """One row per table of a load, as (table_name, rows, size_kb, path, status)."""
     return spark.createDataFrame(results, SUMMARY)

@@ -52,11 +52,32 @@ def test_refresh_replaces_but_never_empties(rows, spark, tmp_path):
     sinks.warehouse_refresh({"raw_orders": orders(rows, 2)}, root)
     (row,) = sinks.warehouse_refresh({"raw_orders": orders(rows, 0)}, root).collect()
     assert row["status"] == "skipped"
-    stored = spark.read.parquet(f"{root}/RAW_ORDERS")
+    (row,) = sinks.warehouse_refresh({"raw_orders": orders(rows).crossJoin(Broken(spark))}, root).collect()
+    assert row["status"].startswith("failed")
+    stored = sinks.read_refreshed(spark, f"{root}/RAW_ORDERS")
     assert stored.count() == 2 and stored.columns[0] == "ORDER_ID"
     assert stored.first()["ORDER_TS"] == "2024-01-01 00:00:00.000000"
 
 
+def test_refresh_keeps_the_current_and_the_previous_version(rows, spark, tmp_path):
+    for n in (1, 2, 3):
+        sinks.warehouse_refresh({"t": orders(rows, n)}, str(tmp_path))
+    assert sorted(os.listdir(tmp_path / "T/versions")) == ["2", "3"]
+    assert sinks.read_refreshed(spark, f"{tmp_path}/T").count() == 3
+
+
+def test_values_lost_to_a_new_type_are_counted(rows):
+    old = rows([("1", "x"), ("a", None), (None, "2")], "diagnosis_id string, severity string")
+    assert {tuple(r) for r in sinks.unreadable(old, schemas.DIAGNOSES).collect()} == {("diagnosis_id", 1), ("severity", 1)}
+    assert sinks.unreadable(rows([], "status string"), schemas.DIAGNOSES).count() == 0
+
+
+def test_totals_of_a_load(rows, spark, tmp_path):
+    summary = sinks.warehouse_refresh({"a": orders(rows), "b": orders(rows, 0), "c": Broken(spark)}, str(tmp_path))
+    total = sinks.summary_totals(summary).first()
+    assert (total["succeeded"], total["skipped"], total["failed"], total["rows"]) == (1, 1, 1, 3)
+
+
 def test_clean_for_load(rows):
     raw = rows(
         [(None, None, None), (None, "x", 5)],
