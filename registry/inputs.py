@@ -58,6 +58,18 @@ FROM documents
 """
 
 
+# Answers to the complaints that come as events, two attempts each; the first is whole for one in two.
+COMPLAINT_ANSWERS = """
+SELECT complaint_id, attempt,
+       CASE WHEN (n + attempt) % 4 = 0 THEN NULL
+            WHEN (n + attempt) % 4 = 1 THEN '{"category":"late_delivery"'
+            ELSE concat('{"category":"other","severity":"critical","customer_emotion":null,"recommended_action":"call ',
+                        attempt, '"}') END AS response
+FROM (SELECT complaint_id, CAST(substr(complaint_id, 5) AS BIGINT) AS n, 1 AS attempt FROM {complaints}
+      UNION ALL SELECT complaint_id, CAST(substr(complaint_id, 5) AS BIGINT) AS n, 2 AS attempt FROM {complaints}) a
+"""
+
+
 class Inputs:
     """Lazily built inputs of the registered queries."""
 
@@ -143,6 +155,10 @@ class Inputs:
         self.table("documents").createOrReplaceTempView("_label_documents")
         return self.spark.sql(LABEL_ANSWERS.replace("FROM documents", "FROM _label_documents"))
 
+    def complaint_answers(self) -> DataFrame:
+        self.view("b_complaint_events").createOrReplaceTempView("_answer_complaints")
+        return self.spark.sql(COMPLAINT_ANSWERS.replace("{complaints}", "_answer_complaints"))
+
     def movement(self, family: str = "b", logs: bool = False) -> dict[str, DataFrame]:
         """The tables that are backed up and loaded, with the log if that is wanted too."""
         audit = materialize(self.audit(), "audit")  # read by several jobs, replayed once

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from registry.sql_parts import METRIC_OF, assemble, half_up, keyword_case, share, text
-from shopvitals.operators import diagnosis, quality
-from shopvitals.operators.complaints import LABEL_FIELDS, MODEL_LABEL_KEYS
-from shopvitals.operators.decisions import ICONS, OTHER_ICON
+from registry.sql_parts import LABEL_FIELDS, METRIC_OF, assemble, half_up, keyword_case, share, text
 
 _RAW = ("orders", "payments", "deliveries", "complaints", "refunds")
 _KEY_OF = {
@@ -199,8 +196,16 @@ check(
 )
 
 
+# JSON key of each label, and what an absent key means.
+_MODEL_KEYS = {
+    "ai_category": ("category", "other"), "ai_severity": ("severity", "medium"),
+    "customer_emotion": ("customer_emotion", "unknown"), "business_impact": ("business_impact", "operational_risk"),
+    "recommended_action": ("recommended_action", "Review complaint manually."),
+}
+
+
 def _model_label(field: str) -> str:
-    key, default = MODEL_LABEL_KEYS[field]
+    key, default = _MODEL_KEYS[field]
     return f"""CASE WHEN NOT coalesce(usable, FALSE) THEN {keyword_case(field)}
                     WHEN json_type(answer, '$.{key}') IS NULL THEN {text(default)}
                     ELSE json_extract_string(answer, '$.{key}') END AS {field}"""
@@ -214,8 +219,28 @@ check(
                     FROM label_answers))""",
 )
 
+check(
+    "complaint_prompt",
+    """SELECT complaint_id, 'openai' AS provider, 'gpt-4o-mini' AS model, complaint_text, TRUE AS names_severities
+       FROM a_complaint_events WHERE complaint_text IS NOT NULL""",
+)
+check(
+    "ingest_complaints_model",
+    f"""SELECT complaint_id, order_id, complaint_ts, complaint_text, {', '.join(_model_label(f) for f in LABEL_FIELDS)}, created_at
+        FROM (SELECT e.*, answer, answer IS NOT NULL AS usable
+              FROM b_complaint_events e LEFT JOIN (
+                SELECT complaint_id, arg_min(response, attempt) AS answer FROM complaint_answers
+                WHERE response IS NOT NULL AND json_valid(response) GROUP BY complaint_id) USING (complaint_id))""",
+)
+
 # ------------------------------------------------------------------------ diagnosis
 
+_FALLBACK_TEXTS = {  # fixed values
+    "root_cause": "AI module failed — manual investigation needed",
+    "business_impact": "Unknown without AI diagnosis",
+    "suggested_fix": "Check AI service logs and Postgres",
+    "investigation_sql": "SELECT * FROM raw_payments WHERE payment_status='failed' AND payment_ts >= NOW() - INTERVAL '1 hour';",
+}
 _DIAGNOSIS = (
     "run_timestamp, status, severity, confidence, issue_summary, root_cause, business_impact, "
     "suggested_fix, investigation_sql, array_to_string(tags, ',') AS tags, llm_provider, llm_model, "
@@ -231,7 +256,7 @@ check(
                {_full_row('0.5::DOUBLE')} AS severity, {_full_row('0.3::DOUBLE')} AS confidence,
                concat(CASE WHEN lost THEN 'Total fallback. ' ELSE 'AI unavailable. ' END,
                       'orders=', orders_count, ', failure_rate=', failure_rate) AS issue_summary,
-               {', '.join(f"{_full_row(text(v))} AS {k}" for k, v in diagnosis.FALLBACK_TEXTS.items())},
+               {', '.join(f"{_full_row(text(v))} AS {k}" for k, v in _FALLBACK_TEXTS.items())},
                {_full_row("'dag_fallback'")} AS tags, {_full_row("'{}'")} AS features_json,
                {_full_row("'{}'")} AS anomalies_json,
                CASE WHEN lost THEN 'dag_emergency_fallback' ELSE 'dag_fallback' END AS source,
@@ -289,7 +314,7 @@ check(
            AND h.run_timestamp >= d.run_timestamp - INTERVAL 30 MINUTE)""",
 )
 check("alert_routing", "SELECT run_timestamp, status, severity, routing FROM decided")
-_icon = "CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ICONS.items()) + f" ELSE '{OTHER_ICON}' END"
+_icon = "CASE status WHEN 'healthy' THEN '🟢' WHEN 'degraded' THEN '🟡' WHEN 'critical' THEN '🔴' ELSE '⚪' END"
 check(
     "alert_message",
     f"""SELECT run_timestamp, concat(
@@ -315,13 +340,12 @@ check(
 
 # ------------------------------------------------------------------------ sinks
 
-_LABELS = ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
 _COLUMNS = {
     "raw_orders": "order_id customer_id city order_ts order_amount order_status created_at",
     "raw_payments": "payment_id order_id payment_ts payment_method payment_status amount failure_reason created_at",
     "raw_deliveries": "delivery_id order_id city delivery_partner promised_minutes actual_minutes delivery_status created_at",
     "raw_refunds": "refund_id order_id refund_ts refund_amount refund_reason created_at",
-    "raw_complaints": "complaint_id order_id complaint_ts complaint_text " + " ".join(_LABELS) + " created_at",
+    "raw_complaints": "complaint_id order_id complaint_ts complaint_text " + " ".join(LABEL_FIELDS) + " created_at",
     "ai_pipeline_diagnosis": "diagnosis_id run_timestamp status severity confidence issue_summary root_cause "
     "business_impact suggested_fix investigation_sql tags features_json anomalies_json source llm_provider llm_model "
     "llm_latency_ms alert_fingerprint alerted_at created_at",
@@ -466,16 +490,41 @@ _SOURCE_OF = {
 }
 
 
+# Layer, table, unique column or -, columns that are not null, and accepted values.
+_TESTS = """
+raw raw_orders order_id order_id,customer_id,order_ts
+raw raw_payments payment_id payment_id,order_id,payment_ts
+raw raw_deliveries delivery_id delivery_id,order_id
+raw raw_complaints complaint_id complaint_id,order_id,complaint_ts
+raw raw_refunds refund_id refund_id,order_id
+raw ai_pipeline_diagnosis diagnosis_id diagnosis_id,run_timestamp
+staging stg_orders order_id order_id,customer_id,order_ts,order_amount,city
+staging stg_payments payment_id payment_id,order_id,payment_ts,is_success,is_failed
+staging stg_deliveries delivery_id delivery_id,order_id,city,is_delayed
+staging stg_complaints complaint_id complaint_id,order_id,severity_score
+staging stg_refunds refund_id refund_id,order_id,refund_amount
+staging stg_ai_diagnosis diagnosis_id diagnosis_id,run_timestamp,severity,confidence
+marts mart_order_summary - order_date,city,total_orders,total_revenue
+marts mart_payment_health - payment_date,payment_method health_status=healthy,warning,critical
+marts mart_delivery_performance - delivery_date,city health_status=healthy,warning,critical
+marts mart_complaint_insights - complaint_date,total_complaints
+marts mart_ai_diagnosis_summary run_date run_date,pipeline_health_score
+marts mart_business_health_daily business_date business_date overall_status=healthy,degraded,critical
+"""
+
+
 def _report() -> str:
     rows = []
-    for tests in quality.TESTS:
-        source = _SOURCE_OF.get(tests.table, f"a_{tests.table}")
-        failures = [(k, "not_null", f"(SELECT count(*) FROM {source} WHERE {k} IS NULL)") for k in tests.not_null]
-        failures += [(k, "accepted_values", _outside(source, k, v)) for k, v in tests.accepted.items()]
-        failures += [(k, "unique", _unique(source, k)) for k in tests.unique]
+    for line in _TESTS.split("\n")[1:-1]:
+        layer, table, unique, filled, *accepted = line.split(" ")
+        source = _SOURCE_OF.get(table, f"a_{table}")
+        failures = [(k, "not_null", f"(SELECT count(*) FROM {source} WHERE {k} IS NULL)") for k in filled.split(",")]
+        for k, values in (rule.split("=") for rule in accepted):
+            failures.append((k, "accepted_values", _outside(source, k, tuple(values.split(",")))))
+        if unique != "-":
+            failures.append((unique, "unique", _unique(source, unique)))
         rows += [
-            f"SELECT '{tests.layer}' AS layer, '{tests.table}' AS table_name, '{k}' AS column_name, "
-            f"'{test}' AS test, {n} AS failures"
+            f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{k}' AS column_name, '{test}' AS test, {n} AS failures"
             for k, test, n in failures
         ]
     return f"SELECT *, failures = 0 AS passed FROM ({' UNION ALL '.join(rows)})"

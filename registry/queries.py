@@ -428,6 +428,22 @@ def normalize_complaint_labels(inputs):
     )
 
 
+@query
+def complaint_prompt(inputs):
+    """Prompts of all complaints with a text, with what they carry."""
+    return complaints.complaint_prompt(inputs.view("a_complaint_events")).select(
+        "complaint_id", "provider", "model",
+        F.get_json_object("user_prompt", "$.complaint_text").alias("complaint_text"),
+        c("system_prompt").contains("one of low, medium, high, critical").alias("names_severities"),
+    )
+
+
+@query
+def ingest_complaints_model(inputs):
+    """Complaints as they are stored with a model's answers."""
+    return ingest.ingest_complaints(inputs.messages, answers=inputs.complaint_answers())
+
+
 # ------------------------------------------------------------------------ diagnosis
 
 

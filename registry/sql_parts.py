@@ -4,14 +4,30 @@ from __future__ import annotations
 
 import re
 
-from registry.inputs import LABEL_ANSWERS, MODEL_ANSWERS
-from shopvitals.operators import diagnosis
-from shopvitals.operators.complaints import KEYWORD_LABELS, LABEL_FIELDS, OTHER_LABELS
+from registry.inputs import COMPLAINT_ANSWERS, LABEL_ANSWERS, MODEL_ANSWERS
 from shopvitals.sources.fixture_sql import VIEWS
 
 TABLES = ("orders", "customer", "nation", "lineitem", "supplier", "events", "documents")
 
 
+# Fixed values, stated here on their own so that a wrong rule of the code shows.
+LABEL_FIELDS = ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
+_BY_KEYWORD = {
+    "payment|upi|card": "payment_issue/high/frustrated/revenue_risk/Check payment gateway logs and failed payment events.",
+    "late|delay|delivery": "late_delivery/medium/angry/customer_churn_risk/Check delivery partner SLA and delayed delivery events.",
+    "refund": "refund_delay/high/frustrated/trust_risk/Check refund processing queue and payment reversal status.",
+    "wrong|different": "wrong_product/medium/disappointed/return_risk/Check warehouse picking and product mapping process.",
+    "": "app_issue/low/confused/minor_support_load/Check app logs and customer support ticket details.",
+}
+_RULE_TEXTS = {
+    "root_cause": "Rule-based diagnosis. LLM skipped to reduce cost.",
+    "business_impact": "Low cost monitoring mode used. Escalate to LLM only for serious issues.",
+    "suggested_fix": "Review flagged metrics and run deeper investigation if issue continues.",
+    "investigation_sql": "SELECT failure_reason, COUNT(*) FROM raw_payments WHERE payment_status='failed' AND payment_ts >= "
+    "NOW() - INTERVAL '1 hour' GROUP BY failure_reason ORDER BY 2 DESC;",
+}
+
+
 def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -36,11 +52,11 @@ def percent(rate: str) -> str:
 
 def keyword_case(field: str, column: str = "complaint_text") -> str:
     i = LABEL_FIELDS.index(field)
-    branches = []
-    for words, labels in KEYWORD_LABELS:
-        test = " OR ".join(f"contains(lower({column}), '{word}')" for word in words)
-        branches.append(f"WHEN {test} THEN {text(labels[i])}")
-    return f"CASE WHEN {column} IS NULL THEN NULL {' '.join(branches)} ELSE {text(OTHER_LABELS[i])} END"
+    branches = " ".join(
+        f"WHEN regexp_matches(lower({column}), '{words}') THEN {text(labels.split('/')[i])}"
+        for words, labels in _BY_KEYWORD.items()
+    )
+    return f"CASE WHEN {column} IS NULL THEN NULL {branches} END"
 
 
 def labelled(source: str) -> str:
@@ -428,12 +444,12 @@ _summary = "concat_ws('; ', " + ", ".join(f"CASE WHEN {t} THEN {x} END" for t, _
 _tags = "list_filter(['rule_based', " + ", ".join(
     f"CASE WHEN {t} THEN '{tag}' END" for t, _, tag, _ in _ISSUES
 ) + "], lambda x: x IS NOT NULL)"
-_rule_texts = ", ".join(f"{text(v)} AS {k}" for k, v in diagnosis.RULE_TEXTS.items())
+_rule_texts = ", ".join(f"{text(v)} AS {k}" for k, v in _RULE_TEXTS.items())
 PARTS["rules"] = f"""
     SELECT *, CASE WHEN NOT any_issue THEN 'healthy' WHEN severity >= 0.7 THEN 'critical'
                    ELSE 'degraded' END AS status,
            0.5::DOUBLE AS confidence,
-           CASE WHEN any_issue THEN listed ELSE {text(diagnosis.HEALTHY_SUMMARY)} END AS issue_summary,
+           CASE WHEN any_issue THEN listed ELSE 'All metrics within normal range.' END AS issue_summary,
            {_rule_texts}, 'rule_based' AS llm_provider, 'n/a' AS llm_model,
            CAST(NULL AS INTEGER) AS llm_latency_ms
     FROM (SELECT *, {_any} AS any_issue, round(CAST({_worst} AS DOUBLE), 2) AS severity,
@@ -585,6 +601,7 @@ PARTS["bh_ai"] = """
            avg_confidence
     FROM mart_ai_diagnosis_summary"""
 PARTS["label_answers"] = LABEL_ANSWERS
+PARTS["complaint_answers"] = COMPLAINT_ANSWERS.replace("{complaints}", "b_complaint_events")
 
 # ------------------------------------------------------------------------ messages
 

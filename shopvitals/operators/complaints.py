@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.functions.json import once, parse_whole_json
 
 LABEL_FIELDS = (
@@ -50,6 +51,16 @@ MODEL_LABEL_KEYS = {
 }
 
 
+# The labels a model may choose from; other keys take free text.
+MODEL_CHOICES = {
+    "category": ("payment_issue", "late_delivery", "wrong_product", "refund_delay", "app_issue", "other"),
+    "severity": ("low", "medium", "high", "critical"),
+    "business_impact": (
+        "revenue_risk", "customer_churn_risk", "trust_risk", "return_risk", "minor_support_load", "operational_risk",
+    ),
+}
+
+
 def _labels(values: tuple[str, ...]) -> Column:
     return F.struct(*[F.lit(v).alias(name) for name, v in zip(LABEL_FIELDS, values)])
 
@@ -102,3 +113,40 @@ def normalize_complaint_labels(answers: DataFrame, cfg=None, as_of=None) -> Data
         ),
     )
     return parsed.select(*answers.columns, *[label(name) for name in LABEL_FIELDS])
+
+
+def complaint_system_prompt() -> str:
+    """What is asked of a model that labels complaints: one line per label, from the constants."""
+    lines = []
+    for key, default in MODEL_LABEL_KEYS.values():
+        kind = "one of " + ", ".join(MODEL_CHOICES[key]) if key in MODEL_CHOICES else "a few words"
+        lines.append(f"{key}: {kind}; if the text does not tell, {default}")
+    return (
+        "A customer of an online shop wrote the complaint you are given as JSON. Label it for the support "
+        "team by a single JSON object with these keys and nothing around it:\n" + "\n".join(lines) + "\n"
+    )
+
+
+def complaint_prompt(events: DataFrame, cfg: MonitorConfig = DEFAULT, as_of=None) -> DataFrame:
+    """One prompt per complaint with a text, for any batch inference job; the user's part is JSON."""
+    return events.where(F.col("complaint_text").isNotNull()).select(
+        "complaint_id",
+        F.lit(cfg.model_provider).alias("provider"),
+        F.lit(cfg.model_name).alias("model"),
+        F.lit(complaint_system_prompt()).alias("system_prompt"),
+        F.to_json(F.struct("complaint_text")).alias("user_prompt"),
+    )
+
+
+def label_complaints(events: DataFrame, answers: DataFrame) -> DataFrame:
+    """Complaint events with the five labels, from a model's answers where there are usable ones.
+
+    ``answers`` holds (complaint_id, attempt, response); the first attempt that is a JSON object
+    counts. A complaint without one gets the labels of the keyword rules.
+    """
+    usable = answers.where(
+        parse_whole_json(F.col("response")).isNotNull() & F.json_object_keys("response").isNotNull()
+    )
+    first = usable.groupBy("complaint_id").agg(F.min(F.struct("attempt", "response")).alias("_first"))
+    joined = events.join(first.select("complaint_id", F.col("_first.response").alias("response")), "complaint_id", "left")
+    return normalize_complaint_labels(joined).select(*events.columns, *LABEL_FIELDS)

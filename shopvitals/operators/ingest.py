@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopvitals import schemas
 from shopvitals.functions.json import once, parse_whole_json
 from shopvitals.functions.time import parse_event_ts
-from shopvitals.operators.complaints import classify_complaint_rules
+from shopvitals.operators.complaints import classify_complaint_rules, label_complaints
 
 c = F.col
 
@@ -118,11 +118,14 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     )
 
 
-def loadable(decoded: DataFrame, kind: EventKind) -> DataFrame:
-    """Decoded messages that are rows of the table, with ``offset`` to order them by."""
+def loadable(decoded: DataFrame, kind: EventKind, answers: DataFrame | None = None) -> DataFrame:
+    """Decoded messages that are rows of the table, with ``offset`` to order them by.
+
+    Complaints get their labels from the rules, or from the model's ``answers`` where there are any.
+    """
     rows = decoded.where(c("problem").isNull()).drop("problem", "topic", "value")
     if kind.table == "raw_complaints":
-        rows = classify_complaint_rules(rows)
+        rows = classify_complaint_rules(rows) if answers is None else label_complaints(rows, answers)
     return rows
 
 
@@ -183,9 +186,11 @@ def ingest_route(messages: DataFrame) -> dict[str, tuple[DataFrame, DataFrame]]:
     return routed
 
 
-def _ingest(messages: DataFrame, name: str, existing: DataFrame | None) -> DataFrame:
+def _ingest(
+    messages: DataFrame, name: str, existing: DataFrame | None, answers: DataFrame | None = None
+) -> DataFrame:
     kind = EVENT_KINDS[name]
-    rows = loadable(decode(messages, kind), kind)
+    rows = loadable(decode(messages, kind), kind, answers)
     rows = dedup_first_write(rows, kind.key, existing=existing)
     return rows.select(*[f.name for f in schemas.RAW_TABLES[kind.table]])
 
@@ -206,8 +211,10 @@ def ingest_refunds(messages: DataFrame, existing: DataFrame | None = None) -> Da
     return _ingest(messages, "refunds", existing)
 
 
-def ingest_complaints(messages: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    return _ingest(messages, "complaints", existing)
+def ingest_complaints(
+    messages: DataFrame, existing: DataFrame | None = None, answers: DataFrame | None = None
+) -> DataFrame:
+    return _ingest(messages, "complaints", existing, answers)
 
 
 def quarantine(messages: DataFrame) -> DataFrame:

@@ -22,9 +22,12 @@ def stream_ingest(
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
+    answers: DataFrame | None = None,
 ) -> StreamingQuery:
     """Route, decode, quarantine and append every topic, first write per key winning forever.
 
+    Complaints are stored with the model's labels where ``answers`` has them at the time of the batch.
+
     Delivery is at least once. A batch is appended under its own folder, so writing it again
     replaces it, and a key that any earlier batch holds is left out. The earlier keys are read
     as a single column and cut to the batch's keys before they meet it.
@@ -46,7 +49,7 @@ def stream_ingest(
             kept.append(decoded)
             path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
             held = read_table(batch.sparkSession, path, schema, number)
-            new = dedup_first_write(loadable(decoded, kind), kind.key, existing=held)
+            new = dedup_first_write(loadable(decoded, kind, answers), kind.key, existing=held)
             write_batch(new.select(*schema.names), path, number)
             return log_rows(broken(decoded))
 

@@ -144,3 +144,17 @@ def test_fractions_of_minutes_are_rounded(rows):
                  "topic string, value string, offset bigint, received_at timestamp")
     got = [(r["promised_minutes"], r["problem"]) for r in ingest.decode(frame, ingest.EVENT_KINDS["deliveries"]).orderBy("offset").collect()]
     assert got == [(46, None), (45, None), (30, None), (None, "value of the wrong type"), (None, None)]
+
+
+def test_model_labels_are_stored(rows):
+    def complaint(i, text):
+        return json.dumps({"complaint_id": i, "order_id": "o", "complaint_ts": "2024-01-01T00:00:00Z", "complaint_text": text})
+
+    got = messages(rows, *[complaint(f"c{i}", "refund please") for i in range(4)], topic="complaints_topic")
+    answers = rows(
+        [("c0", 1, '{"category":"other"}'), ("c0", 2, '{"category":"app_issue"}'), ("c1", 1, "[]"),
+         ("c1", 2, '{"category":null,"severity":"low"}'), ("c2", 1, '{"category":'), ("gone", 1, "{}")],
+        "complaint_id string, attempt int, response string",
+    )
+    stored = {r["complaint_id"]: (r["ai_category"], r["ai_severity"]) for r in ingest.ingest_complaints(got, answers=answers).collect()}
+    assert stored == {"c0": ("other", "medium"), "c1": (None, "low"), "c2": ("refund_delay", "high"), "c3": ("refund_delay", "high")}
