@@ -16,7 +16,7 @@ from shopvitals.operators.features import (
     RUN, activity, cells, features_as_of, features_replay, single_run,
 )
 from shopvitals.operators.sinks import append_diagnoses
-from shopvitals.session import materialize
+from shopvitals.session import discard, materialize, materialize_at
 
 MONITORED = ("raw_orders", "raw_payments", "raw_deliveries", "raw_complaints")
 
@@ -56,11 +56,19 @@ def select_diagnoses(
 
 
 def decide(
-    selected: DataFrame, cfg: MonitorConfig = DEFAULT, history: DataFrame | None = None
+    selected: DataFrame,
+    cfg: MonitorConfig = DEFAULT,
+    history: DataFrame | None = None,
+    folders: list[str] | None = None,
 ) -> DataFrame:
-    """Fingerprint, alert or not, and where to. The runs are read twice, so they are written."""
+    """Fingerprint, alert or not, and where to. The runs are read twice, so they are written.
+
+    Their folder is added to ``folders`` for the caller to discard when the result is stored.
+    """
     flagged = decisions.alert_candidates(decisions.alert_fingerprint(selected, cfg), cfg)
-    flagged = materialize(flagged, "runs")
+    flagged, folder = materialize_at(flagged, "runs")
+    if folders is not None:
+        folders.append(folder)
     return decisions.alert_routing(decisions.alert_suppress(flagged, cfg, history), cfg)
 
 
@@ -69,9 +77,10 @@ def audit_rows(
     responses: DataFrame | None = None,
     cfg: MonitorConfig = DEFAULT,
     history: DataFrame | None = None,
+    folders: list[str] | None = None,
 ) -> DataFrame:
-    """Rows for the audit table."""
-    decided = decide(select_diagnoses(reports, responses, cfg), cfg, history)
+    """Rows for the audit table. ``folders`` as for ``decide``."""
+    decided = decide(select_diagnoses(reports, responses, cfg), cfg, history, folders)
     return decisions.with_ids(decisions.diagnosis_record(decided, cfg))
 
 
@@ -99,9 +108,10 @@ def run_once(
     spark = rows.sparkSession
     # The run's instant is fixed here, so that every part of the job sees the same one.
     run = as_of or single_run(spark, None).select(F.col(RUN).cast("string")).first()[0]
+    folders: list[str] = []
     try:
         recent = recent_alerts(spark, audit_path, run, cfg)
-        record = audit_rows(reports_as_of(rows, cfg, run), responses, cfg, recent)
+        record = audit_rows(reports_as_of(rows, cfg, run), responses, cfg, recent, folders)
         append_diagnoses(record, audit_path, replace_run=True)
     except (PySparkException, Py4JJavaError):
         try:
@@ -111,6 +121,9 @@ def run_once(
             failed = spark.createDataFrame([(None, None, True)], FAILED_RUN)
         broken = diagnosis.dag_fallback_rows(failed.select(instant(run).alias(RUN), "*"), cfg)
         append_diagnoses(decisions.with_ids(broken), audit_path, replace_run=True)
+    finally:
+        for folder in folders:
+            discard(spark, folder)
 
 
 def recent_alerts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals import schemas
@@ -11,10 +11,18 @@ from shopvitals.functions.time import cell_of, tick_time
 from shopvitals.operators import anomalies, decisions
 from shopvitals.operators.features import RUN, snapshot, windowed
 from shopvitals.plans.monitor import audit_rows
-from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
+from shopvitals.session import discard
+from shopvitals.streaming.sinks import (
+    create_table, day_of, first_number, last_progress, read_days, write_batch, write_days,
+)
 
 c = F.col
 
+CELLS_A_DAY = 86400 // CELL_SECONDS
+#: What a batch notes for the next one.
+LAST_CELL = T.StructType([T.StructField("cell", T.LongType())])
+LAST_RUN = T.StructType([T.StructField("us", T.LongType())])
+
 CELLS = T.StructType(
     [
         T.StructField("domain", T.StringType()),
@@ -71,30 +79,41 @@ def stream_doctor(
 
     A batch stores the cells it closes, then evaluates the ticks they complete against the
     last day of stored cells with the same operators a replay uses. Alerts sent by earlier batches
-    open the suppression. ``responses`` holds model answers for escalated runs, as a replay takes
+    open the suppression. Cells and audit rows lie in a folder per day, and each batch notes the
+    last cell, so a batch reads the days it needs and nothing older. ``responses`` holds model answers for escalated runs, as a replay takes
     them; a run without a valid one at the time of its batch falls back to the rules.
     """
     spark = rows.sparkSession
     cells_path, audit_path = f"{root}/cells", f"{root}/ai_pipeline_diagnosis"
-    create_table(spark, cells_path, CELLS)
-    create_table(spark, audit_path, schemas.DIAGNOSES)
-    first = first_number(spark, checkpoint, cells_path, audit_path)
+    progress = f"{root}/progress"
+    create_table(spark, cells_path, CELLS, by_day=True)
+    create_table(spark, audit_path, schemas.DIAGNOSES, by_day=True)
+    create_table(spark, progress, LAST_CELL)
+    first = first_number(spark, checkpoint, cells_path, audit_path, progress)
 
     def evaluate(batch: DataFrame, batch_id: int) -> None:
         number = first + batch_id
         session = batch.sparkSession
-        write_batch(batch, cells_path, number)
-        now = read_table(session, cells_path, CELLS, number + 1)
-        span = now.agg(F.min("cell").alias("first"), F.max("cell").alias("last")).first()
-        if span["first"] is None:
-            return
-        before = read_table(session, cells_path, CELLS, number)
-        done = before.agg(F.max("cell").alias("last")).first()["last"]
-        first_tick = span["first"] + 1 if done is None else done + 2
-        last_tick = span["last"] + 1
+        batch.persist()
+        try:
+            write_days(batch, cells_path, number, F.floor(c("cell") / F.lit(CELLS_A_DAY)).cast("bigint"))
+            span = batch.agg(F.min("cell").alias("first"), F.max("cell").alias("last")).first()
+        finally:
+            batch.unpersist()
+        noted = last_progress(session, progress, number, LAST_CELL)
+        done = None if noted is None else noted["cell"]
+        last = max((x for x in (done, span["last"]) if x is not None), default=None)
+        if span["first"] is not None:
+            diagnose(session, number, span["first"] + 1 if done is None else done + 2, last + 1)
+        write_batch(session.createDataFrame([(last,)], LAST_CELL).coalesce(1), progress, number)
+
+    def diagnose(session: SparkSession, number: int, first_tick: int, last_tick: int) -> None:
         if first_tick > last_tick:
             return
-        recent = now.where(c("cell") >= first_tick - cfg.baseline_cells)
+        oldest = first_tick - cfg.baseline_cells
+        recent = read_days(
+            session, cells_path, CELLS, oldest // CELLS_A_DAY, last_tick // CELLS_A_DAY, number + 1
+        ).where(c("cell") >= oldest)
         runs = session.range(first_tick, last_tick + 1).select(tick_time(c("id")).alias(RUN))
         due = (
             (c(RUN) >= tick_time(F.lit(first_tick))) & (c(RUN) <= tick_time(F.lit(last_tick)))
@@ -103,14 +122,20 @@ def stream_doctor(
         stats = anomalies.baselines(anomalies.baseline_buckets(recent, cfg).where(due))
         reports = anomalies.anomaly_report(snapshots, stats, cfg)
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
+        before = (first_tick * CELL_SECONDS - cfg.alert_dedup_minutes * 60) // 86400
         alerted = (
-            read_table(session, audit_path, schemas.DIAGNOSES, number)
+            read_days(session, audit_path, schemas.DIAGNOSES, before, last_tick // CELLS_A_DAY, number)
             .where(c("alerted_at") >= tick_time(F.lit(first_tick)) - window)
             .select("alert_fingerprint", "alerted_at")
         )
         answers = None if responses is None else responses.where(due)
-        records = audit_rows(reports, answers, cfg, alerted)
-        write_batch(records.select(*schemas.DIAGNOSES.names), audit_path, number)
+        folders: list[str] = []
+        try:
+            records = audit_rows(reports, answers, cfg, alerted, folders)
+            write_days(records.select(*schemas.DIAGNOSES.names), audit_path, number, day_of(c(RUN)))
+        finally:
+            for folder in folders:
+                discard(session, folder)
 
     return (
         closed_cells(rows, delay)
@@ -132,25 +157,36 @@ def stream_alert_dedup(
     """Suppress repeats in a stream of (alert_fingerprint, run_timestamp) candidates.
 
     What earlier batches sent is read from the sink as far back as the window reaches, so the
-    memory between batches lives in the table and not in operator state.
+    memory between batches lives in the table and not in operator state. The sink has a folder per
+    day and the latest instant is noted beside the table, so only the days in reach are read.
     """
-    create_table(candidates.sparkSession, path, ALERTS)
-    first = first_number(candidates.sparkSession, checkpoint, path)
+    progress = f"{path}_progress"
+    create_table(candidates.sparkSession, path, ALERTS, by_day=True)
+    create_table(candidates.sparkSession, progress, LAST_RUN)
+    first = first_number(candidates.sparkSession, checkpoint, path, progress)
 
     def suppress(batch: DataFrame, batch_id: int) -> None:
         number = first + batch_id
-        start = batch.agg(F.unix_micros(F.min(RUN)).alias("us")).first()["us"]
-        if start is None:
-            return
+        session = batch.sparkSession
+        span = batch.agg(F.unix_micros(F.min(RUN)).alias("first"), F.unix_micros(F.max(RUN)).alias("last")).first()
+        noted = last_progress(session, progress, number, LAST_RUN)
+        done = None if noted is None else noted["us"]
+        last = max((x for x in (done, span["last"]) if x is not None), default=None)
+        if span["first"] is not None:
+            decide(session, batch, number, span["first"], last)
+        write_batch(session.createDataFrame([(last,)], LAST_RUN).coalesce(1), progress, number)
+
+    def decide(session: SparkSession, batch: DataFrame, number: int, start: int, last: int) -> None:
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
+        oldest = (start - cfg.alert_dedup_minutes * 60_000_000) // 86_400_000_000
         sent = (
-            read_table(batch.sparkSession, path, ALERTS, number)
+            read_days(session, path, ALERTS, oldest, last // 86_400_000_000, number)
             .where(c("should_alert") & (c(RUN) >= F.timestamp_micros(F.lit(start)) - window))
             .select("alert_fingerprint", c(RUN).alias("alerted_at"))
         )
         flagged = batch.select("alert_fingerprint", RUN, F.lit(True).alias("candidate"))
         decided = decisions.alert_suppress(flagged, cfg, sent)
-        write_batch(decided.select(*ALERTS.names), path, number)
+        write_days(decided.select(*ALERTS.names), path, number, day_of(c(RUN)))
 
     return (
         candidates.writeStream.foreachBatch(suppress)

@@ -7,14 +7,17 @@ again with a new checkpoint, numbers go on after the last one stored.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
-BATCH = "batch_id"
+BATCH, DAY = "batch_id", "day"
+#: Days that are named in a path; a longer span is found by filtering the folders of all days.
+NAMED_DAYS = 400
 
 
-def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def create_table(spark: SparkSession, path: str, schema: T.StructType, by_day: bool = False) -> None:
     """An empty table to read from before the first batch; kept if it exists."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+    folder = f"{path}/{DAY}=-1/{BATCH}=-1" if by_day else f"{path}/{BATCH}=-1"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
 
 
 def first_number(spark: SparkSession, checkpoint: str, *paths: str) -> int:
@@ -30,9 +33,7 @@ def first_number(spark: SparkSession, checkpoint: str, *paths: str) -> int:
             return row[0]
     except AnalysisException:
         pass  # a new checkpoint
-    stored = [
-        spark.read.schema(schema).parquet(path).agg(F.max(BATCH)).first()[0] for path in paths
-    ]
+    stored = [spark.read.parquet(path).agg(F.max(BATCH).cast("bigint")).first()[0] for path in paths]
     number = max([-1, *(n for n in stored if n is not None)]) + 1
     spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("overwrite").parquet(kept)
     return number
@@ -51,4 +52,39 @@ def read_table(
     rows = spark.read.schema(with_batch).parquet(path)
     if before_batch is not None:
         rows = rows.where(F.col(BATCH) < before_batch)
-    return rows.drop(BATCH)
+    return rows.select(*schema.names)
+
+
+def day_of(instant: Column) -> Column:
+    """Days since 1970 of a timestamp."""
+    return F.floor(F.unix_seconds(instant) / F.lit(86400)).cast("bigint")
+
+
+def write_days(rows: DataFrame, path: str, batch_id: int, day: Column) -> None:
+    """A folder per day and batch; a retry of the batch replaces its folders."""
+    placed = rows.withColumn(DAY, day).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(path)
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, first: int, last: int, before_batch: int
+) -> DataFrame:
+    """The rows of the days from ``first`` to ``last``, as they were before ``before_batch``.
+
+    Only the folders of these days are listed and read, so the cost does not grow with the table.
+    """
+    numbers = T.StructType([*schema.fields, T.StructField(DAY, T.LongType()), T.StructField(BATCH, T.LongType())])
+    named = ",".join(str(day) for day in (-1, *range(first, last + 1))) if last - first < NAMED_DAYS else ""
+    folders = f"{path}/{DAY}={{{named}}}" if named else path
+    rows = spark.read.schema(numbers).option("basePath", path).parquet(folders)
+    return rows.where(F.col(DAY).between(first, last) & (F.col(BATCH) < before_batch)).select(*schema.names)
+
+
+def last_progress(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> Row | None:
+    """What the batch before ``batch_id`` noted in its one row; None for the first batch."""
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id - 1}").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

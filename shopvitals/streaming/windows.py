@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.functions.numeric import int_mean, rate
-from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
+from shopvitals.streaming.sinks import create_table, first_number, last_progress, write_batch
 
 c = F.col
 
@@ -17,6 +17,7 @@ LATE_LOG = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("late_rows", T.LongType()),
         T.StructField("max_event_ts", T.TimestampType()),
+        T.StructField("high_us", T.LongType()),  # the latest event time up to and with the batch
     ]
 )
 
@@ -116,8 +117,8 @@ def late_policy(
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         number = first + batch_id
-        earlier = read_table(batch.sparkSession, log_path, LATE_LOG, number)
-        high = earlier.agg(F.unix_micros(F.max("max_event_ts")).alias("us")).first()["us"]
+        noted = last_progress(batch.sparkSession, log_path, number, LATE_LOG)
+        high = None if noted is None else noted["high_us"]
         window_end = F.window("event_ts", "30 minutes").end
         if high is None:
             late = F.lit(False)
@@ -130,7 +131,7 @@ def late_policy(
             F.count("*").alias("rows"),
             F.count_if(late).alias("late_rows"),
             F.max("event_ts").alias("max_event_ts"),
-        )
+        ).withColumn("high_us", F.greatest(F.unix_micros("max_event_ts"), F.lit(high).cast("bigint")))
         write_batch(counted, log_path, number)
 
     return (

@@ -11,7 +11,7 @@ from shopvitals.operators import decisions
 from shopvitals.plans import monitor
 from shopvitals.streaming import ingest, windows
 from shopvitals.streaming import monitor as stream_monitor
-from shopvitals.streaming.sinks import read_table
+from shopvitals.streaming.sinks import create_table, day_of, read_days, read_table, write_days
 from tests.conftest import TESTDATA
 from tests.test_decisions import START, candidates, greedy
 from tests.test_ingest import AT, MESSAGES, order
@@ -102,6 +102,27 @@ def test_alert_stream_remembers_across_batches(rows, spark, tmp_path):
     assert decisions.alert_suppress(candidates(rows, entries)).where("should_alert").count() == sent.count()
 
 
+def test_a_batch_reads_the_days_it_needs_however_many_are_stored(rows, spark, tmp_path):
+    from datetime import timedelta
+
+    path = f"{tmp_path}/alerts"
+    create_table(spark, path, stream_monitor.ALERTS, by_day=True)
+    listed = set()
+    for stored in (3, 25, 50):
+        frame = candidates(rows, [("a", START + timedelta(days=i)) for i in range(stored)]).select(
+            "alert_fingerprint", "run_timestamp", F.lit(True).alias("should_alert"),
+            F.lit(None).cast("string").alias("suppression_reason"),
+        )
+        write_days(frame, path, 0, day_of(F.col("run_timestamp")))
+        last = frame.select(day_of(F.max("run_timestamp"))).first()[0]
+        recent = read_days(spark, path, stream_monitor.ALERTS, last - 1, last, 1)
+        assert recent.count() == 2
+        listed.add(len(recent.inputFiles()))
+        assert read_days(spark, path, stream_monitor.ALERTS, last - 1000, last, 1).count() == stored
+        assert read_days(spark, path, stream_monitor.ALERTS, last - 1, last, 0).count() == 0
+    assert len(listed) == 1
+
+
 def test_late_rows_are_counted_and_left_out(rows, spark, tmp_path):
     source = f"{tmp_path}/in"
     schema = "event_ts timestamp, domain string, hit boolean"
