@@ -174,7 +174,7 @@ class Inputs:
 
     def staging(self, family: str) -> dict[str, DataFrame]:
         """Staging views of a family; the diagnoses are always those of the replay."""
-        return warehouse.staging_views({**self.raw(family), "ai_pipeline_diagnosis": self.audit()})
+        return warehouse.staging_views(self.movement(family))
 
 
 def comparable(frame: DataFrame) -> DataFrame:

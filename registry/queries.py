@@ -783,7 +783,7 @@ def dq_accepted_values(inputs):
 @query
 def dq_report(inputs):
     """All 69 tests of the raw tables, staging views and marts."""
-    raw = {**inputs.raw("a"), "ai_pipeline_diagnosis": inputs.audit()}
+    raw = inputs.movement("a")
     views = warehouse.staging_views(raw)
     stored = warehouse.write_marts(views, _root(inputs, "marts"))
     return quality.dq_report({**raw, **views, **stored})

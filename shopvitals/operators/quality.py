@@ -98,13 +98,26 @@ def dq_unique(table: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _row_tests(table: DataFrame, tests: list[tuple[str, str, object]]) -> DataFrame:
-    """Tests that look at one row at a time, all in one pass without a shuffle of rows."""
-    if not tests:
+def _row_tests(
+    table: DataFrame, tests: list[tuple[str, str, object]], unique: str | None = None
+) -> DataFrame:
+    """Tests that look at one row at a time, all in one pass without a shuffle of rows.
+
+    With ``unique`` the failures are counted per value of that column first, so one scan serves
+    its uniqueness too; what is shuffled is a row of counts per value.
+    """
+    if not tests and unique is None:
         raise ValueError("no tests given")
-    counts = table.agg(
-        *[F.count_if(failing).alias(f"t{i}") for i, (_, _, failing) in enumerate(tests)]
-    )
+    failed = [F.count_if(failing).alias(f"t{i}") for i, (_, _, failing) in enumerate(tests)]
+    if unique is None:
+        counts = table.agg(*failed)
+    else:
+        per_value = table.groupBy(c(unique).alias("_value")).agg(F.count("*").alias("_n"), *failed)
+        counts = per_value.agg(
+            *[F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(tests))],
+            F.count_if(c("_value").isNotNull() & (c("_n") > 1)).alias(f"t{len(tests)}"),
+        )
+        tests = [*tests, (unique, "unique", None)]
     rows = F.array(
         *[
             F.struct(
@@ -136,7 +149,8 @@ def dq_table(table: DataFrame, tests: TableTests) -> DataFrame:
         (name, "accepted_values", ~c(name).isin(*values))
         for name, values in tests.accepted.items()
     ]
-    parts = [_row_tests(table, row_tests)] + [dq_unique(table, name) for name in tests.unique]
+    first, others = tests.unique[:1], tests.unique[1:]
+    parts = [_row_tests(table, row_tests, *first)] + [dq_unique(table, name) for name in others]
     return reduce(DataFrame.unionByName, parts).select(
         F.lit(tests.layer).alias("layer"),
         F.lit(tests.table).alias("table_name"),

@@ -12,8 +12,10 @@ from shopvitals.sources.fixture_sql import VIEWS
 c = F.col
 
 
-def kafka_options(servers: str, starting: str = "earliest") -> dict[str, str]:
+def kafka_options(servers: str, starting: str = "earliest", per_batch: int = 1_000_000) -> dict[str, str]:
+    """Options of the topic source; a backlog comes in batches of ``per_batch`` messages at most."""
     return {
+        "maxOffsetsPerTrigger": str(per_batch),
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(kind.topic for kind in EVENT_KINDS.values()),
         "startingOffsets": starting,
@@ -35,14 +37,10 @@ def from_kafka(records: DataFrame) -> DataFrame:
     )
 
 
-def read_topics(
-    spark: SparkSession, servers: str, max_offsets_per_trigger: int | None = None
-) -> DataFrame:
+def read_topics(spark: SparkSession, servers: str, per_batch: int = 1_000_000) -> DataFrame:
     """Stream of all topics from the earliest offset; needs the Kafka connector jar."""
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers))
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return from_kafka(reader.load())
+    options = kafka_options(servers, per_batch=per_batch)
+    return from_kafka(spark.readStream.format("kafka").options(**options).load())
 
 
 # Table behind each topic in the fixture, and the field a repeated message changes.

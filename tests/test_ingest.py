@@ -118,6 +118,7 @@ def test_kafka_rows_keep_a_total_order(rows):
     offsets = [r["offset"] for r in from_kafka(records.withColumn("value", F.encode("value", "utf-8"))).collect()]
     assert len(set(offsets)) == 2
     assert kafka_options("host:9092")["startingOffsets"] == "earliest"
+    assert kafka_options("host:9092", per_batch=500)["maxOffsetsPerTrigger"] == "500"
     assert kafka_options("host:9092")["subscribe"].count("_topic") == 5
 
 
