@@ -70,25 +70,22 @@ EVENT_KINDS = {
 }
 
 
-def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
-    """Messages of one topic as table columns, plus ``problem`` for rows that cannot load.
-
-    ``problem`` names the first thing wrong: text that is not exactly one JSON object (nothing may
-    follow it), an absent required field, a missing key, or a value of the wrong type. Good rows carry NULL.
-    """
-    as_text = ", ".join(f"{name} string" for name in kind.fields)
+def parse(messages: DataFrame) -> DataFrame:
+    """Messages of any topic with the fields of their JSON as text; each is parsed once."""
+    names = sorted({name for kind in EVENT_KINDS.values() for name in kind.fields})
+    as_text = ", ".join(f"{name} string" for name in names)
     event = F.from_json(
         c("_text"),
         f"{as_text}, _broken string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
     )
-    parsed = (
-        messages.where(c("topic") == kind.topic)
-        .withColumn("_text", c("value").cast("string"))
-        .select("*", once(
-            _event=event, _keys=F.json_object_keys("_text"), _whole=parse_whole_json(c("_text")).isNotNull()
-        ))
+    return messages.withColumn("_text", c("value").cast("string")).select(
+        "*", once(_event=event, _keys=F.json_object_keys("_text"), _whole=parse_whole_json(c("_text")).isNotNull())
     )
+
+
+def typed_fields(kind: EventKind) -> tuple[dict[str, Column], Column]:
+    """Of a parsed message: the columns of the table, and what is wrong with it (NULL if nothing)."""
     typed: dict[str, Column] = {name: c(f"_event.{name}") for name in kind.fields}
     bad_type = F.lit(False)
     for name, sql_type in kind.numbers:
@@ -108,7 +105,17 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
         .when(c(f"_event.{kind.key}").isNull(), F.lit(f"{kind.key} is null"))
         .when(bad_type, "value of the wrong type")
     )
-    return parsed.select(
+    return typed, problem
+
+
+def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
+    """Messages of one topic as table columns, plus ``problem`` for rows that cannot load.
+
+    ``problem`` names the first thing wrong: text that is not exactly one JSON object (nothing may
+    follow it), an absent required field, a missing key, or a value of the wrong type. Good rows carry NULL.
+    """
+    typed, problem = typed_fields(kind)
+    return parse(messages.where(c("topic") == kind.topic)).select(
         *[typed[name].alias(name) for name in kind.fields],
         c("received_at").alias("created_at"),
         "topic",
@@ -118,6 +125,16 @@ def decode(messages: DataFrame, kind: EventKind) -> DataFrame:
     )
 
 
+def with_row_key(messages: DataFrame) -> DataFrame:
+    """Messages of all topics with ``event_key``, the key of the row they become; NULL if they cannot load."""
+    key = F.lit(None).cast("string")
+    for kind in EVENT_KINDS.values():
+        loads = typed_fields(kind)[1].isNull()
+        key = F.when(c("topic") == kind.topic, F.when(loads, c(f"_event.{kind.key}"))).otherwise(key)
+    known = messages.where(c("topic").isin(*[kind.topic for kind in EVENT_KINDS.values()]))
+    return parse(known).select("topic", "offset", "received_at", c("_text").alias("value"), key.alias("event_key"))
+
+
 def loadable(decoded: DataFrame, kind: EventKind, answers: DataFrame | None = None) -> DataFrame:
     """Decoded messages that are rows of the table, with ``offset`` to order them by.
 

@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopvitals import schemas
-from shopvitals.operators.ingest import (
-    EVENT_KINDS, EventKind, broken, decode, dedup_first_write, loadable, log_rows,
-)
-from shopvitals.session import side_by_side
+from shopvitals.operators.ingest import EVENT_KINDS, EventKind, decode, loadable, quarantine, with_row_key
+from shopvitals.session import pin_streaming, side_by_side
 from shopvitals.streaming.sinks import create_table, first_number, read_table, write_batch
 
 c = F.col
@@ -28,46 +26,90 @@ def stream_ingest(
 
     Complaints are stored with the model's labels where ``answers`` has them at the time of the batch.
 
-    Delivery is at least once. A batch is appended under its own folder, so writing it again
-    replaces it, and a key that any earlier batch holds is left out. The earlier keys are read
-    as a single column and cut to the batch's keys before they meet it.
+    The first message of every key is keyed state, so a batch costs what its own messages cost and
+    reads no stored table; state grows by one message per key. With a new checkpoint the keys
+    stored so far are put into the state once, with the first batch. A message that cannot load
+    is told by its offset. Delivery is at least once: a batch is appended under its own folder, so
+    writing it again replaces it.
     """
-    spark = messages.sparkSession
+    spark = pin_streaming(messages.sparkSession)
     for kind in EVENT_KINDS.values():
         create_table(spark, f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table])
     create_table(spark, f"{root}/pipeline_logs", schemas.PIPELINE_LOGS)
     tables = [*(kind.table for kind in EVENT_KINDS.values()), "pipeline_logs"]
-    first = first_number(spark, checkpoint, *(f"{root}/{name}" for name in tables))
+    seed = f"{checkpoint.rstrip('/')}/stored_keys"
+    first = first_number(
+        spark, checkpoint, *(f"{root}/{name}" for name in tables),
+        prepare=lambda: stored_keys(messages, root).write.mode("overwrite").parquet(seed),
+    )
 
     def load(batch: DataFrame, batch_id: int) -> None:
         number = first + batch_id
-        kept = [batch.persist()]  # read once per topic
-
-        def load_topic(kind: EventKind) -> DataFrame:
-            # Read for its rows, its keys and its broken messages.
-            decoded = decode(batch, kind).persist()
-            kept.append(decoded)
-            path, schema = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]
-            held = read_table(batch.sparkSession, path, schema, number)
-            new = dedup_first_write(loadable(decoded, kind, answers), kind.key, existing=held)
-            write_batch(new.select(*schema.names), path, number)
-            return log_rows(broken(decoded))
+        new = batch.select("topic", "event_key", "first.*").persist()
+
+        def load_topic(kind: EventKind) -> None:
+            rows = loadable(decode(new.where(c("event_key").isNotNull()), kind), kind, answers)
+            path, names = f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table].names
+            write_batch(rows.select(*names), path, number)
 
         try:
-            logs = side_by_side(load_topic, EVENT_KINDS.values())
-            write_batch(reduce(DataFrame.unionByName, logs), f"{root}/pipeline_logs", number)
+            # One job fills the cache before the topics are written side by side.
+            counted = new.groupBy("topic", c("event_key").isNotNull().alias("loads")).count().collect()
+            loading = {row["topic"] for row in counted if row["loads"]}
+            side_by_side(load_topic, [kind for kind in EVENT_KINDS.values() if kind.topic in loading])
+            if not all(row["loads"] for row in counted):
+                bad = quarantine(new.where(c("event_key").isNull()))
+                write_batch(bad, f"{root}/pipeline_logs", number)
         finally:
-            for frame in kept:
-                frame.unpersist()
+            new.unpersist()
 
+    known = spark.readStream.schema(stored_keys(messages, root).schema).parquet(seed)
     return (
-        messages.writeStream.foreachBatch(load)
+        first_messages(messages, known).writeStream.foreachBatch(load)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def stored_keys(messages: DataFrame, root: str) -> DataFrame:
+    """(topic, event_key) of all rows that the raw tables hold."""
+    spark = messages.sparkSession
+    return reduce(
+        DataFrame.unionByName,
+        [
+            read_table(spark, f"{root}/{kind.table}", schemas.RAW_TABLES[kind.table]).select(
+                F.lit(kind.topic).alias("topic"), c(kind.key).alias("event_key")
+            )
+            for kind in EVENT_KINDS.values()
+        ],
+    )
+
+
+def first_messages(messages: DataFrame, known: DataFrame) -> DataFrame:
+    """Per batch the first message of each key that neither ``known`` nor an earlier batch has.
+
+    State is the minimum over (batch time, arrival, offset), combined before the shuffle, so a hot
+    key leaves each input partition once. A key is new when its first message is of the batch
+    that touched it last; the time of a batch is kept in its offsets, so a retry sees the same one.
+    """
+    never = F.timestamp_seconds(F.lit(0))
+    order = F.struct("batch_at", "received_at", "offset", "value")
+    arrived = with_row_key(messages).withColumn("batch_at", F.current_timestamp())
+    absent = {name: arrived.schema[name].dataType for name in ("received_at", "offset", "value")}
+    held = known.withColumns(
+        {"batch_at": never, **{name: F.lit(None).cast(kind) for name, kind in absent.items()}}
+    )
+    touched = (
+        arrived.unionByName(held)
+        .withColumn("unkeyed_offset", F.when(c("event_key").isNull(), c("offset")))
+        .groupBy("topic", "event_key", "unkeyed_offset")
+        .agg(F.min(order).alias("first"), F.max("batch_at").alias("last"))
+    )
+    return touched.where((c("first.batch_at") == c("last")) & (c("last") > never))
+
+
 def stream_dedup(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Messages without those repeated within ``delay``, with state bounded by the delay.
 

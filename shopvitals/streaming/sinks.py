@@ -6,6 +6,8 @@ again with a new checkpoint, numbers go on after the last one stored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
@@ -20,11 +22,14 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType, by_day: b
     spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
 
 
-def first_number(spark: SparkSession, checkpoint: str, *paths: str) -> int:
+def first_number(
+    spark: SparkSession, checkpoint: str, *paths: str, prepare: Callable[[], None] | None = None
+) -> int:
     """The number of a stream's batch 0: after all that ``paths`` hold when its checkpoint is new.
 
     Kept inside the checkpoint, so a restart counts on from the same number and a retried batch
-    replaces itself. One stream at a time writes to a table.
+    replaces itself. One stream at a time writes to a table. ``prepare`` runs for a new checkpoint
+    only, again if it did not end before.
     """
     kept, schema = f"{checkpoint.rstrip('/')}/first_batch", f"{BATCH} long"
     try:
@@ -35,6 +40,8 @@ def first_number(spark: SparkSession, checkpoint: str, *paths: str) -> int:
         pass  # a new checkpoint
     stored = [spark.read.parquet(path).agg(F.max(BATCH).cast("bigint")).first()[0] for path in paths]
     number = max([-1, *(n for n in stored if n is not None)]) + 1
+    if prepare is not None:
+        prepare()
     spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("overwrite").parquet(kept)
     return number
 

@@ -178,3 +178,33 @@ def test_dedup_keeps_every_message_without_a_key(rows, spark, tmp_path):
     stream = spark.readStream.schema(MESSAGES).parquet(f"{tmp_path}/in")
     windows.append_parquet(ingest.stream_dedup(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 51
+
+
+def test_a_batch_reads_no_stored_rows(rows, spark, tmp_path):
+    """Keys are known from state: stored files that cannot be read any more do no harm."""
+    source, root, checkpoint = f"{tmp_path}/in", f"{tmp_path}/tables", f"{tmp_path}/checkpoint"
+
+    def run(i, *values):
+        rows([("orders_topic", v, 10 * i + j, AT) for j, v in enumerate(values)], MESSAGES).coalesce(1).write.mode(
+            "append").parquet(source)
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        ingest.stream_ingest(stream, root, checkpoint).awaitTermination()
+
+    run(0, order(), "{")
+    for path in Path(root).glob("raw_orders/batch_id=0/part-*.parquet"):
+        path.write_bytes(b"damaged")
+    run(1, order(city="again"), order(order_id="o2"), order(order_id="o2", city="later"))
+    run(2, order(order_id="o2"))
+    stored = spark.read.schema(schemas.RAW_ORDERS).parquet(f"{root}/raw_orders/batch_id=1")
+    assert [(r["order_id"], r["city"]) for r in stored.collect()] == [("o2", None)]
+    assert not Path(f"{root}/raw_orders/batch_id=2").exists()  # nothing new, nothing written
+
+
+def test_a_broken_message_does_not_hold_its_key(rows, spark, tmp_path):
+    rows([("orders_topic", order(order_amount="n/a"), 0, AT), ("orders_topic", order(city="good"), 1, AT),
+          ("unknown_topic", order(), 2, AT), ("payments_topic", None, 3, AT)], MESSAGES).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(MESSAGES).parquet(f"{tmp_path}/in")
+    ingest.stream_ingest(stream, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    (kept,) = read_table(spark, f"{tmp_path}/t/raw_orders", schemas.RAW_ORDERS).collect()
+    assert kept["city"] == "good"
+    assert read_table(spark, f"{tmp_path}/t/pipeline_logs", schemas.PIPELINE_LOGS).count() == 2
