@@ -18,16 +18,58 @@ def check(name: str, sql: str) -> None:
 
 # ------------------------------------------------------------------------ ingest
 
+# Fields of the events in the order they are sent; the key comes first.
+_SENT = {
+    "orders": "order_id:text customer_id:text city:text order_ts:time order_amount:number order_status:text",
+    "payments": "payment_id:text order_id:text payment_ts:time payment_method:text payment_status:text "
+                "amount:number failure_reason:text",
+    "deliveries": "delivery_id:text order_id:text city:text delivery_partner:text promised_minutes:number "
+                  "actual_minutes:number delivery_status:text",
+    "refunds": "refund_id:text order_id:text refund_ts:time refund_amount:number refund_reason:text",
+    "complaints": "complaint_id:text order_id:text complaint_ts:time complaint_text:text",
+}
+_LACKING = {
+    "orders": "city", "payments": "payment_status", "deliveries": "delivery_partner",
+    "refunds": "refund_reason", "complaints": "complaint_text",
+}
+
+
+def _wire(topic: str, lacking: str | None = None) -> str:
+    """The JSON text of a message whose key has been made a new one."""
+    parts = []
+    for field, kind in (entry.split(":") for entry in _SENT[topic].split()):
+        if field == lacking:
+            continue
+        value = {
+            "text": f"'\"' || r.{field} || '\"'",
+            "number": f"CAST(r.{field} AS VARCHAR)",
+            "time": f"'\"' || strftime(r.{field}, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '\"'",
+        }[kind]
+        if field == _KEY_OF[topic]:
+            value = f"'\"BAD-' || r.{field} || '\"'"
+        parts.append(f"'\"{field}\":' || coalesce({value}, 'null')")
+    return "('{' || " + " || ',' || ".join(parts) + " || '}')"
+
+
 _problem = (
-    "CASE shift WHEN 2 THEN 'malformed JSON' WHEN 3 THEN 'missing payment_status' END"
-)
+    "CASE WHEN shift IN (2, 4, 5) THEN 'malformed JSON' WHEN shift = 3 THEN concat('missing ', CASE topic "
+    + " ".join(f"WHEN '{t}_topic' THEN '{field}'" for t, field in _LACKING.items())
+    + " END) END"
+)
+_logged = " UNION ALL ".join(
+    f"""SELECT concat('{t}_topic: ', {_problem}, ': ',
+                      CASE shift WHEN 2 THEN left({_wire(t)}, 40) WHEN 3 THEN {_wire(t, _LACKING[t])}
+                                 WHEN 4 THEN {_wire(t)} || ' as sent' ELSE {_wire(t)} || {_wire(t)} END) AS message,
+               m.received_at
+        FROM messages m JOIN b_{'complaint_events' if t == 'complaints' else 'raw_' + t} r
+             ON r.{_KEY_OF[t]} = m.event_key AND m.topic = '{t}_topic'
+        WHERE m.shift >= 2"""
+    for t in _RAW
+)
+_seen_key = "CASE WHEN shift = 2 THEN NULL WHEN shift > 2 THEN concat('BAD-', event_key) ELSE event_key END"
 check(
     "decode_messages",
-    f"""SELECT topic, "offset",
-               CASE WHEN shift = 2 THEN NULL WHEN shift = 3 THEN concat('BAD-', event_key)
-                    ELSE event_key END AS event_key,
-               {_problem} AS problem
-        FROM messages""",
+    f"""SELECT topic, "offset", {_seen_key} AS event_key, {_problem} AS problem FROM messages""",
 )
 check(
     "ingest_route",
@@ -51,26 +93,17 @@ check("ingest_refunds", "SELECT * REPLACE (CAST(refund_amount AS DOUBLE) AS refu
 check("ingest_complaints", "SELECT * FROM b_raw_complaints")
 check(
     "dedup_first_write",
-    """SELECT order_id, customer_id, order_status, created_at FROM b_raw_orders
-       WHERE CAST(substr(customer_id, 6) AS BIGINT) % 3 <> 0""",
-)
-_broken_text = (
-    "concat('{\"payment_id\":\"BAD-', p.payment_id, '\",\"order_id\":\"', p.order_id, "
-    "'\",\"payment_ts\":\"', strftime(p.payment_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), "
-    "'\",\"payment_method\":\"', p.payment_method, '\"', {status}, "
-    "',\"amount\":', p.amount, ',\"failure_reason\":', "
-    "CASE WHEN p.failure_reason IS NULL THEN 'null' ELSE concat('\"', p.failure_reason, '\"') END, '}}')"
+    " UNION ALL ".join(
+        f"""SELECT 'raw_{t}' AS table_name, {_KEY_OF[t]} AS event_key,
+                   {'customer_id' if t == 'orders' else 'order_id'} AS other_id, created_at
+            FROM b_{'complaint_events' if t == 'complaints' else 'raw_' + t}
+            WHERE CAST(substr({_KEY_OF[t]}, 5) AS BIGINT) % 3 <> 0"""
+        for t in _RAW
+    ),
 )
-_full = _broken_text.replace("{status}", "',\"payment_status\":\"', p.payment_status, '\"'").replace("}}", "}")
-_without = _broken_text.replace("{status}", "''").replace("}}", "}")
 check(
     "quarantine",
-    f"""SELECT 'ingest' AS component, 'error' AS status,
-               concat('payments_topic: ', {_problem}, ': ',
-                      CASE WHEN shift = 2 THEN left({_full}, 40) ELSE {_without} END) AS message,
-               m.received_at AS created_at
-        FROM messages m JOIN b_raw_payments p ON p.payment_id = m.event_key
-        WHERE m.shift >= 2""",
+    f"""SELECT 'ingest' AS component, 'error' AS status, message, received_at AS created_at FROM ({_logged})""",
 )
 
 # ------------------------------------------------------------------------ staging and marts
@@ -580,17 +613,12 @@ check(
         f"SELECT 'raw_{t}' AS table_name, {_KEY_OF[t]} AS event_key, order_id, created_at FROM b_raw_{t}"
         for t in _RAW
     )
-    + f""" UNION ALL
-    SELECT 'pipeline_logs', concat('payments_topic: ', {_problem}, ': ',
-                      CASE WHEN shift = 2 THEN left({_full}, 40) ELSE {_without} END),
-           'error', m.received_at
-    FROM messages m JOIN b_raw_payments p ON p.payment_id = m.event_key WHERE m.shift >= 2""",
+    + f" UNION ALL SELECT 'pipeline_logs', message, 'error', received_at FROM ({_logged})",
 )
 check(
     "stream_dedup",
-    """SELECT DISTINCT topic, CASE WHEN shift = 2 THEN NULL WHEN shift = 3 THEN concat('BAD-', event_key)
-              ELSE event_key END AS event_key, CASE WHEN shift = 2 THEN "offset" END AS unkeyed_offset
-       FROM messages""",
+    f"""SELECT DISTINCT topic, {_seen_key} AS event_key, CASE WHEN shift = 2 THEN "offset" END AS unkeyed_offset
+        FROM messages""",
 )
 _activity = " UNION ALL ".join(
     f"SELECT '{d}' AS domain, ts, hit FROM {d}_seen" for d in METRIC_OF

@@ -100,14 +100,18 @@ def ingest_complaints(inputs):
 
 @query
 def dedup_first_write(inputs):
-    """First write per order, less the orders a target already holds (every third user's)."""
-    kind = ingest.EVENT_KINDS["orders"]
-    rows = ingest.decode(inputs.messages, kind).where(c("problem").isNull())
-    held = inputs.view("b_raw_orders").where(
-        F.substring("customer_id", 6, 20).cast("bigint") % 3 == 0
-    )
-    fresh = ingest.dedup_first_write(rows, kind.key, existing=held)
-    return fresh.select("order_id", "customer_id", "order_status", "created_at")
+    """First write per key of every raw table, less the keys a target already holds (every third event's)."""
+    parts = None
+    for name, kind in ingest.EVENT_KINDS.items():
+        rows = ingest.decode(inputs.messages, kind).where(c("problem").isNull())
+        stored = inputs.view("b_complaint_events" if name == "complaints" else f"b_{kind.table}")
+        held = stored.where(F.substring(kind.key, 5, 20).cast("bigint") % 3 == 0)
+        fresh = ingest.dedup_first_write(rows, kind.key, existing=held).select(
+            F.lit(kind.table).alias("table_name"), c(kind.key).alias("event_key"),
+            c("customer_id" if name == "orders" else "order_id").alias("other_id"), "created_at",
+        )
+        parts = fresh if parts is None else parts.unionByName(fresh)
+    return parts
 
 
 @query

@@ -620,11 +620,11 @@ for _topic, (_view, _key) in _MESSAGE_KEYS.items():
     _ts = _EVENT_TIME.get(_topic, "CAST(NULL AS TIMESTAMP)")
     _base = f"SELECT {_number.format(key=_key)} AS num, {_key} AS k, {_ts} AS event_ts, created_at FROM {_view}"
     _sent.append(
-        f"""SELECT '{_topic}_topic' AS topic, k AS event_key, num * 4 + shift AS "offset", shift,
+        f"""SELECT '{_topic}_topic' AS topic, k AS event_key, num * 8 + shift AS "offset", shift,
                    event_ts, created_at + INTERVAL 1 MINUTE * least(shift, 1) AS received_at
-            FROM ({_base}) CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS shift)
-            WHERE shift = 0 OR (shift = 1 AND num % 10 = 0)"""
-        + (" OR (shift = 2 AND num % 97 = 0) OR (shift = 3 AND num % 89 = 0)" if _topic == "payments" else "")
+            FROM ({_base}) CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4, 5]) AS shift)
+            WHERE shift = 0 OR (shift = 1 AND num % 10 = 0) OR (shift = 2 AND num % 97 = 0)
+               OR (shift = 3 AND num % 89 = 0) OR (shift = 4 AND num % 83 = 0) OR (shift = 5 AND num % 79 = 0)"""
     )
 PARTS["messages"] = " UNION ALL ".join(_sent)
 

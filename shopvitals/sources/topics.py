@@ -43,26 +43,26 @@ def read_topics(spark: SparkSession, servers: str, per_batch: int = 1_000_000) -
     return from_kafka(spark.readStream.format("kafka").options(**options).load())
 
 
-# Table behind each topic in the fixture, and the field a repeated message changes.
+# Table behind each topic in the fixture, the field a repeated message changes, and the one it may lack.
 _FIXTURE = {
-    "orders": ("b_raw_orders", "customer_id"),
-    "payments": ("b_raw_payments", "order_id"),
-    "deliveries": ("b_raw_deliveries", "order_id"),
-    "refunds": ("b_raw_refunds", "order_id"),
-    "complaints": ("b_complaint_events", "order_id"),
+    "orders": ("b_raw_orders", "customer_id", "city"),
+    "payments": ("b_raw_payments", "order_id", "payment_status"),
+    "deliveries": ("b_raw_deliveries", "order_id", "delivery_partner"),
+    "refunds": ("b_raw_refunds", "order_id", "refund_reason"),
+    "complaints": ("b_complaint_events", "order_id", "complaint_text"),
 }
 
 
 def fixture_messages(events: DataFrame) -> DataFrame:
     """Wire messages of the event-grain fixture, batch or streaming.
 
-    Besides one message per row there are repeats of every tenth event that arrive a minute
-    later with another id in them, payment messages cut off in the middle, and payment
-    messages without their status.
+    Besides one message per row each topic has repeats of every tenth event that arrive a minute
+    later with another id in them, and messages that cannot load: cut off in the middle, without
+    a required field, with text after the value, and with two values.
     """
     spark = events.sparkSession
     parts = []
-    for name, (view, changed) in _FIXTURE.items():
+    for name, (view, changed, lacking) in _FIXTURE.items():
         kind = EVENT_KINDS[name]
         rows = spark.sql(VIEWS[view], events=events)
         number = F.regexp_extract(kind.key, "([0-9]+)$", 1).cast("bigint")
@@ -87,13 +87,14 @@ def fixture_messages(events: DataFrame) -> DataFrame:
                 F.struct(F.lit(1), text({**payload, changed: F.lit("REPEAT")})),
             ),
         ]
-        if name == "payments":
-            fresh = {**payload, kind.key: F.concat(F.lit("BAD-"), kind.key)}
-            without_status = {k: v for k, v in fresh.items() if k != "payment_status"}
-            variants += [
-                F.when(number % 97 == 0, F.struct(F.lit(2), F.left(text(fresh), F.lit(40)))),
-                F.when(number % 89 == 0, F.struct(F.lit(3), text(without_status))),
-            ]
+        fresh = {**payload, kind.key: F.concat(F.lit("BAD-"), kind.key)}
+        whole, partial = text(fresh), text({k: v for k, v in fresh.items() if k != lacking})
+        variants += [
+            F.when(number % 97 == 0, F.struct(F.lit(2), F.left(whole, F.lit(40)))),
+            F.when(number % 89 == 0, F.struct(F.lit(3), partial)),
+            F.when(number % 83 == 0, F.struct(F.lit(4), F.concat(whole, F.lit(" as sent")))),
+            F.when(number % 79 == 0, F.struct(F.lit(5), F.concat(whole, whole))),
+        ]
         variants = [v.cast("struct<shift:int,value:string>") for v in variants]
         parts.append(
             rows.select(
@@ -104,7 +105,7 @@ def fixture_messages(events: DataFrame) -> DataFrame:
             ).select(
                 "topic",
                 "value",
-                (c("_number") * 4 + c("shift")).alias("offset"),
+                (c("_number") * 8 + c("shift")).alias("offset"),
                 F.when(c("shift") == 0, c("created_at"))
                 .otherwise(c("created_at") + late)
                 .alias("received_at"),
