@@ -37,6 +37,11 @@ REFINED_BITS, CUT_CELLS = 4, 8
 #: Odd multipliers that make three more hash values of one, for the 192 bits of the sketch.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 LINK = "a long, b long"
+#: Near copies share all minima of one of so many bands of so many; a pair at 0.8 shares none with (1 - 0.8 ** 4) ** 32 = 5e-8.
+BANDS, BAND = 32, 4
+FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * BAND, dtype=np.uint64) | np.uint64(1)
+#: Comparisons of each member with one of its cell before the rest is compared pair by pair.
+ROUNDS = 2
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -389,19 +394,117 @@ def classes(documents: DataFrame, words: int = 3, max_bits: int = 2) -> DataFram
     )
 
 
-def without_near_copies(documents: DataFrame, words: int = 5, max_bits: int = 10, max_sketch: int = 44) -> DataFrame:
+# ------------------------------------------------------------------ near copies
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, in order."""
+    return np.unique(shingle_hashes(text, words))
+
+
+def set_node(hashes: np.ndarray) -> int:
+    """One number for a shingle set; texts of equal sets are one node."""
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A key of each band of ``BAND`` minima; two sets have one in common with probability J ** BAND."""
+    if not len(hashes):
+        return []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(hashes), 1024):
+        least = np.minimum(least, (hashes[i : i + 1024, None] * FACTORS[None]).min(axis=0))
+    keys = [xxhash.xxh64_intdigest(least[BAND * i : BAND * (i + 1)].tobytes(), i) for i in range(BANDS)]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+
+def with_bands(documents: DataFrame, words: int) -> DataFrame:
+    """doc_id, node and bands of every whole text; a text without words has no band."""
+    small_batches(documents.sparkSession)
+
+    @F.pandas_udf("node long, bands array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(text, words) for text in batch]
+            yield pd.DataFrame({"node": [set_node(x) for x in sets], "bands": [band_keys(x) for x in sets]})
+
+    return documents.select("doc_id", run(whole_text(F.col("text"))).alias("found")).select("doc_id", "found.*")
+
+
+def with_sets(documents: DataFrame, words: int) -> DataFrame:
+    """node and shingles of every whole text."""
+    small_batches(documents.sparkSession)
+
+    @F.pandas_udf("node long, shingles array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(text, words) for text in batch]
+            yield pd.DataFrame({"node": [set_node(x) for x in sets], "shingles": [x.view(np.int64).tolist() for x in sets]})
+
+    return documents.select(run(whole_text(F.col("text"))).alias("found")).select("found.*")
+
+
+def alike(pairs: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a similarity of ``tenths`` / 10 or more, in whole numbers."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
+    both = F.size(F.array_intersect("_a", "_b"))
+    every = F.size("_a") + F.size("_b") - both
+    return pairs.join(left, "a").join(right, "b").where(both * 10 >= every * tenths).select("a", "b")
+
+
+def set_links(cells: DataFrame, sets: DataFrame, tenths: int, rounds: int = ROUNDS) -> DataFrame:
+    """Links (a, b) that connect what all pairs of ``tenths`` / 10 or more within the cells (key, node) do.
+
+    Some rounds compare each member with one of its cell, so a group of near copies becomes one
+    component by as many pairs as it has members. What its cells still hold of other components is
+    then compared pair by pair; pairs of one component need no comparison.
+    """
+    found, named = None, cells.withColumn("component", F.col("node"))
+    for i in range(rounds + 1):
+        ends = named.groupBy("key").agg(
+            F.min("component").alias("_low"), F.max("component").alias("_high"),
+            F.min_by(F.struct("node", "component"), F.struct(F.xxhash64("node", F.lit(i)), "node")).alias("_centre"),
+        )
+        open_cells = ends.where(F.col("_low") != F.col("_high")).select(
+            "key", F.col("_centre.node").alias("_centre"), F.col("_centre.component").alias("_component")
+        )
+        if i < rounds:
+            met = named.join(open_cells, "key").where(F.col("component") != F.col("_component"))
+            a, b = F.col("node"), F.col("_centre")
+        else:
+            members = named.join(open_cells.select("key"), "key", "left_semi")
+            others = members.select("key", F.col("node").alias("_other"), F.col("component").alias("_others"))
+            met = members.join(others, "key").where((F.col("node") < F.col("_other")) & (F.col("component") != F.col("_others")))
+            a, b = F.col("node"), F.col("_other")
+        pairs = met.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+        new = materialize(alike(pairs, sets, tenths), "links")
+        found = new if found is None else found.unionByName(new)
+        if i < rounds:
+            linked = components(found).withColumnRenamed("component", "_to")
+            named = cells.join(linked, "node", "left").select("key", "node", F.coalesce("_to", "node").alias("component"))
+    return found
+
+
+def without_near_copies(documents: DataFrame, words: int = 5, tenths: int = 8) -> DataFrame:
     """One document of each near-duplicate group, the one of the least doc_id, with its columns.
 
-    For texts whose shingles are alike to 0.8 or more: such texts differ in some 10 of 64 bits, or 39
-    of 256; candidates come from the 64 bits by the pigeonhole, all 256 decide. Rows without doc_id
-    stay, as nothing names them; of rows that repeat id and text one stays.
+    Linked are texts whose sets of word shingles have a similarity (common / all) of ``tenths`` / 10
+    or more. Candidates share all minima of a band; the sets themselves decide, so no other texts
+    are linked. A pair at 0.8 shares none of the 32 bands of four with probability 5e-8. Rows without
+    doc_id stay, as nothing names them; of rows that repeat id and text one stays.
     """
-    hashed = with_fingerprint(documents.where(F.col("doc_id").isNotNull()), words, sketch=True)
-    node = F.xxhash64("fp", "s1", "s2", "s3")
-    fps = hashed.groupBy("fp", "s1", "s2", "s3").agg(F.min("doc_id").alias("least")).withColumn("node", node)
-    fps = materialize(fps, "fingerprints")
-    linked = components(links(fps, max_bits, max_sketch))
-    keepers = fps.join(linked, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(
+    named = documents.where(F.col("doc_id").isNotNull())
+    found = materialize(with_bands(named, words), "bands")
+    nodes = materialize(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "nodes")
+    rows = nodes.select(F.explode("bands").alias("key"), "node")
+    shared = rows.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low != _high")
+    cells = materialize(rows.join(shared.select("key"), "key", "left_semi"), "cells")
+    needed = nodes.join(cells.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("doc_id"))
+    texts = named.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = with_sets(texts, words).join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    linked = components(set_links(cells, materialize(sets, "sets"), tenths))
+    keepers = nodes.join(linked, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(
         F.min("least").alias("doc_id")
     )
     kept = documents.join(keepers.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
