@@ -13,6 +13,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shopvitals.llm import byte_bpe, html_main, line_dedup, merkle, mixing, pii, simhash, toxicity, vector_join, warc
 from shopvitals.llm.common import attach, components, forest
 from shopvitals.llm.queries import RANKS, table
@@ -213,6 +214,18 @@ def test_lines_above_the_ratio_go_on_their_host_only(rows, limit):
     assert len(got) == len(docs)
 
 
+def test_the_pipeline_drops_a_line_on_every_source_alike(spark, rows):
+    docs = []
+    for source, carriers in (("a", 6), ("b", 10), ("c", 12)):  # 6, 10 and 12 of 100 pages
+        for i in range(100):
+            lines = [f"own {source} {i}"] + ["MENU"] * (i < carriers) + ["chance"] * (i >= 96)
+            docs.append((len(docs), "\n".join(lines), "en", source, 1))
+    frame = rows(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_boilerplate(spark, frame, "").collect()
+    assert not any("MENU" in r.text for r in kept)
+    assert sum("chance" in r.text for r in kept) == 12
+
+
 # ---------------------------------------------------------------------------- pii
 
 
