@@ -499,6 +499,13 @@ check(
         for k in columns.split()
     ),
 )
+check(
+    "dq_not_null_labels",
+    " UNION ALL ".join(
+        f"SELECT 'raw_complaints' AS table_name, '{k}' AS column_name, 'not_null' AS test, count(*) FILTER ({k} IS NULL) AS failures FROM a_raw_complaints"
+        for k in ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
+    ),
+)
 check(
     "dq_accepted_values",
     " UNION ALL ".join(

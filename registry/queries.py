@@ -758,7 +758,7 @@ def dq_unique(inputs):
 
 @query
 def dq_not_null(inputs):
-    """Every column of every raw table."""
+    """Every column of every raw table but the labels of complaints."""
     parts = None
     for name, table in inputs.raw("a").items():
         columns = [column for column in table.columns if column not in LABELS]
@@ -767,6 +767,13 @@ def dq_not_null(inputs):
     return parts
 
 
+@query
+def dq_not_null_labels(inputs):
+    """The label columns of the complaints, which ``dq_not_null`` leaves out."""
+    labelled = inputs.raw("a", "raw_complaints")["raw_complaints"]
+    return quality.dq_not_null(labelled, LABELS).withColumn("table_name", F.lit("raw_complaints"))
+
+
 @query
 def dq_accepted_values(inputs):
     """Statuses, methods, partners, reasons and labels of the raw tables."""

@@ -41,6 +41,13 @@ def test_every_query_has_its_check():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
+def test_all_columns_of_the_raw_tables_are_tested_for_null(spark):
+    inputs = Inputs(spark, TESTDATA)
+    tested = [queries()[name](spark, TESTDATA) for name in queries() if name.startswith("dq_not_null")]
+    got = sorted((r.table_name, r.column_name) for frame in tested for r in frame.collect())
+    assert got == sorted((name, column) for name, table in inputs.raw("a").items() for column in table.columns)
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
 
