@@ -17,10 +17,17 @@ def whole_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Keep Arrow batches of whole texts small: texts may be very long."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 32 << 20) -> None:
+    """Keep Arrow batches of whole texts small: texts may be very long.
+
+    A batch ends after so many rows or bytes, whichever comes first. Plans read the options when they run,
+    so they stay set for the session; smaller values that a user chose are kept.
+    """
+    for option, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{option}"
+        given = int(spark.conf.get(name).removesuffix("b"))
+        if given <= 0 or given > most:
+            spark.conf.set(name, str(most))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

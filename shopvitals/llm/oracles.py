@@ -100,9 +100,81 @@ SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = compo
 FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
 
+OP11 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces
+), totals AS (SELECT lang, sum(len(words)) AS n FROM worded GROUP BY lang
+), runs AS (
+    SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+          FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(words) >= k)
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, phrase, a, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM f WHERE k >= 2
+), parted AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.a AS l, y.a AS r, t.n, (1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a) AS score
+    FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:c.cut], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.cut + 1:], ' ')
+    JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+    SELECT DISTINCT p.lang, p.phrase FROM f p JOIN f q ON q.lang = p.lang AND q.k > p.k AND 100 * q.a >= 100 * p.a
+    WHERE p.k >= 2 AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest ANTI JOIN inside USING (lang, phrase) QUALIFY rank <= 2000
+"""
+
+OP12 = r"""
+WITH steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+), worded AS (
+    SELECT * , list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+    FROM (SELECT 'd' AS side, doc_id, text FROM documents UNION ALL SELECT 't', NULL, text FROM benchmark)
+), vocabulary AS (SELECT DISTINCT unnest(words) AS word FROM worded
+), hexed AS (SELECT word, hex(encode(word)) AS h FROM vocabulary
+), hashed AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2),
+        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(step[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM hexed, steps
+), counted AS (
+    SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t
+    FROM (SELECT side, unnest(words) AS word FROM worded) JOIN hashed USING (word) GROUP BY bucket
+), totals AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counted
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counted, totals
+), numbered AS (SELECT row_number() OVER () AS row, doc_id, words FROM worded WHERE side = 'd'
+), summed AS (
+    SELECT row, sum(gain) AS total FROM (SELECT row, unnest(words) AS word FROM numbered)
+    JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row
+), weighed AS (
+    SELECT row, doc_id, len(words) AS n_features, CASE WHEN len(words) = 0 THEN 0 ELSE floor(total / len(words))::BIGINT END AS weight
+    FROM numbered LEFT JOIN summed USING (row)
+), scored AS (
+    SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+        / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed
+), placed AS (
+    SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place,
+        count(*) FILTER (n_features >= 20) OVER () AS enough FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= enough * 10 // 100 THEN place END AS rank FROM placed
+"""
+
 ORACLES: dict[str, str] = {
     "op1_document_fingerprints": OP1,
     "op4_line_dedup": OP4,
     "op8_warc": OP8,
     "op9_embedding_near_dedup": OP9,
+    "op11_collocations": OP11,
+    "op12_importance_resampling": OP12,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopvitals.llm import (
-    byte_bpe, html_main, line_dedup, merkle, mixing, pii, simhash, toxicity, vector_join, warc,
+    byte_bpe, collocations, html_main, importance, line_dedup, merkle, mixing, pii, secret_scan, simhash, toxicity,
+    vector_join, warc,
 )
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -68,10 +69,24 @@ def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark, sf_dir):
+    drawn = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_secret_scan(spark, sf_dir):
+    return secret_scan.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_document_fingerprints, op2_html_extraction, op3_toxicity, op4_line_dedup, op5_pii, op6_simhash_near_dedup,
         op7_mixing, op8_warc, op9_embedding_near_dedup, op10_byte_bpe,
+        op11_collocations, op12_importance_resampling, op13_secret_scan,
     )
 }
