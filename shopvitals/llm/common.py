@@ -81,7 +81,12 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Connected components of links (a, b): one row (node, component), the least node's id.
+    """As ``components_at``, where the caller's result still reads the folder when it returns."""
+    return components_at(links)[0]
+
+
+def components_at(links: DataFrame) -> tuple[DataFrame, str]:
+    """Connected components of links (a, b): one row (node, component), the least node's id; and their folder.
 
     Only nodes with a link to another one come back. Alternating large and small stars: each
     round points every node's neighbours to the least node around it, by a grouped minimum and
@@ -110,6 +115,7 @@ def components(links: DataFrame) -> DataFrame:
         if seen == before:
             break
         before = seen
-    return edges.select(a.alias("node"), b.alias("component")).unionByName(
+    every = edges.select(a.alias("node"), b.alias("component")).unionByName(
         edges.select(b.alias("node"), b.alias("component")).distinct()
     )
+    return every, path

@@ -34,14 +34,9 @@ CELL = 4096
 #: Up to so many bits an oversized cell is refined by its other bits; beyond, it is cut in parts, and
 #: only from so many times as many members.
 REFINED_BITS, CUT_CELLS = 4, 8
-#: Odd multipliers that make three more hash values of one, for the 192 bits of the sketch.
-MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: Odd multipliers that make hash values of cells, and of the cells within a cell.
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 LINK = "a long, b long"
-#: Near copies share all minima of one of so many bands of so many; a pair at 0.8 shares none with (1 - 0.8 ** 4) ** 32 = 5e-8.
-BANDS, BAND = 32, 4
-FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * BAND, dtype=np.uint64) | np.uint64(1)
-#: Comparisons of each member with one of its cell before the rest is compared pair by pair.
-ROUNDS = 2
 
 
 # ------------------------------------------------------------------ fingerprints
@@ -74,27 +69,20 @@ def mixed(hashes: np.ndarray, factor: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def with_fingerprint(documents: DataFrame, words: int = 3, sketch: bool = False) -> DataFrame:
-    """doc_id and fp of every whole text; with ``sketch`` also 192 more votes s1, s2, s3.
+def with_fingerprint(documents: DataFrame, words: int = 3) -> DataFrame:
+    """doc_id and fp of every whole text.
 
-    A shingle votes as often as it occurs; with ``sketch`` once, so that bits follow the likeness of
-    the shingle sets and a word repeated a thousand times does not outvote the rest of a text. Null texts count as empty; a text without words has fingerprint 0 and links like any other.
+    A shingle votes as often as it occurs. Null texts count as empty; a text without words has
+    fingerprint 0 and links like any other.
     """
     small_batches(documents.sparkSession)
-    names = ["fp", "s1", "s2", "s3"] if sketch else ["fp"]
 
-    @F.pandas_udf(", ".join(f"{n} long" for n in names))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            rows = []
-            for text in batch:
-                hashes = shingle_hashes(text, words)
-                if sketch:
-                    hashes = np.unique(hashes)
-                rows.append([majority(hashes)] + ([majority(mixed(hashes, m)) for m in MIX] if sketch else []))
-            yield pd.DataFrame(rows, columns=names, dtype=np.int64)
+            yield pd.Series([majority(shingle_hashes(text, words)) for text in batch], dtype=np.int64)
 
-    return documents.select("doc_id", run(whole_text(F.col("text"))).alias("found")).select("doc_id", "found.*")
+    return documents.select("doc_id", run(whole_text(F.col("text"))).alias("fp"))
 
 
 # ---------------------------------------------------------------------- planning
@@ -246,7 +234,7 @@ def refined(rows: DataFrame, max_bits: int) -> DataFrame:
     return rows.select("key", "home", "used", *names).mapInPandas(run, f"key long, home boolean, used long, {kept}")
 
 
-def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.DataFrame]:
+def link_cells(batches, max_bits: int) -> Iterator[pd.DataFrame]:
     """Links of the cells of a partition sorted by key, homes first, as forests (a, least member b).
 
     Each cell's homes are compared with all its members, some thousands at a time. The rows of the
@@ -254,7 +242,6 @@ def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.Da
     have met them. Links are reduced to forests whenever many have gathered, so memory follows the
     homes of a cell and not its pairs.
     """
-    names = ["fp", "s1", "s2", "s3"] if max_sketch is not None else ["fp"]
     us: list[np.ndarray] = []
     vs: list[np.ndarray] = []
 
@@ -263,14 +250,11 @@ def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.Da
         for i in range(0, n_homes, 256):
             for j in range(met if i < met else i, len(node), 8192):
                 end = min(i + 256, n_homes)
-                apart = np.bitwise_count(bits[0][i:end, None] ^ bits[0][None, j : j + 8192])
+                apart = np.bitwise_count(bits[i:end, None] ^ bits[None, j : j + 8192])
                 x, y = np.nonzero(apart <= max_bits)
                 x, y = x + i, y + j
                 new = x < y
                 x, y = x[new], y[new]
-                if max_sketch is not None and len(x):
-                    total = sum(np.bitwise_count(b[x] ^ b[y]).astype(np.int64) for b in bits)
-                    x, y = x[total <= max_sketch], y[total <= max_sketch]
                 if len(x):
                     us.append(node[x])
                     vs.append(node[y])
@@ -287,12 +271,12 @@ def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.Da
     def cells(rows: pd.DataFrame, met: int) -> None:
         key, home = rows["key"].to_numpy(), rows["home"].to_numpy(bool)
         node = rows["node"].to_numpy(np.int64)
-        bits = [rows[c].to_numpy(np.int64).view(np.uint64) for c in names]
+        bits = rows["fp"].to_numpy(np.int64).view(np.uint64)
         cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         for k in np.flatnonzero(np.diff(cuts) > 1):
             a, b = cuts[k], cuts[k + 1]
             if n_homes := int(home[a:b].sum()):
-                compare(node[a:b], [x[a:b] for x in bits], n_homes, met if k == 0 else 0)
+                compare(node[a:b], bits[a:b], n_homes, met if k == 0 else 0)
 
     waiting, met = None, 0  # rows of an unfinished cell, how many of them have met each other
     for batch in batches:
@@ -317,12 +301,16 @@ def link_cells(batches, max_bits: int, max_sketch: int | None) -> Iterator[pd.Da
         yield reduced()
 
 
-def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
-    """Links (a, b) between nodes whose fingerprints differ in at most ``max_bits`` bits.
+def links(fps: DataFrame, max_bits: int, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
+    """As ``links_at``, where the caller's result still reads the folder when it returns."""
+    return links_at(fps, max_bits, cell, sample)[0]
 
-    ``fps`` has one row per node with node, fp and, for ``max_sketch``, s1 to s3: then linked nodes
-    also differ in at most ``max_sketch`` of all 256 bits. The links returned connect the same nodes
-    as all links do; no pair within the bounds is left unconnected.
+
+def links_at(fps: DataFrame, max_bits: int, cell: int = CELL, sample: int = SAMPLE) -> tuple[DataFrame, str]:
+    """Links (a, b) between nodes whose fingerprints differ in at most ``max_bits`` bits, and their folder.
+
+    ``fps`` has one row per node with node and fp. The links returned connect the same nodes as all
+    links do; no pair within the bound is left unconnected.
 
     A cell with more than ``cell`` members at home is not compared by one task: up to four bits it is
     dealt anew by the bits it leaves open. For more bits, or when few are left open, a cell of over
@@ -331,7 +319,7 @@ def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: in
     if max_bits > REFINED_BITS:
         cell *= CUT_CELLS
     spark = fps.sparkSession
-    names = ["node", "fp", *(("s1", "s2", "s3") if max_sketch is not None else ())]
+    names = ["node", "fp"]
     n_rows = fps.count()
     chosen = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
     numbers = np.array([r.fp for r in chosen], dtype=np.int64).view(np.uint64)
@@ -357,8 +345,8 @@ def links(fps: DataFrame, max_bits: int, max_sketch: int | None = None, cell: in
     for part in parts[1:]:
         every = every.unionByName(part.select("key", "home", *names))
     sorted_cells = every.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", F.desc("home"))
-    found = sorted_cells.mapInPandas(lambda batches: link_cells(batches, max_bits, max_sketch), LINK)
-    out = materialize(found, "links")
+    found = sorted_cells.mapInPandas(lambda batches: link_cells(batches, max_bits), LINK)
+    out = materialize_at(found, "links")
     for folder in folders:
         discard(spark, folder)
     return out
@@ -385,127 +373,12 @@ def classes(documents: DataFrame, words: int = 3, max_bits: int = 2) -> DataFram
     """
     fps = materialize(with_fingerprint(documents, words), "fingerprints")
     nodes = materialize(fps.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least")), "nodes")
-    linked = components(links(nodes.select("node", F.col("node").alias("fp")), max_bits))
+    found, found_path = links_at(nodes.select("node", F.col("node").alias("fp")), max_bits)
+    linked = components(found)
+    discard(documents.sparkSession, found_path)
     named = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.select("node", "component").join(least, "component").select(F.col("node").alias("fp"), "component_id")
     return fps.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-# ------------------------------------------------------------------ near copies
-
-
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The distinct shingle hashes of a text, in order."""
-    return np.unique(shingle_hashes(text, words))
-
-
-def set_node(hashes: np.ndarray) -> int:
-    """One number for a shingle set; texts of equal sets are one node."""
-    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
-
-
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key of each band of ``BAND`` minima; two sets have one in common with probability J ** BAND."""
-    if not len(hashes):
-        return []
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(hashes), 1024):
-        least = np.minimum(least, (hashes[i : i + 1024, None] * FACTORS[None]).min(axis=0))
-    keys = [xxhash.xxh64_intdigest(least[BAND * i : BAND * (i + 1)].tobytes(), i) for i in range(BANDS)]
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
-
-
-def with_bands(documents: DataFrame, words: int) -> DataFrame:
-    """doc_id, node and bands of every whole text; a text without words has no band."""
-    small_batches(documents.sparkSession)
-
-    @F.pandas_udf("node long, bands array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(text, words) for text in batch]
-            yield pd.DataFrame({"node": [set_node(x) for x in sets], "bands": [band_keys(x) for x in sets]})
-
-    return documents.select("doc_id", run(whole_text(F.col("text"))).alias("found")).select("doc_id", "found.*")
-
-
-def with_sets(documents: DataFrame, words: int) -> DataFrame:
-    """node and shingles of every whole text."""
-    small_batches(documents.sparkSession)
-
-    @F.pandas_udf("node long, shingles array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(text, words) for text in batch]
-            yield pd.DataFrame({"node": [set_node(x) for x in sets], "shingles": [x.view(np.int64).tolist() for x in sets]})
-
-    return documents.select(run(whole_text(F.col("text"))).alias("found")).select("found.*")
-
-
-def alike(pairs: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a similarity of ``tenths`` / 10 or more, in whole numbers."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_b"))
-    both = F.size(F.array_intersect("_a", "_b"))
-    every = F.size("_a") + F.size("_b") - both
-    return pairs.join(left, "a").join(right, "b").where(both * 10 >= every * tenths).select("a", "b")
-
-
-def set_links(cells: DataFrame, sets: DataFrame, tenths: int, rounds: int = ROUNDS) -> DataFrame:
-    """Links (a, b) that connect what all pairs of ``tenths`` / 10 or more within the cells (key, node) do.
-
-    Some rounds compare each member with one of its cell, so a group of near copies becomes one
-    component by as many pairs as it has members. What its cells still hold of other components is
-    then compared pair by pair; pairs of one component need no comparison.
-    """
-    found, named = None, cells.withColumn("component", F.col("node"))
-    for i in range(rounds + 1):
-        ends = named.groupBy("key").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high"),
-            F.min_by(F.struct("node", "component"), F.struct(F.xxhash64("node", F.lit(i)), "node")).alias("_centre"),
-        )
-        open_cells = ends.where(F.col("_low") != F.col("_high")).select(
-            "key", F.col("_centre.node").alias("_centre"), F.col("_centre.component").alias("_component")
-        )
-        if i < rounds:
-            met = named.join(open_cells, "key").where(F.col("component") != F.col("_component"))
-            a, b = F.col("node"), F.col("_centre")
-        else:
-            members = named.join(open_cells.select("key"), "key", "left_semi")
-            others = members.select("key", F.col("node").alias("_other"), F.col("component").alias("_others"))
-            met = members.join(others, "key").where((F.col("node") < F.col("_other")) & (F.col("component") != F.col("_others")))
-            a, b = F.col("node"), F.col("_other")
-        pairs = met.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-        new = materialize(alike(pairs, sets, tenths), "links")
-        found = new if found is None else found.unionByName(new)
-        if i < rounds:
-            linked = components(found).withColumnRenamed("component", "_to")
-            named = cells.join(linked, "node", "left").select("key", "node", F.coalesce("_to", "node").alias("component"))
-    return found
-
-
-def without_near_copies(documents: DataFrame, words: int = 5, tenths: int = 8) -> DataFrame:
-    """One document of each near-duplicate group, the one of the least doc_id, with its columns.
-
-    Linked are texts whose sets of word shingles have a similarity (common / all) of ``tenths`` / 10
-    or more. Candidates share all minima of a band; the sets themselves decide, so no other texts
-    are linked. A pair at 0.8 shares none of the 32 bands of four with probability 5e-8. Rows without
-    doc_id stay, as nothing names them; of rows that repeat id and text one stays.
-    """
-    named = documents.where(F.col("doc_id").isNotNull())
-    found = materialize(with_bands(named, words), "bands")
-    nodes = materialize(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "nodes")
-    rows = nodes.select(F.explode("bands").alias("key"), "node")
-    shared = rows.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low != _high")
-    cells = materialize(rows.join(shared.select("key"), "key", "left_semi"), "cells")
-    needed = nodes.join(cells.select("node").distinct(), "node", "left_semi").select("node", F.col("least").alias("doc_id"))
-    texts = named.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = with_sets(texts, words).join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    linked = components(set_links(cells, materialize(sets, "sets"), tenths))
-    keepers = nodes.join(linked, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(
-        F.min("least").alias("doc_id")
-    )
-    kept = documents.join(keepers.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.select(*documents.columns).unionByName(documents.where(F.col("doc_id").isNull()))

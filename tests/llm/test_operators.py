@@ -308,64 +308,6 @@ def test_thresholds_satisfy_the_pigeonhole(max_bits, n):
     assert len(bits) == len(set(bits))
 
 
-def test_near_copies_leave_one_and_others_stay(spark, rows):
-    draw = random.Random(5)
-    words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(4000)]
-    texts, wanted = {}, set()
-    for g in range(25):
-        base = draw.sample(words, 200)
-        wanted.add(10 * g)
-        for k in range(4):
-            copy = list(base)
-            if k:
-                copy[draw.randrange(200)] = f"edit{k}"
-            texts[10 * g + k] = " ".join(copy)
-    docs = [(i, t, "s") for i, t in texts.items()] + [(0, texts[0], "s"), (None, texts[0], "s"), (900, None, "s"), (901, "", "s")]
-    kept = simhash.without_near_copies(rows(docs, DOCS)).collect()
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(wanted | {900})
-    assert sum(r.doc_id is None for r in kept) == 1
-
-
-@pytest.mark.parametrize("low,high,gone", [(0.80, 0.85, True), (0.70, 0.7999, False)])
-def test_near_copies_are_those_of_the_shingle_sets(rows, low, high, gone):
-    draw = random.Random(11)
-    word = lambda: "".join(draw.choices("abcdefghij", k=7))
-    shingles = lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
-    docs, n_pairs = [], 0
-    while n_pairs < 80:
-        base = [word() for _ in range(draw.randrange(60, 300))]
-        copy, wanted = list(base), draw.uniform(low, high)
-        likeness = 1.0
-        while likeness > wanted:
-            copy[draw.randrange(len(copy))] = word()
-            a, b = shingles(base), shingles(copy)
-            likeness = len(a & b) / len(a | b)
-        if low <= likeness <= high:
-            docs += [(2 * n_pairs, " ".join(base), "s"), (2 * n_pairs + 1, " ".join(copy), "s")]
-            n_pairs += 1
-    kept = sorted(r.doc_id for r in simhash.without_near_copies(rows(docs, DOCS)).collect())
-    assert kept == [d[0] for d in docs if not (gone and d[0] % 2)]
-
-
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_set_links_connect_what_all_pairs_do(rows, rounds):
-    draw = random.Random(3)
-    sets, base = {}, list(range(100))
-    for i in range(60):  # a drifting chain, so that far members link through others only
-        if i % 12 == 0:
-            base = [draw.getrandbits(40) for _ in range(100)]
-        base = base[draw.randrange(4, 14) :] + [draw.getrandbits(40) for _ in range(100)]
-        base = base[:100]
-        sets[i] = base
-    cells = rows([(0, i) for i in sets], "key bigint, node bigint")
-    frame = cells.sparkSession.createDataFrame([(i, x) for i, x in sets.items()], "node bigint, shingles array<bigint>")
-    got = [(r.a, r.b) for r in simhash.set_links(cells, frame, 8, rounds).collect()]
-    same = lambda a, b: 10 * len({*a} & {*b}) >= 8 * len({*a} | {*b})
-    every = [(i, j) for i in sets for j in range(i) if same(sets[i], sets[j])]
-    assert every and all(same(sets[a], sets[b]) for a, b in got)
-    assert classes_of(60, got) == classes_of(60, every)
-
-
 # ------------------------------------------------------------------------- mixing
 
 
