@@ -32,9 +32,9 @@ from shopvitals.session import discard, materialize, materialize_at
 #: Longest phrases, least count of a phrase, phrases listed for each language.
 LONGEST, LEAST, LISTED = 5, 100, 2000
 #: Words that a task freezes at a time; paths and words that a range gathers before it unites them.
-BLOCK, GATHERED = 1 << 20, 1 << 21
+BLOCK, GATHERED = 1 << 20, 1 << 19
 #: Bytes of text for each prefix range, and at least one range for each shuffle partition.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 12 << 20
 #: Bounds of the sample that ranges are planned on: documents of the least hashed ids, paths of each.
 SAMPLE, SAMPLE_PATHS = 2048, 256
 #: Rows of the count table for each bound when parts are looked up.
