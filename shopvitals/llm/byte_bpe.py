@@ -3,12 +3,17 @@
 Long texts are cut at safe boundaries before they are encoded: in front of a space that follows a
 letter or digit. The split pattern never joins such a character with the space after it, and what
 follows a space decides only from there on, so the pieces' ids are those of the whole text.
+
+Very long runs of white space are cut where the pattern itself cuts them: it takes all but the last
+character of a run that something follows, and the whole of one that ends the text. Such a match is
+encoded as one piece; the library's own search for it needs a stack as deep as the run.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +24,10 @@ from shopvitals.llm.common import small_batches, whole_text
 
 #: Code points after which a cut is looked for.
 PIECE = 20_000
+#: Code points of white space from which on a run is a piece of its own.
+RUN = 20_000
+#: What Unicode calls white space.
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def encoding(path: str, pattern: str):
@@ -44,11 +53,17 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(text: str, own, size: int = PIECE) -> list[int]:
+def encode(text: str, own, size: int = PIECE, run: int = RUN) -> list[int]:
     """Token ids of a whole text in the encoding ``own``."""
-    if len(text) <= size:
+    if len(text) <= min(size, run):
         return own.encode_ordinary(text)
-    return [token for piece in pieces(text, size) for token in own.encode_ordinary(piece)]
+    ids, start = [], 0
+    for m in re.finditer(f"{SPACE}{{{max(2, run)},}}", text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        ids += [token for piece in pieces(text[start : m.start()], size) for token in own.encode_ordinary(piece)]
+        ids += own._encode_single_piece(text[m.start() : end])
+        start = end
+    return ids + [token for piece in pieces(text[start:], size) for token in own.encode_ordinary(piece)]
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -25,14 +25,19 @@ SAMPLE_PAGES = 512
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|iframe|svg|math|head)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-zA-Z][^<>]*(?:>|\Z|(?=<))"
     r"|(?P<text>[^<]+|<)",
-    re.S | re.I,
+    re.S,
 )
+#: HTML's own names: fixed values. What stands in the first is never text of the page, without its end tag up
+#: to the end of the page; what stands in the second goes if it has an end tag.
+UNREAD = frozenset("script style title textarea iframe".split())
+FOREIGN = frozenset("template noscript svg math".split())
+END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in UNREAD | FOREIGN}
+IN_HEAD = frozenset("head base link meta script style title template noscript".split())
+FORM = frozenset("form select button".split())
 CLASS = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-#: HTML's own names: fixed values.
 DIGITS, WORDS = re.compile(r"\d+"), re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINER = frozenset("body nav header footer aside form article main section div dialog menu table figure select button".split())
@@ -60,41 +65,76 @@ def named(attrs: str) -> str:
 def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
     """(kind "tag" or "text", place, text, block, whether inside a marked article) in page order.
 
-    A place is the innermost container, with its names, and the innermost block inside it.
+    A place is the innermost container, with its names, and the innermost block inside it; whatever
+    stands in a form has the form's place. The head ends with its end tag, or with the first tag or
+    text that it can't hold. One pass: the places of open tags are kept by name, and an end tag that
+    was looked for in vain is not looked for again.
     """
     stack = [("", "body", "body>", False)]  # tag, container, place, marked
-    block = 0
-    for m in TOKEN.finditer(page):
+    open_at: dict[str, list[int]] = {}  # where in the stack each tag, and each container, is open
+    containers: list[int] = [0]
+    form = 0  # depth from which on the stack is inside a form
+    block, in_head, at, never = 0, False, 0, set()
+
+    def leave(depth: int) -> None:
+        nonlocal form
+        while len(stack) > depth:
+            open_at[stack.pop()[0]].pop()
+            if containers[-1] == len(stack):
+                containers.pop()
+        form = 0 if form >= depth else form
+
+    while m := TOKEN.match(page, at):
+        at = m.end()
         last = m.lastgroup
         if last == "text":
             _, _, place, marked = stack[-1]
+            in_head = in_head and not m["text"].strip()
             yield "text", place, m["text"], block, marked
             continue
         if last != "attrs":
             continue
         tag = m["tag"].lower()
+        if not m["close"] and tag in END and tag not in never:
+            end = END[tag].search(page, at)
+            if end:
+                at = end.end()
+                continue
+            if tag in UNREAD:
+                return
+            never.add(tag)
+        if tag == "head":
+            in_head = not m["close"]
+            continue
+        in_head = in_head and tag in IN_HEAD
+        if in_head:
+            continue
         is_block = tag in BLOCK
         if is_block:
             block += 1
         if m["close"]:
             yield "tag", "/" + tag, None, block, stack[-1][3]
-            if is_block:
-                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-                if at and (tag in CONTAINER or not any(x[0] in CONTAINER for x in stack[at:])):
-                    del stack[at:]
+            if is_block and (found := open_at.get(tag)) and (tag in CONTAINER or found[-1] > containers[-1]):
+                leave(found[-1])
             continue
         if is_block:
             while stack[-1][0] in CLOSED_BY_BLOCK or tag == "li" == stack[-1][0]:
-                stack.pop()
+                leave(len(stack) - 1)
         names = named(m["attrs"])
-        _, container, _, marked = stack[-1]
+        _, container, place, marked = stack[-1]
         yield "tag", tag + names, None, block, marked
+        if tag == "br":
+            yield "text", place, " ", block, marked
         if is_block and tag not in VOID:
+            open_at.setdefault(tag, []).append(len(stack))
             if tag in CONTAINER:
+                containers.append(len(stack))
+                if tag in FORM and not form:
+                    form = len(stack)
                 marked = marked or not NAMED_ARTICLE.isdisjoint(WORDS.findall(tag + names))
-                stack.append((tag, tag + names, f"{tag}{names}>", marked))
+                stack.append((tag, tag + names, "form>" if form else f"{tag}{names}>", marked))
             else:
-                stack.append((tag, container, f"{container}>{tag}", marked))
+                stack.append((tag, container, "form>" if form else f"{container}>{tag}", marked))
 
 
 def count_places(page: str) -> Counter:
@@ -115,7 +155,9 @@ def weights(counts: dict[tuple[str, str, bool], int]) -> dict[tuple[str, str], f
 
 
 def score(kind: str, place: str, known: dict[tuple[str, str], float]) -> float:
-    """The learned weight, or for a place never seen one by its names."""
+    """The learned weight, or for a place never seen one by its names; a form is never part of an article."""
+    if kind == "text" and place == "form>":
+        return -3.0
     if (kind, place) in known:
         return known[kind, place]
     against = not AGAINST.isdisjoint(WORDS.findall(place))
@@ -124,6 +166,18 @@ def score(kind: str, place: str, known: dict[tuple[str, str], float]) -> float:
     return -4.0 if against else -0.5
 
 
+def best_run(weights: list[float]) -> tuple[int, int]:
+    """(start, end) of the run with the largest sum, found in one pass: the shortest and first of equal ones."""
+    best, start, end, total, since = 0.0, 0, 0, 0.0, 0
+    for i, weight in enumerate(weights):
+        if total <= 0:
+            total, since = 0.0, i
+        total += weight
+        if total > best or total == best > 0 and i + 1 - since < end - start:
+            best, start, end = total, since, i + 1
+    return start, end
+
+
 def main_text(page: str | None, known: dict[tuple[str, str], float]) -> str:
     """Text of the run with the largest sum, the shortest and first of equal ones."""
     seen: dict[tuple[str, str], float] = {}
@@ -132,19 +186,11 @@ def main_text(page: str | None, known: dict[tuple[str, str], float]) -> str:
         if (weight := seen.get((kind, place))) is None:
             weight = seen[kind, place] = score(kind, place, known)
         items.append((block, text, weight))
-    best, start, end, total, since = 0.0, 0, 0, 0.0, 0
-    for i, (_, text, weight) in enumerate(items):
-        if total <= 0:
-            total, since = 0.0, i
-        total += weight * len(text.split()) if text is not None else weight
-        if total > best:
-            best, start, end = total, since, i + 1
+    start, end = best_run([w * len(t.split()) if t is not None else w for _, t, w in items])
     blocks: dict[int, list[str]] = {}
     for block, text, weight in items[start:end]:
         if text is not None and weight > 0:
             blocks.setdefault(block, []).append(text)
-        elif text is None and block in blocks:
-            blocks[block].append("" if weight else " ")
     lines = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
 

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopvitals.llm.common import BROADCAST_ROWS, attach, whole_text
 from shopvitals.session import materialize
 
-#: Lines of more than this share of a host's pages go, if at least so many pages have them.
-RATIO, MIN_PAGES = 0.1, 3
+#: Lines of more than this share of a host's pages go, if they repeat: stand on at least so many pages. Without
+#: the second a host of fewer than 1 / RATIO pages would lose every line.
+RATIO, MIN_PAGES = 0.05, 2
 
 
 def _digest(line: Column) -> Column:
@@ -21,7 +22,7 @@ def _digest(line: Column) -> Column:
 
 
 def _filled(line: Column) -> Column:
-    return F.trim(line) != ""
+    return F.regexp_like(line, F.lit(r"[^ \t\n\x0B\f\r]"))
 
 
 def boilerplate(pages: DataFrame, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:

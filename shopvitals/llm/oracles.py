@@ -49,23 +49,22 @@ JOIN prints e ON e.kind = 'edited' AND e.doc_id = o.doc_id
 JOIN prints x ON x.kind = 'own' AND x.doc_id = o.next_id
 """
 
-OP4 = """
-WITH lines AS (
-    SELECT DISTINCT source, doc_id, unnest(string_split(text, chr(10))) AS line FROM documents
-), totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source
-), heavy AS (
-    SELECT source, list(line) AS bad FROM (
-        SELECT l.source, l.line FROM lines l JOIN totals t USING (source) WHERE trim(l.line) <> ''
-        GROUP BY l.source, l.line, t.pages HAVING count(*) >= 3 AND count(*) > t.pages * 0.1::DOUBLE)
-    GROUP BY source
-), kept AS (
-    SELECT doc_id, string_split(text, chr(10)) AS lines,
-        list_filter(string_split(text, chr(10)), lambda x: trim(x) = '' OR NOT coalesce(list_contains(bad, x), false)) AS left_over
-    FROM documents LEFT JOIN heavy USING (source)
+OP4 = r"""
+WITH placed AS (
+    SELECT row, doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM (SELECT row_number() OVER () AS row, * FROM documents)
+), pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source
+), shares AS (
+    SELECT source, line, count(DISTINCT row) AS n FROM placed WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY source, line
+), judged AS (
+    SELECT p.*, coalesce(s.n >= 2 AND s.n > 0.05::DOUBLE * g.pages, false) AS goes
+    FROM placed p JOIN pages g ON g.source IS NOT DISTINCT FROM p.source
+    LEFT JOIN shares s ON s.source IS NOT DISTINCT FROM p.source AND s.line = p.line
 )
-SELECT doc_id, len(lines) AS n_lines, len(lines) - len(left_over) AS n_dropped,
-    sha256(array_to_string(left_over, chr(10))) AS kept_sha256, length(array_to_string(left_over, chr(10))) AS kept_chars
-FROM kept
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT goes), '')) AS kept_sha256,
+    length(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT goes), '')) AS kept_chars
+FROM judged GROUP BY row, doc_id
 """
 
 OP8 = """

@@ -89,7 +89,7 @@ def spans(text: str, anchors=None) -> list[tuple[int, int, str]]:
                         found.append((at, m.end(), "card"))
             if first_of_run and at >= taken["ip"] and (m := IP.match(text, at)):
                 taken["ip"] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m[0].split("."))):
                     found.append((at, m.end(), "ip"))
         elif kind == "email":
             start = at

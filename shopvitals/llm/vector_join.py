@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from shopvitals.llm.common import components, forest, shuffle_partitions
+from shopvitals.llm.common import components, forest, shuffle_partitions, small_batches
 from shopvitals.session import discard, materialize, materialize_at
 
 MIN_COSINE = 0.9
@@ -82,8 +82,14 @@ def deal(points: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.ndarr
     return home, goes
 
 
-def compare(home_ids, home, ids, points, min_cosine: float, same: bool):
-    """Links between home vectors and points: (home index, point index), in double precision."""
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Each row divided by a power of two, so that products neither overflow nor vanish; other results keep their bits."""
+    _, exponent = np.frexp(np.abs(rows).max(axis=1))
+    return np.ldexp(rows, -exponent[:, None])
+
+
+def compare(home, points, min_cosine: float, same: bool):
+    """Links between scaled home vectors and points: (home index, point index), in double precision."""
     norm = np.sqrt((home * home).sum(axis=1))[:, None] * np.sqrt((points * points).sum(axis=1))[None]
     close = home @ points.T >= min_cosine * norm
     if same:
@@ -128,25 +134,25 @@ def join_cells(batches, min_cosine: float):
                 yield from flush()
                 cell, ids, home, counts = keys[start], None, None, None
             visitor = part["visitor"].to_numpy(bool)
-            points = np.stack(part["embedding"].to_numpy()).astype(float)
+            points = scaled(np.stack(part["embedding"].to_numpy()).astype(float))
             names = part["vec_id"].to_numpy(np.int64)
             settled = ~visitor
             if settled.any():
                 new_ids, new = names[settled], points[settled]
-                u, v = compare(new_ids, new, new_ids, new, min_cosine, True)
+                u, v = compare(new, new, min_cosine, True)
                 n_new = np.bincount(u, minlength=len(new)) + np.bincount(v, minlength=len(new))
                 links.append((new_ids[u], new_ids[v]))
                 if home is None:
                     ids, home, counts = new_ids, new, n_new
                 else:
-                    u, v = compare(ids, home, new_ids, new, min_cosine, False)
+                    u, v = compare(home, new, min_cosine, False)
                     counts = counts + np.bincount(u, minlength=len(home))
                     n_new = n_new + np.bincount(v, minlength=len(new))
                     links.append((ids[u], new_ids[v]))
                     ids, home, counts = np.concatenate([ids, new_ids]), np.concatenate([home, new]), np.concatenate([counts, n_new])
             if visitor.any() and home is not None:
                 guests = names[visitor]
-                u, v = compare(ids, home, guests, points[visitor], min_cosine, False)
+                u, v = compare(home, points[visitor], min_cosine, False)
                 if len(u):
                     counts = counts + np.bincount(u, minlength=len(home))
                     links.append((ids[u], guests[v]))
@@ -174,7 +180,7 @@ def classes(vectors: DataFrame, min_cosine: float = MIN_COSINE, cell: int = CELL
     ``kept`` false. Rows of a repeated id share one result. Vectors of different lengths never link.
     """
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    small_batches(spark, 1024)
     good, good_path = materialize_at(usable(vectors), "vectors")
     good = good.withColumn("dim", F.size("embedding"))
     dims = [(r.dim, r.n) for r in good.groupBy("dim").agg(F.count("*").alias("n")).collect()]
