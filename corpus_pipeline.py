@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shopvitals.llm import byte_bpe, line_dedup, mixing, simhash, toxicity
+from shopvitals.llm import byte_bpe, line_dedup, mixing, near_copies, toxicity
 from shopvitals.llm.queries import RANKS, table
 from shopvitals.session import materialize
 
@@ -31,7 +31,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.without_near_copies(docs.select(*COLUMNS))
+    return near_copies.without_near_copies(docs.select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
