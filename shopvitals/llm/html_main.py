@@ -65,8 +65,8 @@ def named(attrs: str) -> str:
 def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
     """(kind "tag" or "text", place, text, block, whether inside a marked article) in page order.
 
-    A place is the innermost container, with its names, and the innermost block inside it; whatever
-    stands in a form has the form's place. The head ends with its end tag, or with the first tag or
+    A place is the innermost container, with its names, and the innermost block inside it. A form is
+    left out, unless an article stands in it: then it wraps the page. The head ends with its end tag, or with the first tag or
     text that it can't hold. One pass: the places of open tags are kept by name, and an end tag that
     was looked for in vain is not looked for again.
     """
@@ -90,7 +90,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
         if last == "text":
             _, _, place, marked = stack[-1]
             in_head = in_head and not m["text"].strip()
-            yield "text", place, m["text"], block, marked
+            if not form:
+                yield "text", place, m["text"], block, marked
             continue
         if last != "attrs":
             continue
@@ -113,7 +114,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
         if is_block:
             block += 1
         if m["close"]:
-            yield "tag", "/" + tag, None, block, stack[-1][3]
+            if not form:
+                yield "tag", "/" + tag, None, block, stack[-1][3]
             if is_block and (found := open_at.get(tag)) and (tag in CONTAINER or found[-1] > containers[-1]):
                 leave(found[-1])
             continue
@@ -122,19 +124,22 @@ def tokens(page: str) -> Iterator[tuple[str, str, str | None, int, bool]]:
                 leave(len(stack) - 1)
         names = named(m["attrs"])
         _, container, place, marked = stack[-1]
-        yield "tag", tag + names, None, block, marked
-        if tag == "br":
-            yield "text", place, " ", block, marked
+        article = tag in CONTAINER and not NAMED_ARTICLE.isdisjoint(WORDS.findall(tag + names))
+        if article:
+            form = 0
+        elif tag in FORM and not form:
+            form = len(stack)
+        if not form:
+            yield "tag", tag + names, None, block, marked
+            if tag == "br":
+                yield "text", place, " ", block, marked
         if is_block and tag not in VOID:
             open_at.setdefault(tag, []).append(len(stack))
             if tag in CONTAINER:
                 containers.append(len(stack))
-                if tag in FORM and not form:
-                    form = len(stack)
-                marked = marked or not NAMED_ARTICLE.isdisjoint(WORDS.findall(tag + names))
-                stack.append((tag, tag + names, "form>" if form else f"{tag}{names}>", marked))
+                stack.append((tag, tag + names, f"{tag}{names}>", marked or article))
             else:
-                stack.append((tag, container, "form>" if form else f"{container}>{tag}", marked))
+                stack.append((tag, container, f"{container}>{tag}", marked))
 
 
 def count_places(page: str) -> Counter:
@@ -155,9 +160,7 @@ def weights(counts: dict[tuple[str, str, bool], int]) -> dict[tuple[str, str], f
 
 
 def score(kind: str, place: str, known: dict[tuple[str, str], float]) -> float:
-    """The learned weight, or for a place never seen one by its names; a form is never part of an article."""
-    if kind == "text" and place == "form>":
-        return -3.0
+    """The learned weight, or for a place never seen one by its names."""
     if (kind, place) in known:
         return known[kind, place]
     against = not AGAINST.isdisjoint(WORDS.findall(place))

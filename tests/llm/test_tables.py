@@ -37,6 +37,7 @@ ODD = [
     (1, "One two three four five six.\nShared line\nmore", "en", "a", 5), (1, "One two three four five six.\nShared line\nmore", "en", "a", 5),
     (2, None, None, None, None), (3, "", "", "", 0), (None, "no id at all", "en", "a", 1), (None, None, None, None, None),
     (4, LONG, "en", "a", None), (5, "x" * 50_000, "de", None, 1), (6, " \n\n\t ", "fr", "b", 1), (2**62, "idiot " * 3, "en", "b", 3),
+    (8, "a" + " " * 1_200_000 + "b", "en", "a", 1), (9, "0" * 5000 + ".1.1.1", "en", "b", 1), (10, "\n" * 700_000, "en", "b", 1),
     (-7, "a@b.cd +1 (555) 123-4567 𝒳𝒴 \x00 ퟿", "en", "c", 2),
 ]
 CLASH = ["key", "home", "size", "row", "copies", "score", "fp", "found", "_salt", "_copy", "n_lines", "cell", "node", "payload",
@@ -47,7 +48,7 @@ def written(spark, folder, odd):
     documents = spark.createDataFrame(ODD if odd else [], "doc_id long, text string, lang string, source string, n_chars long")
     pages = spark.createDataFrame(
         [(1, "u", "<article><p>Hello there</p></article>"), (1, "u", "<article><p>Hello there</p></article>"), (2, None, None), (None, "v", ""),
-         (3, "w", "<p>" + "many words " * 30_000)] if odd else [], "page_id long, url string, html string")
+         (3, "w", "<p>" + "many words " * 30_000), (4, "x\r\ny", "<div>" * 20_000 + "</p>" * 20_000)] if odd else [], "page_id long, url string, html string")
     embeddings = spark.createDataFrame(
         [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, None, None), (None, [1.0, 0.0], 1), (3, [1.0, 0.01], 2)] if odd else [],
         "vec_id long, embedding array<float>, label int")
