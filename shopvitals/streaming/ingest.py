@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,11 +28,11 @@ def stream_ingest(
 
     Complaints are stored with the model's labels where ``answers`` has them at the time of the batch.
 
-    The first message of every key is keyed state, so a batch costs what its own messages cost and
-    reads no stored table; state grows by one message per key. With a new checkpoint the keys
-    stored so far are put into the state once, with the first batch. A message that cannot load
-    is told by its offset. Delivery is at least once: a batch is appended under its own folder, so
-    writing it again replaces it.
+    Every key that came is state, without its message, so a batch costs what its own messages cost
+    and reads no stored table; state grows by one key, however long messages are. With a new
+    checkpoint the keys stored so far are put into the state once, with the first batch. A message
+    that cannot load is told by its offset. Delivery is at least once: a batch is appended under its
+    own folder, so writing it again replaces it.
     """
     spark = pin_streaming(messages.sparkSession)
     for kind in EVENT_KINDS.values():
@@ -45,7 +47,7 @@ def stream_ingest(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         number = first + batch_id
-        new = batch.select("topic", "event_key", "first.*").persist()
+        new = batch.where(~c("held")).drop("held").persist()
 
         def load_topic(kind: EventKind) -> None:
             rows = loadable(decode(new.where(c("event_key").isNotNull()), kind), kind, answers)
@@ -66,7 +68,7 @@ def stream_ingest(
     known = spark.readStream.schema(stored_keys(messages, root).schema).parquet(seed)
     return (
         first_messages(messages, known).writeStream.foreachBatch(load)
-        .outputMode("update")
+        .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -87,27 +89,68 @@ def stored_keys(messages: DataFrame, root: str) -> DataFrame:
     )
 
 
+_LAST = 2**63 - 1
+#: What travels to the stage that keeps the earliest message; instants and offsets as whole numbers.
+_CARRIED = "topic string, event_key string, broken bigint, held boolean, at_us bigint, place bigint, value string"
+_KEY = ["topic", "event_key", "broken"]
+
+
+def _earliest(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+    rows = rows.sort_values(["held", "at_us", "place"], ascending=[False, True, True], kind="stable")
+    return rows.drop_duplicates(_KEY)
+
+
+def _earliest_of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each Arrow batch without the messages that one before them in it repeats."""
+    for rows in batches:
+        if len(rows):
+            yield _earliest([rows])
+
+
+def _earliest_of_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The earliest message of each key of a whole partition; memory follows its distinct keys."""
+    held: list[pd.DataFrame] = []
+    waiting = kept = 0
+    for rows in batches:
+        held.append(rows)
+        waiting += len(rows)
+        if waiting > max(50_000, kept):
+            held = [_earliest(held)]
+            waiting, kept = 0, len(held[0])
+    if any(len(rows) for rows in held):
+        yield _earliest(held)
+
+
 def first_messages(messages: DataFrame, known: DataFrame) -> DataFrame:
-    """Per batch the first message of each key that neither ``known`` nor an earlier batch has.
+    """Per batch the first message of each key that neither ``known`` nor an earlier batch has, and
+    every message that cannot load.
 
-    State is the minimum over (batch time, arrival, offset), combined before the shuffle, so a hot
-    key leaves each input partition once. A key is new when its first message is of the batch
-    that touched it last; the time of a batch is kept in its offsets, so a retry sees the same one.
+    Within a batch the earliest message (arrival, offset) of a key is kept, first where the messages
+    are read, so that a key that repeats a lot is a few rows, then by key. What the state
+    remembers is the key alone, of a message that cannot load its offset. Rows of ``known`` come
+    back as ``held``: they only fill the state.
     """
-    never = F.timestamp_seconds(F.lit(0))
-    order = F.struct("batch_at", "received_at", "offset", "value")
-    arrived = with_row_key(messages).withColumn("batch_at", F.current_timestamp())
-    absent = {name: arrived.schema[name].dataType for name in ("received_at", "offset", "value")}
-    held = known.withColumns(
-        {"batch_at": never, **{name: F.lit(None).cast(kind) for name, kind in absent.items()}}
+    none = F.lit(-_LAST)
+    place = F.coalesce("offset", none)
+    arrived = with_row_key(messages).withColumns(
+        {
+            "broken": F.when(c("event_key").isNull(), place).otherwise(none),
+            "held": F.lit(False),
+            "at_us": F.coalesce(F.unix_micros("received_at"), none),
+            "place": place,
+        }
+    )
+    stored = known.where(c("event_key").isNotNull()).withColumns(
+        {"broken": none, "held": F.lit(True), "at_us": none, "place": none, "value": F.lit(None).cast("string")}
     )
-    touched = (
-        arrived.unionByName(held)
-        .withColumn("unkeyed_offset", F.when(c("event_key").isNull(), c("offset")))
-        .groupBy("topic", "event_key", "unkeyed_offset")
-        .agg(F.min(order).alias("first"), F.max("batch_at").alias("last"))
+    carried = [*_KEY, "held", "at_us", "place", "value"]
+    candidates = arrived.select(*carried).mapInPandas(_earliest_of_batches, _CARRIED).unionByName(stored.select(*carried))
+    earliest = candidates.repartition(*_KEY).mapInPandas(_earliest_of_partition, _CARRIED)
+    return earliest.dropDuplicates(_KEY).select(
+        "topic", "event_key", "held", F.timestamp_micros(F.nullif("at_us", none)).alias("received_at"),
+        F.nullif("place", none).alias("offset"), "value",
     )
-    return touched.where((c("first.batch_at") == c("last")) & (c("last") > never))
 
 
 def stream_dedup(messages: DataFrame, delay: str = "1 hour") -> DataFrame:

@@ -36,8 +36,9 @@ def first_number(
         row = spark.read.schema(schema).parquet(kept).first()
         if row is not None:
             return row[0]
-    except AnalysisException:
-        pass  # a new checkpoint
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # which is a new checkpoint
+            raise
     stored = [spark.read.parquet(path).agg(F.max(BATCH).cast("bigint")).first()[0] for path in paths]
     number = max([-1, *(n for n in stored if n is not None)]) + 1
     if prepare is not None:

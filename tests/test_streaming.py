@@ -208,3 +208,50 @@ def test_a_broken_message_does_not_hold_its_key(rows, spark, tmp_path):
     (kept,) = read_table(spark, f"{tmp_path}/t/raw_orders", schemas.RAW_ORDERS).collect()
     assert kept["city"] == "good"
     assert read_table(spark, f"{tmp_path}/t/pipeline_logs", schemas.PIPELINE_LOGS).count() == 2
+
+
+def test_state_holds_keys_and_no_messages(rows, spark, tmp_path):
+    """What a key costs does not follow the length of its message; a hot key is a few rows."""
+    sizes = {}
+    for length in (10, 20_000):
+        source, checkpoint = f"{tmp_path}/in{length}", f"{tmp_path}/c{length}"
+        values = [order(order_id=f"o{i % 40}", city="x" * length) for i in range(60)] + [order(order_id="hot")] * 200
+        values += ["{" + "y" * length] * 3
+        rows([("orders_topic", v, i, AT) for i, v in enumerate(values)], MESSAGES).write.parquet(source)
+        stream = spark.readStream.schema(MESSAGES).parquet(source)
+        ingest.stream_ingest(stream, f"{tmp_path}/t{length}", checkpoint).awaitTermination()
+        assert read_table(spark, f"{tmp_path}/t{length}/raw_orders", schemas.RAW_ORDERS).count() == 41
+        assert read_table(spark, f"{tmp_path}/t{length}/pipeline_logs", schemas.PIPELINE_LOGS).count() == 3
+        state = spark.read.format("statestore").load(checkpoint)
+        assert set(state.selectExpr("key.*").columns) == {"topic", "event_key", "broken"}
+        sizes[length] = state.agg(F.count("*"), F.sum(F.length(F.to_json(F.struct("key", "value"))))).first()
+    assert sizes[10] == sizes[20_000] and sizes[10][0] == 44
+
+
+def test_the_earliest_of_a_batch_wins_wherever_it_is_read(rows, spark, tmp_path):
+    late = "2024-02-01 11:00:00"
+    values = [("orders_topic", order(city="late"), 1, late), ("orders_topic", order(city="higher"), 9, AT),
+              ("orders_topic", order(city="first"), 3, AT), ("orders_topic", order(order_id="o2", city="none"), 5, None),
+              ("orders_topic", order(order_id="o2", city="timed"), 1, AT)]
+    for i, value in enumerate(values):  # a file each
+        rows([value], MESSAGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(MESSAGES).parquet(f"{tmp_path}/in")
+    ingest.stream_ingest(stream, f"{tmp_path}/t", f"{tmp_path}/c").awaitTermination()
+    got = {r["order_id"]: r["city"] for r in read_table(spark, f"{tmp_path}/t/raw_orders", schemas.RAW_ORDERS).collect()}
+    assert got == {"o1": "first", "o2": "none"}
+
+
+def test_partitions_keep_the_earliest_over_many_batches():
+    import random
+
+    import pandas as pd
+
+    draw = random.Random(4)
+    values = [("t", f"k{draw.randrange(50)}", -1, draw.random() < 0.01, draw.randrange(1000), i, "v") for i in range(3000)]
+    frame = pd.DataFrame(values, columns=["topic", "event_key", "broken", "held", "at_us", "place", "value"])
+    (got,) = ingest._earliest_of_partition(iter([frame[i : i + 70] for i in range(0, 3000, 70)]))
+    want = {}
+    for _, key, _, held, at, place, _ in values:
+        want[key] = min(want.get(key, (True, 0, 0)[:0] or (2,)), (not held, at, place))
+    assert {r.event_key: (not r.held, r.at_us, r.place) for r in got.itertuples()} == want
+    assert list(ingest._earliest_of_partition(iter([]))) == []
