@@ -8,6 +8,7 @@ from shopvitals.config import DEFAULT, MonitorConfig
 from shopvitals.operators.diagnosis import DIAGNOSIS_FIELDS, META_FIELDS
 from shopvitals.operators.features import RUN
 from shopvitals.operators.model_contract import anomalies_json, features_json
+from shopvitals.session import discard, materialize_at
 
 c = F.col
 
@@ -89,135 +90,122 @@ def recently_alerted(
 # ---------------------------------------------------------------- suppression over a history
 #
 # Whether an alert goes out depends on when the last one of its fingerprint did, so decisions
-# chain. The chain is cut into days. A day can only be influenced through an alert sent in the
-# last half hour of the day before; for each such possibility (and for none) the day's outcome
-# is computed on its own, in parallel. What is left to do in sequence is one lookup per day.
-# The work per group is thereby bounded by calendar time: a day holds at most one entry per
-# distinct instant, a fingerprint one entry per day.
-
-_DAY_US = 86_400_000_000
-_FREE = -1  # nothing sent that could matter
-
-
-def _last_sent(times: Column, before: Column, window_us: int) -> Column:
-    """Fold over a day's sorted instants: the last one sent, given what was sent before."""
-    return F.aggregate(
-        times,
-        before,
-        lambda last, t: F.when((last == _FREE) | (t - last > window_us), t).otherwise(last),
-    )
+# chain. Every candidate has one successor: the first candidate after its window, which is the next to
+# go out if it does itself. A candidate after a gap longer than the window goes out whatever came
+# before. What goes out is what successors reach from there; successors of 1, 2, 4, ... steps
+# are joined to themselves, so a chain of n takes log2(n) rounds. No fingerprint's history is one
+# list or one task: rows are keyed by fingerprint and instant, or by fingerprint and cell of time.
+
+#: Cells of time a window is cut into; a fingerprint's cells are one row each.
+CELLS_A_WINDOW = 16
+
 
+def _successors(candidates: DataFrame, key: str, window_us: int) -> DataFrame:
+    """(fingerprint, at, to, reached): each instant, its successor if one is in its stretch, and whether it opens one.
 
-def _sent_times(times: Column, before: Column, window_us: int) -> Column:
-    """The instants of a day that are sent, given what was sent before."""
-    start = F.struct(before.alias("last"), F.array().cast("array<bigint>").alias("sent"))
-    return F.aggregate(
-        times,
-        start,
-        lambda acc, t: F.when(
-            (acc["last"] == _FREE) | (t - acc["last"] > window_us),
-            F.struct(t.alias("last"), F.array_append(acc["sent"], t).alias("sent")),
-        ).otherwise(acc),
-        lambda acc: acc["sent"],
+    Instants and the ends of their windows meet in cells of time. Inside a cell the order decides,
+    beyond it the nearest cell before or after that has an instant.
+    """
+    width = max(1, window_us // CELLS_A_WINDOW)
+    at = candidates.select(c(key).alias("fingerprint"), F.unix_micros(RUN).alias("at")).distinct()
+    instant, end = F.struct(c("at").alias("value"), F.lit(True).alias("own")), F.struct(
+        (c("at") + window_us).alias("value"), F.lit(False).alias("own")
+    )
+    points = at.select("fingerprint", "at", F.inline(F.array(instant, end))).withColumn(
+        "cell", F.floor(c("value") / F.lit(width)).cast("bigint")
+    )
+    own = F.when(c("own"), c("value"))
+    cells = points.groupBy("fingerprint", "cell").agg(F.min(own).alias("first"), F.max(own).alias("last"))
+    over = Window.partitionBy("fingerprint")
+    before = over.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    after = over.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        "fingerprint",
+        "cell",
+        F.last("last", ignorenulls=True).over(before).alias("_before"),
+        F.last("first", ignorenulls=True).over(after).alias("_after"),
+    )
+    # The end of a window comes before an instant of the same time: its successor is later.
+    inside = Window.partitionBy("fingerprint", "cell")
+    down = inside.orderBy(F.desc("value"), "own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up = inside.orderBy("value", F.desc("own")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = points.join(cells, ["fingerprint", "cell"]).select(
+        "fingerprint",
+        "at",
+        "own",
+        F.coalesce(F.min(own).over(down), "_after").alias("next"),
+        F.coalesce(F.max(own).over(up), "_before").alias("previous"),
+    )
+    linked = placed.groupBy("fingerprint", "at").agg(
+        F.max(F.when(~c("own"), c("next"))).alias("to"), F.max(F.when(c("own"), c("previous"))).alias("previous")
+    )
+    opens = c("previous").isNull() | (c("at") - c("previous") > window_us)
+    return linked.select("fingerprint", "at", "to", opens.alias("reached"))
+
+
+def _doubled(steps: DataFrame) -> DataFrame:
+    """Successors of twice as many steps, and what those reached so far reach by one of theirs."""
+    marked = steps.where(c("reached") & c("to").isNotNull()).select("fingerprint", c("to").alias("at"), F.lit(True).alias("_hit"))
+    # A successor that is reached already need not be gone through again.
+    onward = steps.select("fingerprint", c("at").alias("to"), c("to").alias("_on"))
+    return (
+        steps.join(onward, ["fingerprint", "to"], "left")
+        .join(marked.distinct(), ["fingerprint", "at"], "left")
+        .select("fingerprint", "at", c("_on").alias("to"), (c("reached") | F.coalesce("_hit", F.lit(False))).alias("reached"))
     )
 
 
 def sent_alerts(
-    candidates: DataFrame, cfg: MonitorConfig = DEFAULT, key: str = "alert_fingerprint"
+    candidates: DataFrame,
+    cfg: MonitorConfig = DEFAULT,
+    key: str = "alert_fingerprint",
+    folders: list[str] | None = None,
 ) -> DataFrame:
     """(fingerprint, run_timestamp) of the candidates that go out.
 
     A candidate goes out unless one of the same fingerprint went out at or after the window
-    before it.
+    before it; windows may have any length. Rows without a fingerprint do not go out. The result is
+    stored; its folder is added to ``folders`` for the caller to discard.
     """
     window_us = cfg.alert_dedup_minutes * 60_000_000
-    if not 0 < window_us < _DAY_US:
-        raise ValueError("the suppression window must be shorter than a day")
-    no_times = F.array().cast("array<bigint>")
-    free = F.lit(_FREE).cast("bigint")
-
-    days = (
-        candidates.select(key, F.unix_micros(RUN).alias("_us"))
-        .distinct()
-        .groupBy(key, F.floor(c("_us") / F.lit(_DAY_US)).cast("bigint").alias("_day"))
-        .agg(F.array_sort(F.collect_list("_us")).alias("_times"))
-    )
-    day_end = (c("_day") + 1) * F.lit(_DAY_US)
-    tail = F.filter("_times", lambda t: t >= day_end - window_us)
-    earlier = F.lag(F.struct("_day", tail.alias("tail"))).over(
-        Window.partitionBy(key).orderBy("_day")
-    )
-    # How each day ends, for every way it can begin.
-    outcomes = days.withColumn("_earlier", earlier).select(
-        key,
-        "_day",
-        F.map_from_entries(
-            F.transform(
-                F.concat(
-                    F.array(free),
-                    F.when(c("_earlier._day") == c("_day") - 1, c("_earlier.tail")).otherwise(no_times),
-                ),
-                lambda before: F.struct(before, _last_sent(c("_times"), before, window_us)),
-            )
-        ).alias("_outcome"),
-    )
-    # How each day does begin: one lookup per day.
-    nothing_yet = F.struct(
-        free.alias("last"), F.array().cast("array<struct<day:bigint,start:bigint>>").alias("days")
-    )
-
-    def next_day(acc: Column, day: Column) -> Column:
-        start = F.when(F.map_contains_key(day["_outcome"], acc["last"]), acc["last"]).otherwise(free)
-        return F.struct(
-            F.element_at(day["_outcome"], start).alias("last"),
-            F.array_append(
-                acc["days"], F.struct(day["_day"].alias("day"), start.alias("start"))
-            ).alias("days"),
-        )
-
-    starts = (
-        outcomes.groupBy(key)
-        .agg(F.collect_list(F.struct("_day", "_outcome")).alias("_list"))
-        .withColumn(
-            "_list",
-            F.array_sort("_list", lambda a, b: (a["_day"] - b["_day"]).cast("int")),
-        )
-        .select(key, F.inline(F.aggregate("_list", nothing_yet, next_day, lambda acc: acc["days"])))
-        .withColumnsRenamed({"day": "_day", "start": "_start"})
-    )
-    return days.join(starts, [key, "_day"]).select(
-        key,
-        F.explode(
-            F.transform(_sent_times(c("_times"), c("_start"), window_us), F.timestamp_micros)
-        ).alias(RUN),
-    )
+    if window_us <= 0:
+        raise ValueError("the suppression window must be positive")
+    spark = candidates.sparkSession
+    steps, path = materialize_at(_successors(candidates, key, window_us), "steps")
+    while not steps.where(c("reached") & c("to").isNotNull()).isEmpty():
+        doubled, new_path = materialize_at(_doubled(steps), "steps")
+        discard(spark, path)
+        steps, path = doubled, new_path
+    if folders is not None:
+        folders.append(path)
+    return steps.where("reached").select(c("fingerprint").alias(key), F.timestamp_micros("at").alias(RUN))
 
 
 def alert_suppress(
-    flagged: DataFrame, cfg: MonitorConfig = DEFAULT, history: DataFrame | None = None
+    flagged: DataFrame,
+    cfg: MonitorConfig = DEFAULT,
+    history: DataFrame | None = None,
+    folders: list[str] | None = None,
 ) -> DataFrame:
     """Adds ``should_alert`` and ``suppression_reason`` to runs with ``candidate`` set.
 
     ``history`` holds (alert_fingerprint, alerted_at) of earlier alerts, none after the first
     run. A candidate is suppressed by any alert of its fingerprint from the window before it on,
-    later ones included; the rest follow the chain among themselves.
+    later ones included; the rest follow the chain among themselves. ``folders`` as for ``sent_alerts``.
     """
     key = ["alert_fingerprint", RUN]
     wanted = flagged.where("candidate").select(*key)
-    if history is None:
-        sent = sent_alerts(wanted, cfg)
-    else:
+    if history is not None:
         last = (
             history.where(c("alerted_at").isNotNull())
             .groupBy("alert_fingerprint")
             .agg(F.max("alerted_at").alias("_last"))
         )
         window = F.make_dt_interval(mins=F.lit(cfg.alert_dedup_minutes))
-        free = wanted.join(last, "alert_fingerprint", "left").where(
+        wanted = wanted.join(last, "alert_fingerprint", "left").where(
             c("_last").isNull() | (c(RUN) > c("_last") + window)
-        )
-        sent = sent_alerts(free.select(*key), cfg)
-    sent = sent.withColumn("_sent", F.lit(True))
+        ).select(*key)
+    sent = sent_alerts(wanted, cfg, folders=folders).withColumn("_sent", F.lit(True))
     out = F.coalesce(c("_sent"), F.lit(False))
     return flagged.join(sent, key, "left").select(
         *flagged.columns,

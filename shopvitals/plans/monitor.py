@@ -63,13 +63,13 @@ def decide(
 ) -> DataFrame:
     """Fingerprint, alert or not, and where to. The runs are read twice, so they are written.
 
-    Their folder is added to ``folders`` for the caller to discard when the result is stored.
+    Folders that the result reads are added to ``folders`` for the caller to discard when it is stored.
     """
     flagged = decisions.alert_candidates(decisions.alert_fingerprint(selected, cfg), cfg)
     flagged, folder = materialize_at(flagged, "runs")
     if folders is not None:
         folders.append(folder)
-    return decisions.alert_routing(decisions.alert_suppress(flagged, cfg, history), cfg)
+    return decisions.alert_routing(decisions.alert_suppress(flagged, cfg, history, folders), cfg)
 
 
 def audit_rows(

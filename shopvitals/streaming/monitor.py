@@ -185,8 +185,13 @@ def stream_alert_dedup(
             .select("alert_fingerprint", c(RUN).alias("alerted_at"))
         )
         flagged = batch.select("alert_fingerprint", RUN, F.lit(True).alias("candidate"))
-        decided = decisions.alert_suppress(flagged, cfg, sent)
-        write_days(decided.select(*ALERTS.names), path, number, day_of(c(RUN)))
+        folders: list[str] = []
+        try:
+            decided = decisions.alert_suppress(flagged, cfg, sent, folders)
+            write_days(decided.select(*ALERTS.names), path, number, day_of(c(RUN)))
+        finally:
+            for folder in folders:
+                discard(session, folder)
 
     return (
         candidates.writeStream.foreachBatch(suppress)

@@ -42,7 +42,7 @@ def test_thirty_minutes_suppress_and_thirty_one_do_not(rows):
     assert reasons == {"duplicate_within_window"}
 
 
-@pytest.mark.parametrize("minutes", [30, 600])
+@pytest.mark.parametrize("minutes", [1, 30, 600, 1440, 5000])
 def test_suppression_against_brute_force(rows, minutes):
     """One fingerprint never pauses for days; chains run across midnight."""
     rng = random.Random(3)
@@ -54,6 +54,32 @@ def test_suppression_against_brute_force(rows, minutes):
     assert sent(decided) == greedy(entries, minutes)
 
 
+@pytest.mark.parametrize("minutes", [30, 2000])
+def test_a_dense_fingerprint_is_no_list(spark, minutes):
+    """A fingerprint with 100,000 instants a day and some that come rarely, over three days."""
+    day = 86_400_000_000
+    start = F.lit(int(START.timestamp()) * 1_000_000)
+    dense = spark.range(300_000).select(F.lit("dense").alias("fp"), (start + F.col("id") * (day // 100_000) + F.col("id") % 7).alias("us"))
+    rare = spark.range(300).select(F.concat(F.lit("r"), F.col("id") % 5).alias("fp"), (start + F.pmod(F.xxhash64("id"), F.lit(3 * day))).alias("us"))
+    entries = dense.unionByName(rare)
+    frame = entries.select(F.col("fp").alias("alert_fingerprint"), F.timestamp_micros("us").alias("run_timestamp"))
+    got = decisions.sent_alerts(frame, MonitorConfig(alert_dedup_minutes=minutes))
+    last, want = {}, set()
+    for r in sorted(entries.collect(), key=lambda r: r.us):
+        if r.fp not in last or r.us - last[r.fp] > minutes * 60_000_000:
+            last[r.fp] = r.us
+            want.add((r.fp, r.us))
+    assert {tuple(r) for r in got.select("alert_fingerprint", F.unix_micros("run_timestamp")).collect()} == want
+
+
+def test_steps_are_equality_joins(rows):
+    """Neither a list per fingerprint nor a join of all pairs is in the plans."""
+    steps = decisions._successors(candidates(rows, [("a", START)]), "alert_fingerprint", 1_800_000_000)
+    for frame in (steps, decisions._doubled(steps)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("collect_list", "NestedLoop", "Cartesian"))
+
+
 def test_history_opens_the_chain(rows):
     entries = [("a", START + timedelta(minutes=m)) for m in (0, 16)] + [("b", START)]
     history = rows(
