@@ -70,6 +70,10 @@ FROM (SELECT complaint_id, CAST(substr(complaint_id, 5) AS BIGINT) AS n, 1 AS at
 """
 
 
+#: Stored audit tables by session and folder of test data; queries on movement share one.
+_AUDITS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Inputs:
     """Lazily built inputs of the registered queries."""
 
@@ -161,8 +165,10 @@ class Inputs:
 
     def movement(self, family: str = "b", logs: bool = False) -> dict[str, DataFrame]:
         """The tables that are backed up and loaded, with the log if that is wanted too."""
-        audit = materialize(self.audit(), "audit")  # read by several jobs, replayed once
-        tables = {**self.raw(family), "ai_pipeline_diagnosis": audit}
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _AUDITS:
+            _AUDITS[key] = materialize(self.audit(), "audit")
+        tables = {**self.raw(family), "ai_pipeline_diagnosis": _AUDITS[key]}
         return {**tables, "pipeline_logs": quarantine(self.messages)} if logs else tables
 
     def selected(self) -> DataFrame:

@@ -389,22 +389,46 @@ def _movement(family: str) -> dict[str, str]:
     return {name: "audit" if name == "ai_pipeline_diagnosis" else f"{family}_{name}" for name in _COLUMNS}
 
 
-def _profile(family: str, upper: bool) -> str:
-    rows = []
-    for name, source in _movement(family).items():
-        for k in _COLUMNS[name].split():
-            counts = "count(*), NULL" if k.endswith("_json") else f"count({k}), count(DISTINCT {k})"
-            rows.append(f"SELECT '{name}', '{k.upper() if upper else k}', {counts} FROM {source}")
-    return "SELECT * FROM (" + " UNION ALL ".join(rows) + ") AS p(table_name, column_name, n_values, n_distinct)"
+def _text_of(column: str, family: str) -> str:
+    """A value as the text whose hash is summed up."""
+    if column.endswith("_ts") or column in ("created_at", "run_timestamp", "alerted_at"):
+        return f"strftime(CAST({column} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
+    if column in ("severity", "confidence", "refund_amount") or (column in ("order_amount", "amount") and family == "b"):
+        return f"CAST(CAST({column} AS DECIMAL(38,10)) AS VARCHAR)"
+    if column == "tags":
+        return "CAST(to_json(tags) AS VARCHAR)"
+    return f"CAST({column} AS VARCHAR)"
+
+
+def _digest(text: str) -> str:
+    return f"CAST(sum(CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)::HUGEINT) AS VARCHAR)"
+
+
+def _content_of(name: str, source: str, columns: str, family: str, upper: bool) -> str:
+    rows, texts = [], []
+    for k in sorted(columns.split()):
+        shown = k.upper() if upper else k
+        if k.endswith("_json") or k == "log_id":
+            rows.append(f"SELECT '{name}', '{shown}', count(*), NULL FROM {source}")
+            continue
+        value = _text_of(k, family)
+        texts.append(f"coalesce({value}, '\\N')")
+        rows.append(f"SELECT '{name}', '{shown}', count({k}), {_digest(f"'{k}=' || {value}")} FROM {source}")
+    rows.append(f"SELECT '{name}', '*', count(*), {_digest(f'concat_ws(chr(31), {', '.join(texts)})')} FROM {source}")
+    return " UNION ALL ".join(rows)
+
+
+def _content(family: str, upper: bool, *more: str) -> str:
+    rows = [_content_of(name, source, _COLUMNS[name], family, upper) for name, source in _movement(family).items()]
+    return "SELECT * FROM (" + " UNION ALL ".join([*rows, *more]) + ") AS p(table_name, column_name, n_values, digest)"
 
 
 check(
     "export_csv",
-    _profile("b", False) + """ UNION ALL
-        SELECT 'pipeline_logs', k, CASE WHEN k = 'message' THEN texts ELSE n END,
-               CASE k WHEN 'log_id' THEN n WHEN 'message' THEN texts WHEN 'created_at' THEN times ELSE 1 END
-        FROM (SELECT count(*) AS n, count(*) AS texts, count(DISTINCT received_at) AS times FROM messages WHERE shift >= 2),
-             (SELECT unnest(['log_id', 'component', 'status', 'message', 'created_at']) AS k)""",
+    _content("b", False, _content_of(
+        "pipeline_logs",
+        f"(SELECT 0 AS log_id, 'ingest' AS component, 'error' AS status, message, received_at AS created_at FROM ({_logged}))",
+        "log_id component status message created_at", "b", False)),
 )
 check(
     "backup_parquet",
@@ -417,12 +441,35 @@ check(
     "scan_backup_day",
     "SELECT order_id, customer_id, order_ts, CAST(order_amount AS DOUBLE) AS order_amount FROM b_raw_orders",
 )
-check("warehouse_refresh", _profile("a", True))
-check(
-    "clean_for_load",
-    _profile("b", True) + """ UNION ALL
-        SELECT 'raw_orders', order_id, CAST(floor(epoch(order_ts)) AS BIGINT), 26 FROM b_raw_orders""",
+check("warehouse_refresh", _content("a", True))
+check("clean_for_load", _content("b", True))
+check(
+    "cleaned_orders",
+    """SELECT order_id AS "ORDER_ID", customer_id AS "CUSTOMER_ID", city AS "CITY",
+              strftime(order_ts, '%Y-%m-%d %H:%M:%S.%f') AS "ORDER_TS", CAST(order_amount AS DOUBLE) AS "ORDER_AMOUNT",
+              order_status AS "ORDER_STATUS", strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS "CREATED_AT" FROM b_raw_orders""",
+)
+_WRONG = {
+    "swapped": "(SELECT * REPLACE (payment_status AS payment_method, payment_method AS payment_status) FROM b_raw_payments)",
+    "rounded": "(SELECT * REPLACE (CASE WHEN payment_id LIKE '%7' THEN round(amount, 0) ELSE amount END AS amount) FROM b_raw_payments)",
+    "shifted": "(SELECT * REPLACE (CASE WHEN payment_id LIKE '%7' THEN date_trunc('second', payment_ts) ELSE payment_ts END AS payment_ts) "
+               "FROM b_raw_payments)",
+    "traded": "(SELECT * FROM b_raw_payments WHERE payment_id <> (SELECT max(payment_id) FROM b_raw_payments) UNION ALL "
+              "SELECT * FROM b_raw_payments WHERE payment_id = (SELECT min(payment_id) FROM b_raw_payments))",
+}
+_loaded_right = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{k}' AS column_name, {n} AS n_source, {n} AS n_loaded, TRUE AS ok FROM {source}"
+    for name, source in _movement("a").items()
+    for k, n in [("*", "count(*)"), *((k, "count(*)" if k.endswith("_json") else f"count({k})") for k in _COLUMNS[name].split())]
+)
+_loaded_wrong = " UNION ALL ".join(
+    f"""SELECT t.table_name, t.column_name, s.n_values, t.n_values, s.digest IS NOT DISTINCT FROM t.digest
+        FROM ({_content_of(name, source, _COLUMNS['raw_payments'], 'b', False)}) AS t(table_name, column_name, n_values, digest)
+        JOIN ({_content_of(name, 'b_raw_payments', _COLUMNS['raw_payments'], 'b', False)}) AS s(table_name, column_name, n_values, digest)
+        USING (column_name)"""
+    for name, source in _WRONG.items()
 )
+check("verify_content", f"{_loaded_right} UNION ALL {_loaded_wrong}")
 check(
     "verify_counts",
     " UNION ALL ".join(
@@ -493,19 +540,13 @@ check(
             ("orders", "a_raw_orders", "order_id customer_id city order_ts order_amount order_status created_at"),
             ("payments", "a_raw_payments", "payment_id order_id payment_ts payment_method payment_status amount failure_reason created_at"),
             ("deliveries", "a_raw_deliveries", "delivery_id order_id city delivery_partner promised_minutes actual_minutes delivery_status created_at"),
-            ("complaints", "a_complaint_events", "complaint_id order_id complaint_ts complaint_text created_at"),
+            ("complaints", "a_raw_complaints", "complaint_id order_id complaint_ts complaint_text created_at ai_category ai_severity "
+                                               "customer_emotion business_impact recommended_action"),
             ("refunds", "a_raw_refunds", "refund_id order_id refund_ts refund_amount refund_reason created_at"),
         )
         for k in columns.split()
     ),
 )
-check(
-    "dq_not_null_labels",
-    " UNION ALL ".join(
-        f"SELECT 'raw_complaints' AS table_name, '{k}' AS column_name, 'not_null' AS test, count(*) FILTER ({k} IS NULL) AS failures FROM a_raw_complaints"
-        for k in ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
-    ),
-)
 check(
     "dq_accepted_values",
     " UNION ALL ".join(
@@ -661,6 +702,7 @@ check(
     """SELECT alert_fingerprint, run_timestamp, should_alert, suppression_reason
        FROM decided WHERE candidate""",
 )
+check("stream_alert_gate", "SELECT alert_fingerprint, run_timestamp, should_alert, suppression_reason FROM decided WHERE candidate")
 check(
     "late_policy",
     """SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS rows, 0 AS late_rows, max(ts) AS max_event_ts

@@ -16,9 +16,10 @@ from shopvitals.operators import (
 )
 from shopvitals.operators.features import RUN
 from shopvitals.plans import dashboards, monitor, warehouse
-from shopvitals.session import shared_dir
+from shopvitals.session import pin_streaming, shared_dir
 from shopvitals.sources.tables import scan_backup
 from shopvitals.sources.topics import fixture_messages
+from shopvitals.streaming import gate as stream_gate
 from shopvitals.streaming import ingest as stream_ingest_jobs
 from shopvitals.streaming import monitor as stream_monitor
 from shopvitals.streaming import windows as stream_windows
@@ -27,7 +28,6 @@ from shopvitals.streaming.sinks import read_table
 c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-LABELS = ("ai_category", "ai_severity", "customer_emotion", "business_impact", "recommended_action")
 RUN_AT = datetime(2024, 2, 1, 6, 30, 0)  # when the backups of these queries are taken
 AS_OF = "2024-01-15 12:00:00"
 
@@ -615,30 +615,28 @@ def _root(inputs: Inputs, label: str) -> str:
     return shared_dir(inputs.spark, label)
 
 
-def _profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, column_name, n_values, n_distinct) of every column; JSON columns are only counted."""
+def _content(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, n_values, digest) of every column and of whole rows, but for generated text.
+
+    JSON text and the ids of log rows, which SQL does not form, are only counted.
+    """
     parts = None
     for name, table in tables.items():
-        counted = []
-        for column in table.columns:
-            distinct = F.lit(None).cast("bigint") if column.lower().endswith("_json") else F.count_distinct(column)
-            counted.append(F.struct(
-                F.lit(name).alias("table_name"), F.lit(column).alias("column_name"),
-                F.count(column).alias("n_values"), distinct.alias("n_distinct"),
-            ))
-        rows = table.agg(F.array(*counted).alias("columns")).select(F.inline("columns"))
+        generated = [column for column in table.columns if column.lower().endswith("_json") or column.lower() == "log_id"]
+        counted = sinks.content(table).where(c("column_name").isin(*generated)).withColumn("digest", F.lit(None).cast("string"))
+        rows = sinks.content(table.drop(*generated))
+        rows = (rows.unionByName(counted) if generated else rows).withColumn("table_name", F.lit(name))
         parts = rows if parts is None else parts.unionByName(rows)
     return parts
 
 
 @query
 def export_csv(inputs):
-    """All seven tables as read back from their CSV export."""
+    """The content of all seven tables as read back from their CSV export."""
     root = _root(inputs, "csv")
     tables = inputs.movement(logs=True)
     sinks.export_csv(tables, root)
-    reader = inputs.spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-    return _profile({name: reader.csv(f"{root}/{name}") for name in tables})
+    return _content({name: sinks.read_csv(inputs.spark, f"{root}/{name}", table.schema) for name, table in tables.items()})
 
 
 @query
@@ -676,23 +674,48 @@ def _loaded(inputs: Inputs, root: str, tables: dict[str, DataFrame]) -> dict[str
 
 @query
 def warehouse_refresh(inputs):
-    """All six tables in the warehouse after two refreshes."""
+    """The content of all six tables in the warehouse after two refreshes."""
     root = _root(inputs, "warehouse")
     tables = inputs.movement("a")
     for _ in range(2):
         sinks.warehouse_refresh(tables, root)
-    return _profile(_loaded(inputs, root, tables))
+    return _content(_loaded(inputs, root, tables))
 
 
 @query
 def clean_for_load(inputs):
-    """The rows of the orders, and every column of all six tables."""
-    cleaned = {name: sinks.clean_for_load(table) for name, table in inputs.movement().items()}
-    orders = cleaned["raw_orders"].select(
-        F.lit("raw_orders").alias("table_name"), c("ORDER_ID").alias("column_name"),
-        F.unix_seconds(c("ORDER_TS").cast("timestamp")).alias("n_values"), F.length("CREATED_AT").cast("bigint").alias("n_distinct"),
-    )
-    return _profile(cleaned).unionByName(orders)
+    """The content of all six tables in their warehouse form."""
+    return _content({name: sinks.clean_for_load(table) for name, table in inputs.movement().items()})
+
+
+@query
+def cleaned_orders(inputs):
+    """Every value of the cleaned orders."""
+    return sinks.clean_for_load(inputs.view("b_raw_orders"))
+
+
+@query
+def verify_content(inputs):
+    """The loaded tables against their source, and payments against a load that went wrong.
+
+    In the wrong ones two columns are swapped, amounts are rounded, instants have lost their microseconds,
+    and one row is there twice while another one is lost.
+    """
+    root = _root(inputs, "warehouse")
+    tables = inputs.movement("a")
+    sinks.warehouse_refresh(tables, root)
+    payments = inputs.view("b_raw_payments")
+    some = c("payment_id").endswith("7")
+    ends = payments.agg(F.min("payment_id").alias("least"), F.max("payment_id").alias("most")).first()
+    wrong = {
+        "swapped": payments.withColumns({"payment_method": c("payment_status"), "payment_status": c("payment_method")}),
+        "rounded": payments.withColumn("amount", F.when(some, F.round("amount", 0)).otherwise(c("amount"))),
+        "shifted": payments.withColumn("payment_ts", F.when(some, F.date_trunc("second", "payment_ts")).otherwise(c("payment_ts"))),
+        "traded": payments.where(c("payment_id") != ends["most"]).unionByName(payments.where(c("payment_id") == ends["least"])),
+    }
+    source = {**tables, **dict.fromkeys(wrong, payments)}
+    loaded = {**_loaded(inputs, root, tables), **{name: sinks.clean_for_load(table) for name, table in wrong.items()}}
+    return sinks.verify_content(source, loaded)
 
 
 @query
@@ -758,22 +781,14 @@ def dq_unique(inputs):
 
 @query
 def dq_not_null(inputs):
-    """Every column of every raw table but the labels of complaints."""
+    """Every column of every raw table."""
     parts = None
     for name, table in inputs.raw("a").items():
-        columns = [column for column in table.columns if column not in LABELS]
-        rows = quality.dq_not_null(table, columns).withColumn("table_name", F.lit(name))
+        rows = quality.dq_not_null(table, table.columns).withColumn("table_name", F.lit(name))
         parts = rows if parts is None else parts.unionByName(rows)
     return parts
 
 
-@query
-def dq_not_null_labels(inputs):
-    """The label columns of the complaints, which ``dq_not_null`` leaves out."""
-    labelled = inputs.raw("a", "raw_complaints")["raw_complaints"]
-    return quality.dq_not_null(labelled, LABELS).withColumn("table_name", F.lit("raw_complaints"))
-
-
 @query
 def dq_accepted_values(inputs):
     """Statuses, methods, partners, reasons and labels of the raw tables."""
@@ -918,6 +933,28 @@ def stream_alert_dedup(inputs):
     return read_table(inputs.spark, f"{root}/out", stream_monitor.ALERTS)
 
 
+@query
+def stream_alert_gate(inputs):
+    """Suppression in operator state over the replay's candidates, which come in three shuffled parts."""
+    root = _root(inputs, "gate")
+    flagged = decisions.alert_candidates(decisions.alert_fingerprint(inputs.selected()))
+    rows = flagged.where("candidate").select("alert_fingerprint", RUN)
+    placed = rows.withColumn("part", F.pmod(F.xxhash64("alert_fingerprint", RUN), F.lit(3)))
+    placed.write.partitionBy("part").parquet(f"{root}/candidates")
+    stored = inputs.spark.read.schema(rows.schema).parquet(f"{root}/candidates")
+    span = stored.agg(F.max(RUN).alias("last"), F.date_diff(F.max(RUN), F.min(RUN)).alias("days")).first()
+    days = (span["days"] or 0) + 2
+    # A candidate of no alert, long after the others, lets the stream decide them all.
+    end = stored.groupBy().agg(F.lit("end").alias("alert_fingerprint"), (F.max(RUN) + F.make_dt_interval(F.lit(2 * days))).alias(RUN))
+    end.where(c(RUN).isNotNull()).write.parquet(f"{root}/candidates/part=3")
+    parts = ["part=0", "part=1", "part=2", "part=3"]
+    for part in parts:  # one part after another, by one stream that is started anew
+        stream = pin_streaming(inputs.spark).readStream.schema(rows.schema).parquet(f"{root}/candidates/{{{','.join(parts[:parts.index(part) + 1])}}}")
+        decided = stream_gate.stream_alert_gate(stream, f"{days} days")
+        stream_windows.append_parquet(decided, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return inputs.spark.read.parquet(f"{root}/out")
+
+
 @query
 def late_policy(inputs):
     """Batches of a stream whose second part arrives late, with the rows that came too late."""

@@ -8,7 +8,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shopvitals.session import discard, side_by_side
 
@@ -23,6 +23,88 @@ def stored_kb(spark: SparkSession, path: str) -> float:
     return files.agg(F.round(F.sum("length") / 1024, 1).alias("kb")).first()["kb"] or 0.0
 
 
+# ----------------------------------------------------------------------- content
+#
+# A table's content is told by sums of hashes of its values, each salted with its column's name,
+# and of its whole rows. Sums do not depend on order, add up over parts, and can be taken while a
+# table is written. A changed, moved, repeated or lost value changes its column's sum and the rows'.
+
+ROWS = "*"
+CONTENT = "column_name string, n_values bigint, digest string"
+
+
+def _plain(f: T.StructField) -> Column:
+    """A value as text that does not depend on whether it has been loaded: instants to the microsecond, ten decimals."""
+    if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return c(f.name).cast("decimal(38,10)").cast("string")
+    if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(f.name)
+    return c(f.name).cast("string")
+
+
+def _hash(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def _sums(table: DataFrame) -> list[Column]:
+    """n_0, d_0 of the rows, then of each column: how many values and the sum of their hashes."""
+    texts = [_plain(f) for f in table.schema]
+    ordered = sorted(zip([f.name.lower() for f in table.schema], texts), key=lambda named: named[0])
+    row = F.concat_ws("\x1f", *[F.coalesce(text, F.lit("\\N")) for _, text in ordered])
+    out = [F.count("*").alias("n_0"), F.sum(_hash(row)).alias("d_0")]
+    for i, (f, text) in enumerate(zip(table.schema, texts), 1):
+        out += [
+            F.count(text).alias(f"n_{i}"),
+            F.sum(_hash(F.concat(F.lit(f"{f.name.lower()}="), text))).alias(f"d_{i}"),
+        ]
+    return out
+
+
+def _content_rows(table: DataFrame, sums: Mapping) -> list[tuple[str, int, str]]:
+    names = [ROWS, *table.columns]
+    return [(name, sums[f"n_{i}"], None if sums[f"d_{i}"] is None else f"{sums[f'd_{i}']:.0f}") for i, name in enumerate(names)]
+
+
+def content(table: DataFrame) -> DataFrame:
+    """(column_name, n_values, digest) of every column, and of whole rows as ``*``; one scan, one row of sums.
+
+    Digests of a table and of the same rows in another order, with columns in another order or names in
+    another case, are equal; that of a column without values is NULL.
+    """
+    sums = table.agg(*_sums(table))
+    rows = [
+        F.struct(F.lit(name).alias("column_name"), c(f"n_{i}").alias("n_values"), c(f"d_{i}").cast("string").alias("digest"))
+        for i, name in enumerate([ROWS, *table.columns])
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+def verify_content(source: Mapping[str, DataFrame], loaded: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, n_source, n_loaded, ok): do the loaded tables hold what was to be loaded?
+
+    Columns are compared by name without case, whole rows as ``*``; a column that one side lacks is
+    not ok. ``source`` is taken in its loaded form (``clean_for_load``).
+    """
+
+    def every(tables: Mapping[str, DataFrame], side: str) -> DataFrame:
+        parts = [
+            content(table).select(
+                F.lit(name).alias("table_name"), F.lower("column_name").alias("column_name"),
+                c("n_values").alias(f"n_{side}"), F.coalesce("digest", F.lit("")).alias(f"_{side}"),
+            )
+            for name, table in tables.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    wanted = every({name: clean_for_load(table) for name, table in source.items()}, "source")
+    both = wanted.join(every(loaded, "loaded"), ["table_name", "column_name"], "full")
+    return both.select(
+        "table_name", "column_name", "n_source", "n_loaded", c("_source").eqNullSafe(c("_loaded")).alias("ok")
+    )
+
+
 def _written(name: str, frame: DataFrame, path: str, write) -> tuple:
     """Write a table, counting its rows on the way; the result is a summary row."""
     rows = Observation()
@@ -60,7 +142,9 @@ def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _switch(name: str, frame: DataFrame, path: str) -> tuple:
-    """Write a new version beside the current one, check its count, then let readers see it.
+    """Write a new version beside the current one, check its content, then let readers see it.
+
+    The content is summed up while it is written, and once more from what is stored.
 
     A refresh that fails or is empty leaves the current version as it is. The version before the
     current one stays for readers that are still on it; older ones are removed.
@@ -69,17 +153,20 @@ def _switch(name: str, frame: DataFrame, path: str) -> tuple:
     try:
         old = _current(spark, path)
         folder = f"{path}/versions/{old + 1}"
-        row = _written(name, frame, folder, lambda rows: rows.write.mode("overwrite").parquet(folder))
-        if row[1] == 0:
+        given = Observation()
+        frame.observe(given, *_sums(frame)).write.mode("overwrite").parquet(folder)
+        n = given.get["n_0"]
+        if n == 0:
             discard(spark, folder)
             return (name, 0, 0.0, path, "skipped")
-        stored = spark.read.parquet(folder).count()
-        if stored != row[1]:
-            return (name, stored, row[2], path, f"failed: {row[1]} rows written, {stored} stored")
-        spark.createDataFrame([(old + 1, stored)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
+        kept = spark.read.parquet(folder)
+        wanted, found = _content_rows(frame, given.get), _content_rows(kept, kept.agg(*_sums(kept)).first())
+        if wrong := [column for (column, *_), other in zip(wanted, found) if (column, *_) != other]:
+            return (name, found[0][1], None, path, f"failed: content of {', '.join(wrong)} is not what was written")
+        spark.createDataFrame([(old + 1, n)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
         if old > 1:
             discard(spark, f"{path}/versions/{old - 1}")
-        return (name, stored, row[2], path, "success")
+        return (name, n, stored_kb(spark, folder), path, "success")
     except (PySparkException, Py4JJavaError) as error:
         return (name, None, None, path, f"failed: {type(error).__name__}")
 
@@ -98,6 +185,23 @@ def _as_text(frame: DataFrame) -> list:
     ]
 
 
+#: How tables are written and read as CSV: instants to the microsecond, an empty text apart from no value.
+CSV = {
+    "header": True, "escape": '"', "multiLine": True, "emptyValue": '""', "nullValue": "",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "lineSep": "\n",
+}
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An exported table under the schema it had; nested values stay JSON text."""
+    flat = T.StructType([
+        T.StructField(f.name, T.StringType())
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else T.StructField(f.name, f.dataType)
+        for f in schema
+    ])
+    return spark.read.schema(flat).options(**CSV).csv(path)
+
+
 def export_csv(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Each table as CSV files with a header under ``root/<table>``."""
 
@@ -105,7 +209,7 @@ def export_csv(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
         path, table = f"{root}/{name}", tables[name]
 
         def write(rows: DataFrame) -> None:
-            rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+            rows.write.mode("overwrite").options(**CSV).csv(path)
 
         return _written(name, table.select(*_as_text(table)), path, write)
 
