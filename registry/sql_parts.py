@@ -265,10 +265,14 @@ QUARTER = "INTERVAL 15 MINUTE"
 
 
 def ticks(source: str) -> str:
+    """Quarter hours from the first to the last event, on days with events and on two days after each."""
     return f"""
-        SELECT unnest(generate_series(lo + {QUARTER}, hi + {QUARTER}, {QUARTER})) AS run_timestamp
-        FROM (SELECT time_bucket({QUARTER}, min(ts)) AS lo, time_bucket({QUARTER}, max(ts)) AS hi
-              FROM ({source}))"""
+        SELECT run_timestamp FROM (
+          SELECT unnest(generate_series(lo + {QUARTER}, hi + {QUARTER}, {QUARTER})) AS run_timestamp
+          FROM (SELECT time_bucket({QUARTER}, min(ts)) AS lo, time_bucket({QUARTER}, max(ts)) AS hi
+                FROM ({source}))) AS every
+        WHERE CAST(run_timestamp AS DATE) IN (
+          SELECT CAST(CAST(ts AS DATE) + CAST(d AS INTEGER) AS DATE) FROM ({source}) AS s, (SELECT unnest([0, 1, 2]) AS d) AS days)"""
 
 
 _TIMES = {

@@ -56,6 +56,11 @@ class MonitorConfig:
     def payment_probe_cells(self) -> int:
         return _cells(self.payment_probe_hours * 3600)
 
+    @property
+    def quiet_days(self) -> int:
+        """Days after a day with activity that are still evaluated: the baseline's, and one more."""
+        return -(-self.baseline_hours // 24) + 1
+
 
 def _cells(seconds: int) -> int:
     if seconds <= 0 or seconds % CELL_SECONDS:

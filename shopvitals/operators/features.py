@@ -119,22 +119,29 @@ def cells(rows: DataFrame) -> DataFrame:
     )
 
 
-def ticks(cell_rows: DataFrame) -> DataFrame:
-    """Every evaluation instant from the first cell's end to the last cell's end.
+def ticks(
+    cell_rows: DataFrame, cfg: MonitorConfig = DEFAULT, first: int | None = None, last: int | None = None
+) -> DataFrame:
+    """Every evaluation instant from the first cell's end to the last cell's end, quiet days left out.
 
-    One row per quarter hour of calendar time, whether or not anything happened in it. The days
-    are laid out first and dealt to the tasks, which lay out the quarter hours of theirs; so one
-    event far away makes the calendar long but no row large.
+    One row per quarter hour of the days that have a cell and of ``cfg.quiet_days`` after each, whether
+    or not anything happened in it; later ones would see neither activity nor a baseline. So what a
+    calendar costs follows the days with events, and one event far away adds a few days. ``first`` and
+    ``last`` number the quarter hours to lay out at most. Days are dealt to the tasks, which lay out theirs.
     """
-    bounds = cell_rows.agg(F.min("cell").alias("first"), F.max("cell").alias("last"))
-    days = bounds.where(c("first").isNotNull()).select(
-        "first", "last",
-        F.explode(F.sequence(F.floor((c("first") + 1) / 96), F.floor((c("last") + 1) / 96))).alias("day"),
-    )
-    cells_of_day = F.sequence(
-        F.greatest(c("first") + 1, c("day") * 96), F.least(c("last") + 1, c("day") * 96 + 95)
+    # The key hangs on columns: as a mere constant it would be folded out of the join on it.
+    bounds = cell_rows.agg(F.min("cell").alias("_first"), F.max("cell").alias("_last")).select(
+        F.greatest(c("_first") + 1, F.lit(first).cast("bigint")).alias("first"),
+        F.least(c("_last") + 1, F.lit(last).cast("bigint")).alias("last"),
+        F.when(c("_first").isNotNull(), 1).alias("all"),
     )
-    return days.repartition("day").select(F.explode(F.transform(cells_of_day, tick_time)).alias(RUN))
+    active = cell_rows.select(F.floor(c("cell") / 96).alias("_day")).distinct()
+    days = active.select(F.explode(F.sequence(c("_day"), c("_day") + cfg.quiet_days)).alias("day")).distinct()
+    start, end = c("day") * 96, c("day") * 96 + 95
+    due = days.withColumn("all", F.when(c("day").isNotNull(), 1)).join(F.broadcast(bounds), "all")
+    due = due.where((c("first") <= end) & (c("last") >= start))
+    cells_of_day = F.sequence(F.greatest("first", start), F.least("last", end))
+    return due.select(F.explode(F.transform(cells_of_day, tick_time)).alias(RUN))
 
 
 def serve_ticks(cell_rows: DataFrame, window_cells: int) -> DataFrame:
@@ -279,7 +286,7 @@ def snapshot(windows: DataFrame, runs: DataFrame | None, cfg: MonitorConfig = DE
 
 def features_replay(cell_rows: DataFrame, cfg: MonitorConfig = DEFAULT) -> DataFrame:
     """Snapshots at every tick of the history."""
-    return snapshot(windowed(cell_rows, cfg.window_cells), ticks(cell_rows), cfg)
+    return snapshot(windowed(cell_rows, cfg.window_cells), ticks(cell_rows, cfg), cfg)
 
 
 def features_as_of(
@@ -306,7 +313,7 @@ def probe_recent_orders(order_cells: DataFrame, cfg: MonitorConfig = DEFAULT) ->
     counts = windowed(order_cells.where(c("domain") == "orders"), cfg.recent_orders_cells)
     per_run = counts.groupBy(RUN).agg(F.sum("n").alias("_n"))
     return (
-        ticks(order_cells)
+        ticks(order_cells, cfg)
         .join(per_run, RUN, "left")
         .select(RUN, F.coalesce("_n", F.lit(0)).alias("orders_count"))
         .withColumn("low_volume", c("orders_count") < cfg.min_expected_orders)
@@ -321,7 +328,7 @@ def probe_payment_failure(payment_cells: DataFrame, cfg: MonitorConfig = DEFAULT
         c("_hits").cast("double") / F.nullif(c("_n"), F.lit(0)).cast("double"), F.lit(0.0)
     )
     return (
-        ticks(payment_cells)
+        ticks(payment_cells, cfg)
         .join(per_run, RUN, "left")
         .select(
             RUN,

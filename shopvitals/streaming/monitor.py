@@ -9,7 +9,7 @@ from shopvitals import schemas
 from shopvitals.config import CELL_SECONDS, DEFAULT, MonitorConfig
 from shopvitals.functions.time import cell_of, tick_time
 from shopvitals.operators import anomalies, decisions
-from shopvitals.operators.features import RUN, snapshot, windowed
+from shopvitals.operators.features import RUN, snapshot, ticks, windowed
 from shopvitals.plans.monitor import audit_rows
 from shopvitals.session import discard
 from shopvitals.streaming.sinks import (
@@ -45,6 +45,30 @@ ALERTS = T.StructType(
 )
 
 
+#: How far an event may be dated ahead of the clock and still count.
+AHEAD = "1 day"
+
+
+def not_ahead(rows: DataFrame, bound: str = AHEAD) -> DataFrame:
+    """Rows that are not dated further ahead of the clock than ``bound``.
+
+    One far event would carry the watermark with it, and every row after it would come too late.
+    """
+    return rows.where(c("event_ts") <= F.current_timestamp() + F.expr(f"INTERVAL {bound}"))
+
+
+def stream_ahead(
+    rows: DataFrame, path: str, checkpoint: str, bound: str = AHEAD, trigger: dict | None = None
+) -> StreamingQuery:
+    """Quarantine for what ``not_ahead`` leaves out: rows dated too far ahead, with the time they were seen at."""
+    seen = rows.withColumn("seen_at", F.current_timestamp())
+    return (
+        seen.where(c("event_ts") > c("seen_at") + F.expr(f"INTERVAL {bound}"))
+        .writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
 def closed_cells(rows: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Activity cells, each emitted once, when the watermark has passed its end."""
     return (
@@ -74,9 +98,13 @@ def stream_doctor(
     cfg: MonitorConfig = DEFAULT,
     trigger: dict | None = None,
     responses: DataFrame | None = None,
+    ahead: str = AHEAD,
 ) -> StreamingQuery:
     """Diagnose every tick once its cells are closed, and append the audit rows.
 
+    Rows dated further ahead of the clock than ``ahead`` do not count (``stream_ahead`` keeps them), and quiet
+    days are left out as a replay leaves them out (``ticks``).
+
     A batch stores the cells it closes, then evaluates the ticks they complete against the
     last day of stored cells with the same operators a replay uses. Alerts sent by earlier batches
     open the suppression. Cells and audit rows lie in a folder per day, and each batch notes the
@@ -104,17 +132,21 @@ def stream_doctor(
         done = None if noted is None else noted["cell"]
         last = max((x for x in (done, span["last"]) if x is not None), default=None)
         if span["first"] is not None:
-            diagnose(session, number, span["first"] + 1 if done is None else done + 2, last + 1)
+            diagnose(session, number, span["first"] + 1 if done is None else done + 2, last + 1, done)
         write_batch(session.createDataFrame([(last,)], LAST_CELL).coalesce(1), progress, number)
 
-    def diagnose(session: SparkSession, number: int, first_tick: int, last_tick: int) -> None:
+    def diagnose(session: SparkSession, number: int, first_tick: int, last_tick: int, done: int | None) -> None:
         if first_tick > last_tick:
             return
         oldest = first_tick - cfg.baseline_cells
         recent = read_days(
             session, cells_path, CELLS, oldest // CELLS_A_DAY, last_tick // CELLS_A_DAY, number + 1
         ).where(c("cell") >= oldest)
-        runs = session.range(first_tick, last_tick + 1).select(tick_time(c("id")).alias(RUN))
+        # The last cell of the batches before tells which quiet days still belong to a busy one.
+        known = recent.where(c("cell") >= first_tick - 1).select("cell")
+        if done is not None:
+            known = known.unionByName(session.createDataFrame([(done,)], LAST_CELL))
+        runs = ticks(known, cfg, first_tick, last_tick)
         due = (
             (c(RUN) >= tick_time(F.lit(first_tick))) & (c(RUN) <= tick_time(F.lit(last_tick)))
         )
@@ -138,7 +170,7 @@ def stream_doctor(
                 discard(session, folder)
 
     return (
-        closed_cells(rows, delay)
+        closed_cells(not_ahead(rows, ahead), delay)
         .writeStream.outputMode("append")
         .foreachBatch(evaluate)
         .option("checkpointLocation", checkpoint)

@@ -311,3 +311,29 @@ def test_a_single_run_joins_on_equality(raw):
     for as_of in ("2024-03-01 02:00:00", None):
         plan = monitor.reports_as_of(rows, as_of=as_of)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_quiet_days_are_left_out_and_bounds_hold(rows):
+    from shopvitals.operators.features import ticks
+
+    day = 96
+    cells = [5, 7, 3 * day + 10, 280_000_000]  # the last is far in the future
+    frame = rows([(x,) for x in cells], "cell bigint")
+    got = sorted(r["n"] for r in ticks(frame).select((F.unix_seconds("run_timestamp") / 900).cast("bigint").alias("n")).collect())
+    busy = {d for x in cells for d in range(x // day, x // day + 3)}
+    assert got == [n for n in range(6, 6 * day) if n // day in busy] + [
+        n for n in range(280_000_000 // day * day, 280_000_002) if n // day in busy]
+    some = ticks(frame, first=20, last=40).select((F.unix_seconds("run_timestamp") / 900).cast("bigint").alias("n")).collect()
+    assert sorted(r["n"] for r in some) == list(range(20, 41))
+    assert ticks(rows([], "cell bigint")).count() == 0
+
+
+def test_one_event_far_ahead_does_not_stretch_a_replay(spark):
+    inputs = Inputs(spark, TESTDATA)
+    cells = inputs.cells()
+    plain = features.features_replay(cells)
+    far = cells.limit(1).withColumn("cell", F.lit(280_000_000).cast("bigint"))
+    stretched = features.features_replay(cells.unionByName(far))
+    assert stretched.count() <= plain.count() + 4 * 96
+    last = plain.agg(F.max("run_timestamp").alias("t")).first()["t"]
+    assert stretched.where(F.col("run_timestamp") <= F.lit(last)).exceptAll(plain).isEmpty()

@@ -255,3 +255,28 @@ def test_partitions_keep_the_earliest_over_many_batches():
         want[key] = min(want.get(key, (True, 0, 0)[:0] or (2,)), (not held, at, place))
     assert {r.event_key: (not r.held, r.at_us, r.place) for r in got.itertuples()} == want
     assert list(ingest._earliest_of_partition(iter([]))) == []
+
+
+def test_an_event_far_ahead_closes_nothing(rows, spark, tmp_path):
+    """The clock guard keeps it from the watermark, and the quarantine keeps the row."""
+    schema = "event_ts timestamp, domain string, label string, hit boolean, ok boolean, revenue decimal(32,10), delay int"
+    source = f"{tmp_path}/in"
+
+    def arrive(*times):
+        rows([(t, "orders", "x", False, False, None, None) for t in times], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = lambda: spark.readStream.schema(rows([], schema).schema).parquet(source)
+        stream_monitor.stream_doctor(stream(), f"{tmp_path}/out", f"{tmp_path}/c1").awaitTermination()
+        stream_monitor.stream_ahead(stream(), f"{tmp_path}/ahead", f"{tmp_path}/c2").awaitTermination()
+        audit = read_table(spark, f"{tmp_path}/out/ai_pipeline_diagnosis", schemas.DIAGNOSES)
+        return audit.count(), spark.read.parquet(f"{tmp_path}/ahead").count()
+
+    arrive("2024-01-01 10:00:00", "2024-01-01 12:00:00", "9954-01-01 00:00:00")
+    assert run() == (1, 1)
+    arrive("2024-01-01 13:00:00", "2024-01-01 15:00:00")
+    first = run()
+    assert first == (13, 1)
+    arrive("2024-03-01 10:00:00", "2024-03-01 12:00:00")  # two quiet months: their ticks are left out
+    total, _ = run()
+    assert total <= 13 + 4 * 96
