@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shopvitals.session import discard, materialize_at
@@ -62,6 +63,34 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+#: Bits of the map that tells which rows a join can do without, a multiple of 32,768: eight megabytes.
+MAP_BITS = 1 << 26
+
+
+def may_be_in(keys: list[Column], table: DataFrame, names: list[str], bits: int = MAP_BITS) -> Column:
+    """Whether a row's ``keys`` may be among those of ``table`` (columns ``names``); never false for one that is.
+
+    A bit map of a fixed size is broadcast, whatever the table's: a larger table only makes it
+    say yes more often. So a join with a table that grows is fed the rows it concerns and few others.
+    """
+    spark = table.sparkSession
+    at = F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+    parts = table.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("n")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map")
+    )
+    found = np.zeros(bits // 8, np.uint8)
+    for row in parts.collect():  # at most bits / 32,768 rows of 4 KB
+        found[(row.n - 1) * 4096 : row.n * 4096] = np.frombuffer(bytes(row["map"]), np.uint8)
+    shared = spark.sparkContext.broadcast(found)
+
+    @F.pandas_udf("boolean")
+    def held(at: pd.Series) -> pd.Series:
+        i = at.to_numpy(np.int64)
+        return pd.Series((shared.value[i >> 3] >> (i & 7).astype(np.uint8)) & 1 == 1)
+
+    return held(F.pmod(F.xxhash64(*keys), F.lit(bits)))
+
+
 def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """The least member of each of ``n`` nodes' component under the links u-v."""
     root = np.arange(n)

@@ -180,7 +180,8 @@ def mixed(documents: DataFrame, **options) -> DataFrame:
     chosen = taken.groupBy("doc_id", "row").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     chosen = chosen.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
     named = documents.withColumn("_named", F.xxhash64("doc_id", "source", "text"))
-    joined = named.join(chosen, named.doc_id.eqNullSafe(F.col("_id")) & (F.col("_named") == F.col("_row")))
+    # One row per document: the table grows with them, so it is never broadcast.
+    joined = named.join(chosen.hint("merge"), named.doc_id.eqNullSafe(F.col("_id")) & (F.col("_named") == F.col("_row")))
     # rows that repeat in every way share their copies; the first ones get what does not divide
     place = F.row_number().over(Window.partitionBy("_id", "_row").orderBy(F.lit(0)))
     alone = joined.where(F.col("_rows") == 1).withColumn("_times", F.col("_copies"))

@@ -17,7 +17,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopvitals.llm.common import attach, components_at, forest, shuffle_partitions, small_batches, whole_text
+from shopvitals.llm.common import attach, components_at, may_be_in, shuffle_partitions, small_batches, whole_text
 from shopvitals.llm.simhash import SEED, links_at, majority, shingle_hashes
 from shopvitals.session import discard, materialize_at
 
@@ -295,7 +295,8 @@ def dropped(documents: DataFrame, words: int = 5, tenths: int = 8) -> DataFrame:
         nodes.join(blocks.select("node").unionByName(cells.select("node")).distinct(), "node", "left_semi").select("node", "least.doc_id"),
         "wanted",
     )
-    texts = named.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = wanted.select("doc_id").distinct()
+    texts = named.where(may_be_in([F.col("doc_id")], ids, ["doc_id"])).join(ids.hint("merge"), "doc_id", "left_semi")
     sets = with_sets(texts, words).join(wanted.select("node"), "node", "left_semi")
     sets = kept(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
@@ -325,14 +326,14 @@ def without_near_copies(documents: DataFrame, words: int = 5, tenths: int = 8) -
     that repeat an id with other texts are documents of their own.
     """
     out = dropped(documents, words, tenths)
-    names = documents.columns
-    digest = _digest(F.col("text"))
-    left = documents.where(F.col("doc_id").isNotNull()).withColumn("_digest", digest)
+    names, key = documents.columns, ["doc_id", "_digest"]
+    rows = documents.where(F.col("doc_id").isNotNull()).withColumn("_digest", _digest(F.col("text")))
     gone = out.select("doc_id", F.col("digest").alias("_digest"))
-    left = left.join(gone, ["doc_id", "_digest"], "left_anti")
-    rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", digest.alias("_digest"))
-    twice, _ = materialize_at(rows.groupBy("doc_id", "_digest").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
-    if not twice.isEmpty():
-        again = left.join(twice, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"])
-        left = left.join(twice, ["doc_id", "_digest"], "left_anti").unionByName(again)
+    twice, _ = materialize_at(rows.select(*key).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
+    # Only texts that may go, or are there twice, are shuffled; the tables grow with the documents, so they are not broadcast.
+    concerned = may_be_in([F.col(k) for k in key], gone.unionByName(twice), key)
+    rest = rows.where(concerned).join(gone.hint("merge"), key, "left_anti")
+    once = rest.join(twice.hint("merge"), key, "left_anti")
+    again = rest.join(twice.hint("merge"), key, "left_semi").dropDuplicates(key)
+    left = rows.where(~concerned).unionByName(once).unionByName(again)
     return left.select(*names).unionByName(documents.where(F.col("doc_id").isNull()).select(*names))

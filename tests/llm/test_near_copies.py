@@ -126,3 +126,16 @@ def test_texts_below_the_similarity_cost_no_pairs_of_rows(spark, rows, n):
 def test_no_documents(rows):
     assert near_copies.without_near_copies(rows([], DOCS)).count() == 0
     assert near_copies.without_near_copies(rows([(None, "a", "s"), (3, None, "s")], DOCS)).count() == 2
+
+
+def test_the_map_of_bits_never_misses(rows):
+    from pyspark.sql import functions as F
+
+    from shopvitals.llm.common import may_be_in
+
+    table = rows([(i, f"t{i}") for i in range(0, 300, 3)] + [(None, "n")], "a bigint, b string")
+    every = rows([(i, f"t{i}") for i in range(300)] + [(None, "n"), (5, None)], "x bigint, y string")
+    for bits in (1 << 26, 1 << 15):
+        got = {r.x for r in every.where(may_be_in([F.col("x"), F.col("y")], table, ["a", "b"], bits)).collect()}
+        assert {*range(0, 300, 3), None} <= got and len(got) < 130
+    assert every.where(may_be_in([F.col("x")], table.limit(0), ["a"])).count() == 0
