@@ -32,9 +32,9 @@ from shopvitals.session import discard, materialize, materialize_at
 #: Longest phrases, least count of a phrase, phrases listed for each language.
 LONGEST, LEAST, LISTED = 5, 100, 2000
 #: Words that a task freezes at a time; paths and words that a range gathers before it unites them.
-BLOCK, GATHERED = 1 << 20, 1 << 19
+BLOCK, GATHERED = 1 << 20, 1 << 18
 #: Bytes of text for each prefix range, and at least one range for each shuffle partition.
-RANGE_BYTES = 12 << 20
+RANGE_BYTES = 5 << 20
 #: Bounds of the sample that ranges are planned on: documents of the least hashed ids, paths of each.
 SAMPLE, SAMPLE_PATHS = 2048, 256
 #: Rows of the count table for each bound when parts are looked up.
@@ -86,6 +86,7 @@ def united(cols: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray]
     order = np.argsort(key)
     key = key[order]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    del key
     first = order[starts]
     return [c[first] for c in cols], np.add.reduceat(counts[order], starts)
 
@@ -124,11 +125,9 @@ def union(parts: list[tuple[list[bytes], list[np.ndarray], np.ndarray]]) -> tupl
     """One transducer that accepts what ``parts`` do, with summed weights."""
     names = sorted({w for own, _, _ in parts for w in own})
     at = {w: i for i, w in enumerate(names, 1)}
-    moved = []
-    for own, cols, _ in parts:
-        number = np.array([0, *(at[w] for w in own)], np.int32)
-        moved.append([number[c] for c in cols])
-    cols = [np.concatenate([m[j] for m in moved]) for j in range(len(moved[0]))]
+    numbers = [np.array([0, *(at[w] for w in own)], np.int32) for own, _, _ in parts]
+    del at
+    cols = [np.concatenate([number[p[1][j]] for number, p in zip(numbers, parts)]) for j in range(len(parts[0][1]))]
     return names, *united(cols, np.concatenate([p[2] for p in parts]))
 
 
