@@ -702,6 +702,11 @@ check(
     """SELECT alert_fingerprint, run_timestamp, should_alert, suppression_reason
        FROM decided WHERE candidate""",
 )
+check(
+    "compacted_batches",
+    """SELECT order_id, customer_id, city, order_ts, CAST(order_amount AS DOUBLE) AS order_amount, order_status, created_at
+       FROM b_raw_orders""",
+)
 check("stream_alert_gate", "SELECT alert_fingerprint, run_timestamp, should_alert, suppression_reason FROM decided WHERE candidate")
 check(
     "late_policy",

@@ -16,14 +16,14 @@ from shopvitals.operators import (
 )
 from shopvitals.operators.features import RUN
 from shopvitals.plans import dashboards, monitor, warehouse
-from shopvitals.session import pin_streaming, shared_dir
+from shopvitals.session import materialize, pin_streaming, shared_dir
 from shopvitals.sources.tables import scan_backup
 from shopvitals.sources.topics import fixture_messages
 from shopvitals.streaming import gate as stream_gate
 from shopvitals.streaming import ingest as stream_ingest_jobs
 from shopvitals.streaming import monitor as stream_monitor
 from shopvitals.streaming import windows as stream_windows
-from shopvitals.streaming.sinks import read_table
+from shopvitals.streaming.sinks import compact, create_table, read_table, write_batch
 
 c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -880,6 +880,22 @@ def stream_ingest(inputs):
     )
 
 
+@query
+def compacted_batches(inputs):
+    """Orders written as eight batches, the last one twice, compacted after each third; and what is then read."""
+    path = f"{_root(inputs, 'batches')}/raw_orders"
+    orders = inputs.view("b_raw_orders")
+    create_table(inputs.spark, path, orders.schema)
+    part = F.pmod(F.xxhash64("order_id"), F.lit(8))
+    stored = materialize(orders.withColumn("part", part), "orders")
+    for number in (0, 1, 2, 3, 4, 5, 6, 7, 7):
+        write_batch(stored.where(c("part") == number).drop("part"), path, number)
+        if number % 3 == 2:
+            compact(inputs.spark, path, orders.schema)
+    compact(inputs.spark, path, orders.schema)
+    return read_table(inputs.spark, path, orders.schema)
+
+
 @query
 def stream_dedup(inputs):
     """Distinct event keys per topic after bounded-state deduplication, and every message without one."""

@@ -48,7 +48,7 @@ def _hash(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def _sums(table: DataFrame) -> list[Column]:
+def content_sums(table: DataFrame) -> list[Column]:
     """n_0, d_0 of the rows, then of each column: how many values and the sum of their hashes."""
     texts = [_plain(f) for f in table.schema]
     ordered = sorted(zip([f.name.lower() for f in table.schema], texts), key=lambda named: named[0])
@@ -73,7 +73,7 @@ def content(table: DataFrame) -> DataFrame:
     Digests of a table and of the same rows in another order, with columns in another order or names in
     another case, are equal; that of a column without values is NULL.
     """
-    sums = table.agg(*_sums(table))
+    sums = table.agg(*content_sums(table))
     rows = [
         F.struct(F.lit(name).alias("column_name"), c(f"n_{i}").alias("n_values"), c(f"d_{i}").cast("string").alias("digest"))
         for i, name in enumerate([ROWS, *table.columns])
@@ -154,13 +154,13 @@ def _switch(name: str, frame: DataFrame, path: str) -> tuple:
         old = _current(spark, path)
         folder = f"{path}/versions/{old + 1}"
         given = Observation()
-        frame.observe(given, *_sums(frame)).write.mode("overwrite").parquet(folder)
+        frame.observe(given, *content_sums(frame)).write.mode("overwrite").parquet(folder)
         n = given.get["n_0"]
         if n == 0:
             discard(spark, folder)
             return (name, 0, 0.0, path, "skipped")
         kept = spark.read.parquet(folder)
-        wanted, found = _content_rows(frame, given.get), _content_rows(kept, kept.agg(*_sums(kept)).first())
+        wanted, found = _content_rows(frame, given.get), _content_rows(kept, kept.agg(*content_sums(kept)).first())
         if wrong := [column for (column, *_), other in zip(wanted, found) if (column, *_) != other]:
             return (name, found[0][1], None, path, f"failed: content of {', '.join(wrong)} is not what was written")
         spark.createDataFrame([(old + 1, n)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
