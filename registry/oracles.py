@@ -124,6 +124,13 @@ check("bh_ai", "SELECT * FROM bh_ai")
 check("mart_business_health_daily", "SELECT * FROM b_business_health")
 check("mart_business_health_history", "SELECT * FROM a_business_health")
 check("stored_marts", "SELECT * FROM b_business_health")
+check("incremental_order_summary", "SELECT * FROM b_mart_order_summary")
+check("incremental_delivery_performance", "SELECT * FROM b_mart_delivery_performance")
+check(
+    "customers_of_span",
+    """SELECT city, count(DISTINCT customer_id) AS customers, TRUE AS within FROM b_stg_orders
+       WHERE order_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY city""",
+)
 
 # ------------------------------------------------------------------------ features
 
@@ -441,6 +448,11 @@ check(
     "scan_backup_day",
     "SELECT order_id, customer_id, order_ts, CAST(order_amount AS DOUBLE) AS order_amount FROM b_raw_orders",
 )
+check(
+    "scan_backup_weekdays",
+    """SELECT order_id, customer_id, order_ts, CAST(order_amount AS DOUBLE) AS order_amount FROM b_raw_orders
+       WHERE dayofweek(order_ts) = 1""",
+)
 check("warehouse_refresh", _content("a", True))
 check("clean_for_load", _content("b", True))
 check(

@@ -15,9 +15,9 @@ from shopvitals.operators import (
     quality, sinks, staging,
 )
 from shopvitals.operators.features import RUN
-from shopvitals.plans import dashboards, monitor, warehouse
+from shopvitals.plans import dashboards, incremental, monitor, warehouse
 from shopvitals.session import materialize, pin_streaming, shared_dir
-from shopvitals.sources.tables import scan_backup
+from shopvitals.sources.tables import backup_calendar, scan_backup, scan_backup_days
 from shopvitals.sources.topics import fixture_messages
 from shopvitals.streaming import gate as stream_gate
 from shopvitals.streaming import ingest as stream_ingest_jobs
@@ -668,6 +668,18 @@ def scan_backup_day(inputs):
     return day.select("order_id", "customer_id", "order_ts", "order_amount")
 
 
+@query
+def scan_backup_weekdays(inputs):
+    """Orders read from the Mondays of a backup that has a partition for each day of orders."""
+    root = f"{_root(inputs, 'backup')}/raw_orders"
+    orders = inputs.view("b_raw_orders")
+    dated = orders.withColumns({"year": F.year("order_ts"), "month": F.month("order_ts"), "day": F.day("order_ts")})
+    dated.repartition("year", "month", "day").write.partitionBy("year", "month", "day").parquet(root)
+    calendar = materialize(backup_calendar(inputs.spark, "2023-12-01", "2024-03-31"), "calendar")
+    mondays = scan_backup_days(inputs.spark.read.parquet(root), calendar.where("weekday = 2"))
+    return mondays.select("order_id", "customer_id", "order_ts", "order_amount")
+
+
 def _loaded(inputs: Inputs, root: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: sinks.read_refreshed(inputs.spark, f"{root}/{name.upper()}") for name in tables}
 
@@ -765,6 +777,39 @@ def stored_marts(inputs):
     return stored["mart_business_health_daily"]
 
 
+def _updated(inputs: Inputs, name: str) -> str:
+    """A mart brought up to date by three batches, the last ones with late rows, and the second written twice."""
+    root = _root(inputs, "daily")
+    views = warehouse.staging_views(inputs.raw("b"))
+    source = incremental.DAILY[name].source
+    part = F.greatest(F.pmod(F.crc32(warehouse.TABLE_KEY[source]), F.lit(10)) - 7, F.lit(0))
+    for number in (0, 1, 1, 2):
+        incremental.update_marts({source: views[source].where(part == number)}, root, number)
+    return root
+
+
+@query
+def incremental_order_summary(inputs):
+    return incremental.read_mart(inputs.spark, _updated(inputs, "mart_order_summary"), "mart_order_summary")
+
+
+@query
+def incremental_delivery_performance(inputs):
+    return incremental.read_mart(inputs.spark, _updated(inputs, "mart_delivery_performance"), "mart_delivery_performance")
+
+
+@query
+def customers_of_span(inputs):
+    """Distinct customers of each city in a week, and whether the estimate from daily sketches is within three errors."""
+    orders = staging.stg_orders(inputs.view("b_raw_orders"))
+    sketches = materialize(incremental.customer_sketches(orders), "sketches")
+    about = incremental.customers_of_span(sketches, "2024-01-08", "2024-01-14").withColumnRenamed("customers", "_about")
+    week = orders.where(c("order_date").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date")))
+    exact = week.groupBy("city").agg(F.count_distinct("customer_id").alias("customers"))
+    near = F.abs(c("_about") - c("customers")) <= F.greatest(3 * incremental.SKETCH_ERROR * c("customers"), F.lit(1))
+    return exact.join(about, "city").select("city", "customers", near.alias("within"))
+
+
 # ------------------------------------------------------------------------ quality
 
 

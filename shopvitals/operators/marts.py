@@ -20,32 +20,50 @@ def _tier(value: Column, critical: float, warning: float) -> Column:
     return F.when(value >= critical, "critical").when(value >= warning, "warning").otherwise("healthy")
 
 
-def mart_order_summary(stg_orders: DataFrame, cfg=None, as_of=None) -> DataFrame:
-    """Orders per day and city. Revenue counts cancelled orders too."""
-    totals = stg_orders.groupBy("order_date", "city").agg(
+def order_measures() -> list[Column]:
+    return [
         F.count("*").alias("total_orders"),
-        F.countDistinct("customer_id").alias("unique_customers"),
         F.count_if(~c("is_cancelled")).alias("active_orders"),
         F.count_if("is_cancelled").alias("cancelled_orders"),
         F.sum("order_amount").alias("total_revenue"),
+    ]
+
+
+def mart_order_summary(stg_orders: DataFrame, cfg=None, as_of=None) -> DataFrame:
+    """Orders per day and city. Revenue counts cancelled orders too."""
+    return finish_order_summary(
+        stg_orders.groupBy("order_date", "city").agg(
+            *order_measures(), F.countDistinct("customer_id").alias("unique_customers")
+        )
     )
-    return totals.select(
+
+
+def finish_order_summary(totals: DataFrame) -> DataFrame:
+    named = ["order_date", "city", "total_orders", "unique_customers", "active_orders", "cancelled_orders", "total_revenue"]
+    return totals.select(*named).select(
         "*",
         exact_mean(c("total_revenue"), c("total_orders"), 2).alias("avg_order_value"),
         rate(c("cancelled_orders"), c("total_orders")).alias("cancellation_rate"),
     )
 
 
-def mart_payment_health(stg_payments: DataFrame, cfg=None, as_of=None) -> DataFrame:
-    """Payments per day and method. Tiers use the unrounded failure rate."""
+def payment_measures() -> list[Column]:
     none = F.lit(0).cast("decimal(10,2)")
-    totals = stg_payments.groupBy("payment_date", "payment_method").agg(
+    return [
         F.count("*").alias("total_payments"),
         F.count_if("is_success").alias("successful_payments"),
         F.count_if("is_failed").alias("failed_payments"),
         F.sum(F.when(c("is_success"), c("amount")).otherwise(none)).alias("successful_revenue"),
         F.sum(F.when(c("is_failed"), c("amount")).otherwise(none)).alias("failed_revenue"),
-    )
+    ]
+
+
+def mart_payment_health(stg_payments: DataFrame, cfg=None, as_of=None) -> DataFrame:
+    """Payments per day and method. Tiers use the unrounded failure rate."""
+    return finish_payment_health(stg_payments.groupBy("payment_date", "payment_method").agg(*payment_measures()))
+
+
+def finish_payment_health(totals: DataFrame) -> DataFrame:
     total, failed = c("total_payments"), c("failed_payments")
     return totals.select(
         "payment_date",
@@ -61,16 +79,27 @@ def mart_payment_health(stg_payments: DataFrame, cfg=None, as_of=None) -> DataFr
     )
 
 
-def mart_delivery_performance(stg_deliveries: DataFrame, cfg=None, as_of=None) -> DataFrame:
-    """Deliveries per day, city and partner. Tiers use the unrounded delay rate."""
-    averaged = ("promised", "actual", "delay")
-    totals = stg_deliveries.groupBy("delivery_date", "city", "delivery_partner").agg(
+_AVERAGED = ("promised", "actual", "delay")
+
+
+def delivery_measures() -> list[Column]:
+    return [
         F.count("*").alias("total_deliveries"),
         F.count_if(~c("is_delayed")).alias("on_time_deliveries"),
         F.count_if("is_delayed").alias("delayed_deliveries"),
-        *[F.sum(f"{name}_minutes").alias(f"_{name}") for name in averaged],
+        *[F.sum(f"{name}_minutes").alias(f"_{name}") for name in _AVERAGED],
         F.max("delay_minutes").alias("max_delay_minutes"),
+    ]
+
+
+def mart_delivery_performance(stg_deliveries: DataFrame, cfg=None, as_of=None) -> DataFrame:
+    """Deliveries per day, city and partner. Tiers use the unrounded delay rate."""
+    return finish_delivery_performance(
+        stg_deliveries.groupBy("delivery_date", "city", "delivery_partner").agg(*delivery_measures())
     )
+
+
+def finish_delivery_performance(totals: DataFrame) -> DataFrame:
     total = c("total_deliveries")
     return totals.select(
         "delivery_date",
@@ -81,21 +110,27 @@ def mart_delivery_performance(stg_deliveries: DataFrame, cfg=None, as_of=None) -
         "delayed_deliveries",
         rate(c("on_time_deliveries"), total).alias("on_time_rate"),
         rate(c("delayed_deliveries"), total).alias("delay_rate"),
-        *[int_mean(c(f"_{name}"), total, 1).alias(f"avg_{name}_minutes") for name in averaged],
+        *[int_mean(c(f"_{name}"), total, 1).alias(f"avg_{name}_minutes") for name in _AVERAGED],
         "max_delay_minutes",
         _tier(raw_rate(c("delayed_deliveries"), total), 0.40, 0.25).alias("health_status"),
     )
 
 
-def mart_complaint_insights(stg_complaints: DataFrame, cfg=None, as_of=None) -> DataFrame:
-    totals = stg_complaints.groupBy(
-        "complaint_date", "ai_category", "ai_severity", "customer_emotion"
-    ).agg(
+def complaint_measures() -> list[Column]:
+    return [
         F.count("*").alias("total_complaints"),
         F.count_if("is_severe").alias("severe_complaints"),
         F.count_if("is_critical").alias("critical_complaints"),
         F.sum("severity_score").alias("_score"),
-    )
+    ]
+
+
+def mart_complaint_insights(stg_complaints: DataFrame, cfg=None, as_of=None) -> DataFrame:
+    keys = ("complaint_date", "ai_category", "ai_severity", "customer_emotion")
+    return finish_complaint_insights(stg_complaints.groupBy(*keys).agg(*complaint_measures()))
+
+
+def finish_complaint_insights(totals: DataFrame) -> DataFrame:
     total = c("total_complaints")
     return totals.select(
         *[name for name in totals.columns if name != "_score"],

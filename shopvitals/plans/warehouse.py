@@ -25,6 +25,11 @@ MARTS = {
         ),
     ),
 }
+# Key of each staging view.
+TABLE_KEY = {
+    "stg_orders": "order_id", "stg_payments": "payment_id", "stg_deliveries": "delivery_id",
+    "stg_complaints": "complaint_id", "stg_refunds": "refund_id",
+}
 # Column a stored mart is sorted by inside its files, for the readers' min/max pruning.
 MART_DAYS = {
     "mart_order_summary": "order_date",

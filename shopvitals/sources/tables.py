@@ -69,6 +69,27 @@ def scan_backup(
     )
 
 
+def backup_calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """(date, year, month, day, weekday) of the days from ``first`` to ``last``; weekday 1 is Sunday."""
+    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    days = spark.range(1).select(F.explode(F.sequence(start, end)).alias("date"))
+    return days.select(
+        "date", F.year("date").alias("year"), F.month("date").alias("month"), F.day("date").alias("day"),
+        F.dayofweek("date").alias("weekday"),
+    )
+
+
+def scan_backup_days(backup: DataFrame, days: DataFrame) -> DataFrame:
+    """Backed-up rows of the days in a table of (year, month, day), such as a part of ``backup_calendar``.
+
+    A filter on ``days`` reaches the scan when the query runs: the partitions to read are those of the
+    days that are left, and no others are listed or opened. A row comes back once, however often its
+    day is named.
+    """
+    keys = ["year", "month", "day"]
+    return backup.join(days.select(*keys), keys, "left_semi")
+
+
 SOURCE_TABLES = ("orders", "customer", "nation", "lineitem", "supplier", "events", "documents")
 
 
