@@ -624,6 +624,11 @@ def _report() -> str:
 
 
 check("dq_report", _report())
+check(
+    "dq_on_write",
+    f"""SELECT *, bool_and(passed) OVER (PARTITION BY table_name) AS published
+        FROM ({_report()}) WHERE layer <> 'raw'""",
+)
 
 # ------------------------------------------------------------------------ dashboards
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
+
+from shopvitals.operators.sinks import current_version, switch_readers
+from shopvitals.session import discard, side_by_side
 
 c = F.col
 
@@ -143,12 +146,15 @@ def dq_accepted_values(table: DataFrame, accepted: dict[str, tuple[str, ...]]) -
     )
 
 
-def dq_table(table: DataFrame, tests: TableTests) -> DataFrame:
-    row_tests = [(name, "not_null", c(name).isNull()) for name in tests.not_null]
-    row_tests += [
+def _tests_of_rows(tests: TableTests) -> list[tuple[str, str, object]]:
+    return [(name, "not_null", c(name).isNull()) for name in tests.not_null] + [
         (name, "accepted_values", ~c(name).isin(*values))
         for name, values in tests.accepted.items()
     ]
+
+
+def dq_table(table: DataFrame, tests: TableTests) -> DataFrame:
+    row_tests = _tests_of_rows(tests)
     first, others = tests.unique[:1], tests.unique[1:]
     parts = [_row_tests(table, row_tests, *first)] + [dq_unique(table, name) for name in others]
     return reduce(DataFrame.unionByName, parts).select(
@@ -167,3 +173,39 @@ def dq_report(tables: dict[str, DataFrame]) -> DataFrame:
         DataFrame.unionByName,
         [dq_table(tables[tests.table], tests) for tests in TESTS if tests.table in tables],
     )
+
+
+REPORT = (
+    "layer string, table_name string, column_name string, test string, failures bigint, passed boolean, published boolean"
+)
+
+
+def publish_tested(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """Write the tables given, test them on the way, and let readers see those that pass all their tests.
+
+    The tests of rows are counted while a table is written, so it is computed and read once; uniqueness is
+    tested on the one column of what was written. A table that fails a test stays as readers have it
+    (``sinks.read_refreshed``), and its new version is removed. The report is that of ``dq_report`` with
+    ``published``. One publication of a table runs at a time.
+    """
+
+    def publish(tests: TableTests) -> list[tuple]:
+        table, path = tables[tests.table], f"{root}/{tests.table}"
+        spark = table.sparkSession
+        version = current_version(spark, path) + 1
+        folder, counted = f"{path}/versions/{version}", Observation(f"tests of {tests.table}")
+        row_tests = _tests_of_rows(tests)
+        failed = [F.count_if(failing).alias(f"t{i}") for i, (_, _, failing) in enumerate(row_tests)]
+        table.observe(counted, F.count("*").alias("rows"), *failed).write.mode("overwrite").parquet(folder)
+        stored = spark.read.schema(table.schema).parquet(folder)
+        found = [(column, test, counted.get[f"t{i}"]) for i, (column, test, _) in enumerate(row_tests)]
+        found += [(name, "unique", dq_unique(stored, name).first()["failures"]) for name in tests.unique]
+        good = not any(failures for _, _, failures in found)
+        if good:
+            switch_readers(spark, path, version, counted.get["rows"])
+        else:
+            discard(spark, folder)
+        return [(tests.layer, tests.table, *test, test[2] == 0, good) for test in found]
+
+    reports = side_by_side(publish, [tests for tests in TESTS if tests.table in tables])
+    return next(iter(tables.values())).sparkSession.createDataFrame([row for rows in reports for row in rows], REPORT)

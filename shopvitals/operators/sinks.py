@@ -125,7 +125,7 @@ def _replace(name: str, frame: DataFrame, path: str) -> tuple:
 SWITCHES = "version bigint, rows bigint"
 
 
-def _current(spark: SparkSession, path: str) -> int:
+def current_version(spark: SparkSession, path: str) -> int:
     """The version of a refreshed table that readers get, 0 before the first one."""
     try:
         switches = spark.read.schema(SWITCHES).parquet(f"{path}/switches")
@@ -136,9 +136,16 @@ def _current(spark: SparkSession, path: str) -> int:
     return switches.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
+def switch_readers(spark: SparkSession, path: str, version: int, rows: int) -> None:
+    """Let readers see a version that is whole; the one before stays for those still on it, older ones go."""
+    spark.createDataFrame([(version, rows)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
+    if version > 2:
+        discard(spark, f"{path}/versions/{version - 2}")
+
+
 def read_refreshed(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a refreshed table as of its last complete refresh."""
-    return spark.read.parquet(f"{path}/versions/{_current(spark, path)}")
+    return spark.read.parquet(f"{path}/versions/{current_version(spark, path)}")
 
 
 def _switch(name: str, frame: DataFrame, path: str) -> tuple:
@@ -151,7 +158,7 @@ def _switch(name: str, frame: DataFrame, path: str) -> tuple:
     """
     spark = frame.sparkSession
     try:
-        old = _current(spark, path)
+        old = current_version(spark, path)
         folder = f"{path}/versions/{old + 1}"
         given = Observation()
         frame.observe(given, *content_sums(frame)).write.mode("overwrite").parquet(folder)
@@ -163,9 +170,7 @@ def _switch(name: str, frame: DataFrame, path: str) -> tuple:
         wanted, found = _content_rows(frame, given.get), _content_rows(kept, kept.agg(*content_sums(kept)).first())
         if wrong := [column for (column, *_), other in zip(wanted, found) if (column, *_) != other]:
             return (name, found[0][1], None, path, f"failed: content of {', '.join(wrong)} is not what was written")
-        spark.createDataFrame([(old + 1, n)], SWITCHES).coalesce(1).write.mode("append").parquet(f"{path}/switches")
-        if old > 1:
-            discard(spark, f"{path}/versions/{old - 1}")
+        switch_readers(spark, path, old + 1, n)
         return (name, n, stored_kb(spark, folder), path, "success")
     except (PySparkException, Py4JJavaError) as error:
         return (name, None, None, path, f"failed: {type(error).__name__}")

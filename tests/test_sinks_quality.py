@@ -155,3 +155,21 @@ def test_there_are_69_tests():
         layer[2] += len(t.accepted)
     assert counts == {"raw": [6, 15, 0], "staging": [6, 24, 0], "marts": [2, 13, 3]}
     assert sum(map(sum, counts.values())) == 69
+
+
+def test_a_failing_test_stops_the_switch(rows, spark, tmp_path):
+    schema = "order_id string, customer_id string, order_ts timestamp, order_amount decimal(10,2), city string"
+    at = "2024-01-01 10:00:00"
+    good = rows([("o1", "c1", at, "1.00", "x"), ("o2", "c1", at, "2.00", "x")], schema)
+    runs = [
+        (good, True, 2), (rows([("o1", None, at, "1.00", "x")], schema), False, 2),
+        (rows([("o1", "c", at, "1.00", "x"), ("o1", "c", at, "1.00", "x")], schema), False, 2),
+        (rows([("o3", "c", at, "1.00", "x")], schema), True, 1), (rows([], schema), True, 0),
+    ]
+    path = f"{tmp_path}/stg_orders"
+    for table, published, seen in runs:
+        report = quality.publish_tested({"stg_orders": table}, str(tmp_path))
+        assert report.select("published").distinct().collect() == [(published,)]
+        assert report.drop("published").exceptAll(quality.dq_report({"stg_orders": table})).isEmpty() and report.count() == 6
+        assert sinks.read_refreshed(spark, path).count() == seen
+    assert sorted(p.name for p in (tmp_path / "stg_orders/versions").iterdir() if p.is_dir()) == ["2", "3"]
