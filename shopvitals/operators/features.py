@@ -129,16 +129,16 @@ def ticks(
     calendar costs follows the days with events, and one event far away adds a few days. ``first`` and
     ``last`` number the quarter hours to lay out at most. Days are dealt to the tasks, which lay out theirs.
     """
-    # The key hangs on columns: as a mere constant it would be folded out of the join on it.
     bounds = cell_rows.agg(F.min("cell").alias("_first"), F.max("cell").alias("_last")).select(
-        F.greatest(c("_first") + 1, F.lit(first).cast("bigint")).alias("first"),
-        F.least(c("_last") + 1, F.lit(last).cast("bigint")).alias("last"),
-        F.when(c("_first").isNotNull(), 1).alias("all"),
+        F.struct(
+            F.greatest(c("_first") + 1, F.lit(first).cast("bigint")).alias("first"),
+            F.least(c("_last") + 1, F.lit(last).cast("bigint")).alias("last"),
+        ).alias("bounds")
     )
     active = cell_rows.select(F.floor(c("cell") / 96).alias("_day")).distinct()
     days = active.select(F.explode(F.sequence(c("_day"), c("_day") + cfg.quiet_days)).alias("day")).distinct()
+    due = days.select("day", bounds.scalar().alias("bounds")).select("day", "bounds.first", "bounds.last")
     start, end = c("day") * 96, c("day") * 96 + 95
-    due = days.withColumn("all", F.when(c("day").isNotNull(), 1)).join(F.broadcast(bounds), "all")
     due = due.where((c("first") <= end) & (c("last") >= start))
     cells_of_day = F.sequence(F.greatest("first", start), F.least("last", end))
     return due.select(F.explode(F.transform(cells_of_day, tick_time)).alias(RUN))
