@@ -173,7 +173,7 @@ def sent_alerts(
     spark = candidates.sparkSession
     steps, path = materialize_at(_successors(candidates, key, window_us), "steps")
     while not steps.where(c("reached") & c("to").isNotNull()).isEmpty():
-        doubled, new_path = materialize_at(_doubled(steps), "steps")
+        doubled, new_path = materialize_at(_doubled(_doubled(steps)), "steps")  # two doublings a job
         discard(spark, path)
         steps, path = doubled, new_path
     if folders is not None:
