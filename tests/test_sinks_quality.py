@@ -173,3 +173,38 @@ def test_a_failing_test_stops_the_switch(rows, spark, tmp_path):
         assert report.drop("published").exceptAll(quality.dq_report({"stg_orders": table})).isEmpty() and report.count() == 6
         assert sinks.read_refreshed(spark, path).count() == seen
     assert sorted(p.name for p in (tmp_path / "stg_orders/versions").iterdir() if p.is_dir()) == ["2", "3"]
+
+
+def test_sums_for_comparison_form_no_texts_and_find_what_changed(rows, spark):
+    schema = "k string, n int, at timestamp, tags array<string>"
+    one = [("a", 1, "2024-01-01 10:00:00", ["x"]), ("b", None, None, None), ("b", None, None, None)]
+    frame = rows(one, schema)
+
+    def sums(values):
+        return rows(values, schema).agg(*sinks.content_sums(frame)).first()
+
+    plan = frame.agg(*sinks.content_sums(frame))._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "conv(" not in plan and "decimal" not in plan
+    assert sums(one) == sums(one[::-1]) and sums(one)["n_1"] == 3
+    traded = [("b", 1, "2024-01-01 10:00:00", ["x"]), ("a", None, None, None), ("b", None, None, None)]
+    assert sums(traded)["a_1"] == sums(one)["a_1"] and sums(traded)["a_0"] != sums(one)["a_0"]
+    assert sums(one[:2])["a_0"] != sums(one)["a_0"]
+    got = sinks.verify_content({"t": frame}, {"t": sinks.clean_for_load(rows(traded, schema))}).collect()
+    assert {row["column_name"]: row["ok"] for row in got} == {"*": False, "k": True, "n": True, "at": True, "tags": True}
+
+
+def test_digests_are_those_of_any_engine(rows, spark):
+    from hashlib import md5
+
+    def digest(*texts):
+        return str(sum(int(md5(text.encode()).hexdigest()[:15], 16) for text in texts))
+
+    table = rows([("ä", 1), ("ä", None), (None, None)], "V string, K int")
+    content = sinks.content(table)
+    got = {row["column_name"]: (row["n_values"], row["digest"]) for row in content.collect()}
+    assert got == {
+        "*": (3, digest("1\x1fä", "\\N\x1fä", "\\N\x1f\\N")), "V": (2, digest("v=ä", "v=ä")), "K": (1, digest("k=1")),
+    }
+    assert "md5" not in content._jdf.queryExecution().optimizedPlan().toString()
+    empty = {tuple(row) for row in sinks.content(table.limit(0)).collect()}
+    assert empty == {("*", 0, None), ("V", 0, None), ("K", 0, None)}
