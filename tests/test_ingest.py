@@ -159,3 +159,16 @@ def test_model_labels_are_stored(rows):
     )
     stored = {r["complaint_id"]: (r["ai_category"], r["ai_severity"]) for r in ingest.ingest_complaints(got, answers=answers).collect()}
     assert stored == {"c0": ("other", "medium"), "c1": (None, "low"), "c2": ("refund_delay", "high"), "c3": ("refund_delay", "high")}
+
+
+def test_messages_are_parsed_once_for_all_that_reads_them(rows):
+    def parses(frame):
+        return "from_json" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+    got = messages(rows, order(), order(order_id="o2"), "{", order(city="late"))
+    stored = ingest.ingest_orders(messages(rows, order(order_id="o2")))
+    fresh = ingest.ingest_orders(got, existing=stored.localCheckpoint())
+    assert [r["order_id"] for r in fresh.collect()] == ["o1"] and not parses(fresh)
+    good, bad = ingest.ingest_route(got)["raw_orders"]
+    assert not parses(good) and not parses(bad)
+    assert good.count() == 3 and [r["value"] for r in bad.collect()] == ["{"]
