@@ -100,3 +100,17 @@ def test_segments_stay_few(spark, schema, tmp_path):
         version, segments = sinks._manifest(spark, str(path))
         assert len(segments) <= 5
     assert held(spark, path, schema) == [(n, "x") for n in range(16)]
+
+
+def test_a_batch_of_the_query_reads_its_own_rows(spark, monkeypatch):
+    from registry import queries
+
+    read = []
+
+    def put_batch(frame, path, number):
+        read.append("PartitionFilters: [isnotnull(part" in frame._jdf.queryExecution().toString())
+        write_batch(frame, path, number)
+
+    monkeypatch.setattr(queries, "write_batch", put_batch)
+    queries.QUERIES["compacted_batches"](spark, "/root/testdata/sf0.001")
+    assert read == [True] * 9
