@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from shopvitals.operators.sinks import current_version, switch_readers
 from shopvitals.session import discard, side_by_side
@@ -180,32 +180,76 @@ REPORT = (
 )
 
 
-def publish_tested(tables: Mapping[str, DataFrame], root: str) -> DataFrame:
+def count_repeated(table: DataFrame, column: str) -> int:
+    """The failures ``dq_unique`` finds, counted at once.
+
+    Equal texts have equal hashes, so a column of which no hash repeats has no value that does; what is
+    shuffled then is eight bytes per value. Only if one repeats are the values themselves counted.
+    """
+    if table.schema[column].dataType == T.StringType():
+        hashes = table.select(F.when(c(column).isNotNull(), F.xxhash64(column)).alias("_hash"))
+        if not dq_unique(hashes, "_hash").first()["failures"]:
+            return 0
+    return dq_unique(table, column).first()["failures"]
+
+
+def publish_tested(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    derived: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] | None = None,
+) -> DataFrame:
     """Write the tables given, test them on the way, and let readers see those that pass all their tests.
 
     The tests of rows are counted while a table is written, so it is computed and read once; uniqueness is
     tested on the one column of what was written. A table that fails a test stays as readers have it
     (``sinks.read_refreshed``), and its new version is removed. The report is that of ``dq_report`` with
     ``published``. One publication of a table runs at a time.
-    """
 
-    def publish(tests: TableTests) -> list[tuple]:
-        table, path = tables[tests.table], f"{root}/{tests.table}"
-        spark = table.sparkSession
-        version = current_version(spark, path) + 1
-        folder, counted = f"{path}/versions/{version}", Observation(f"tests of {tests.table}")
-        row_tests = _tests_of_rows(tests)
+    ``derived`` names tables by how they are built and from which others, inputs first (``warehouse.MARTS``).
+    They are built from what was written of their inputs, which is not computed again for each of them, and
+    from that of an input that fails a test too: its new version goes when nothing reads it any more.
+    """
+    derived, spark = derived or {}, next(iter(tables.values())).sparkSession
+    tested = {tests.table: tests for tests in TESTS if tests.table in tables or tests.table in derived}
+    step = dict.fromkeys(tables, 0)
+    for name, (_, inputs) in derived.items():
+        step[name] = 1 + max(step[i] for i in inputs)
+    frames, folders, versions, found, refused = dict(tables), {}, {}, {}, []
+
+    def write(name: str) -> None:
+        if name in derived:
+            build, inputs = derived[name]
+            frames[name] = build(*[frames[i] for i in inputs])
+        if name not in tested:
+            return
+        table, path = frames[name], f"{root}/{name}"
+        versions[name] = current_version(spark, path) + 1
+        folders[name], counted = f"{path}/versions/{versions[name]}", Observation(f"tests of {name}")
+        row_tests = _tests_of_rows(tested[name])
         failed = [F.count_if(failing).alias(f"t{i}") for i, (_, _, failing) in enumerate(row_tests)]
-        table.observe(counted, F.count("*").alias("rows"), *failed).write.mode("overwrite").parquet(folder)
-        stored = spark.read.schema(table.schema).parquet(folder)
-        found = [(column, test, counted.get[f"t{i}"]) for i, (column, test, _) in enumerate(row_tests)]
-        found += [(name, "unique", dq_unique(stored, name).first()["failures"]) for name in tests.unique]
-        good = not any(failures for _, _, failures in found)
+        table.observe(counted, F.count("*").alias("rows"), *failed).write.mode("overwrite").parquet(folders[name])
+        frames[name] = spark.read.schema(table.schema).parquet(folders[name])
+        found[name] = counted.get["rows"], [(column, test, counted.get[f"t{i}"]) for i, (column, test, _) in enumerate(row_tests)]
+
+    def judge(name: str) -> list[tuple]:
+        tests, (rows, results) = tested[name], found[name]
+        results = results + [(column, "unique", count_repeated(frames[name], column)) for column in tests.unique]
+        good = not any(failures for _, _, failures in results)
         if good:
-            switch_readers(spark, path, version, counted.get["rows"])
+            switch_readers(spark, f"{root}/{name}", versions[name], rows)
         else:
+            refused.append(folders[name])
+        return [(tests.layer, name, *result, result[2] == 0, good) for result in results]
+
+    # Tables are tested beside the writing of those built from them.
+    report = []
+    try:
+        for now in range(max(step.values()) + 2):
+            jobs = [(write, name) for name in step if step[name] == now]
+            jobs += [(judge, name) for name in step if step[name] == now - 1 and name in tested]
+            done = side_by_side(lambda job: job[0](job[1]), jobs)
+            report += [row for rows in done if rows for row in rows]
+    finally:
+        for folder in refused:
             discard(spark, folder)
-        return [(tests.layer, tests.table, *test, test[2] == 0, good) for test in found]
-
-    reports = side_by_side(publish, [tests for tests in TESTS if tests.table in tables])
-    return next(iter(tables.values())).sparkSession.createDataFrame([row for rows in reports for row in rows], REPORT)
+    return spark.createDataFrame(report, REPORT)

@@ -208,3 +208,45 @@ def test_digests_are_those_of_any_engine(rows, spark):
     assert "md5" not in content._jdf.queryExecution().optimizedPlan().toString()
     empty = {tuple(row) for row in sinks.content(table.limit(0)).collect()}
     assert empty == {("*", 0, None), ("V", 0, None), ("K", 0, None)}
+
+
+def test_derived_tables_read_what_was_written(rows, spark, tmp_path):
+    from shopvitals.plans.warehouse import MARTS
+
+    schema = (
+        "order_id string, customer_id string, order_ts timestamp, order_date date, order_amount decimal(10,2), city string,"
+        " is_cancelled boolean"
+    )
+    at = "2024-01-01 10:00:00"
+    good = rows([("o1", "c1", at, at[:10], "1.00", "x", False), ("o2", "c1", at, at[:10], "2.00", "x", True)], schema)
+    twice = good.unionByName(good)
+    build, inputs = MARTS["mart_order_summary"]
+    read = []
+
+    def recorded(stg_orders):
+        read.append(stg_orders.inputFiles())
+        return build(stg_orders)
+
+    for version, (table, published, total) in enumerate([(good, True, 2), (twice, False, 4)], 1):
+        report = quality.publish_tested({"stg_orders": table}, str(tmp_path), {"mart_order_summary": (recorded, inputs)})
+        assert read[-1] and all(f"{tmp_path}/stg_orders/versions/{version}/" in name for name in read[-1])
+        wanted = quality.dq_report({"stg_orders": table, "mart_order_summary": build(table)})
+        assert report.drop("published").exceptAll(wanted).isEmpty() and report.count() == wanted.count() == 10
+        seen = {(row["table_name"], row["published"]) for row in report.collect()}
+        assert seen == {("stg_orders", published), ("mart_order_summary", True)}
+        # The mart is that of the new rows, even where readers keep the old ones.
+        assert sinks.read_refreshed(spark, f"{tmp_path}/mart_order_summary").first()["total_orders"] == total
+        assert sinks.read_refreshed(spark, f"{tmp_path}/stg_orders").count() == 2
+    assert [p.name for p in (tmp_path / "stg_orders/versions").iterdir() if p.is_dir()] == ["1"]
+
+
+def test_repeated_values_are_counted_by_hashes_first(rows, monkeypatch):
+    asked = []
+    unique = quality.dq_unique
+    monkeypatch.setattr(quality, "dq_unique", lambda table, column: asked.append(column) or unique(table, column))
+    schema = "k string, n bigint"
+    assert quality.count_repeated(rows([("a", 1), ("b", 2), (None, None), (None, None), ("", 0)], schema), "k") == 0
+    assert asked == ["_hash"]
+    some = rows([("a", 1), ("a", 1), ("a", 2), ("", 3), ("", 3), ("b", 4), (None, None), (None, None)], schema)
+    assert quality.count_repeated(some, "k") == 2 and asked == ["_hash", "_hash", "k"]
+    assert quality.count_repeated(some, "n") == 2 and asked[3:] == ["n"]
